@@ -1,0 +1,35 @@
+"""Job settings."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from zonecast.operators.lags import DEFAULT_LAGS
+
+
+@dataclass(frozen=True)
+class DataConfig:
+    process_start: str
+    process_end: str
+    train: tuple[str, str]
+    test: tuple[str, str]
+    validation: tuple[str, str] | None = None
+    keep_license: str | None = None
+    borough: str | None = None
+    input_len: int = 24
+    output_len: int = 1
+
+
+@dataclass(frozen=True)
+class BoostingConfig:
+    # Default tree settings.
+    n_estimators: int = 300
+    max_depth: int = 4
+    learning_rate: float = 0.1
+    subsample: float = 0.8
+    colsample: float = 0.8
+    seed: int = 42
+    lags: tuple[int, ...] = DEFAULT_LAGS
+    horizon: int = 1
+    use_calendar: bool = True
+    parallel_fits: int = 4
