@@ -27,31 +27,26 @@ def whole_hour(stamp: Column) -> Column:
 
 
 def daily_sums(errors: DataFrame, *keys: str) -> DataFrame:
-    stamp = whole_hour(F.col("target_timestamp"))
     ratio = safe_ratio("absolute_error", "actual_demand")
     return errors.groupBy(F.to_date("target_timestamp").alias("day"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("sum_abs"),
         F.sum("squared_error").alias("sum_sq"), F.sum(ratio).alias("sum_ratio"),
-        F.count(ratio).alias("n_ratio"),
-        F.max(stamp).alias("last"), F.bool_or(F.hour("target_timestamp") == 0).alias("midnight"))
+        F.count(ratio).alias("n_ratio"))
 
 
-def complete_windows(daily: DataFrame) -> DataFrame:
+def complete_windows(errors: DataFrame) -> DataFrame:
     """Start days of the windows that begin at a midnight with errors and end no later than
-    the last target of any model. At most one row per calendar day, as stamps are whole hours.
+    the last target of any model.
 
-    All columns of the daily sums are kept up to the first aggregate here, so Spark runs
-    their shuffle once for the windows and for the sums themselves.
+    One pass over the stamps alone. As stamps are whole hours there is at most one midnight
+    per calendar day, so the list of a century fits one small row.
     """
-    def carrying(first: str):
-        return F.max(F.struct(first, *[c for c in daily.columns if c != first]))[first]
-
-    days = daily.groupBy("day").agg(
-        carrying("midnight").alias("midnight"), carrying("last").alias("last"))
-    end = days.agg(F.max(F.struct("last", "midnight")).alias("top")).scalar()
-    whole = F.col("day").cast("timestamp") + hours(LAST_HOUR) <= end["last"]
-    return days.filter(F.col("midnight") & F.col("last").isNotNull() & whole).select(
-        F.col("day").alias("start"))
+    stamp = whole_hour(F.col("target_timestamp"))
+    midnight = F.when(F.hour(stamp) == 0, F.to_date(stamp))
+    days = errors.groupBy(midnight.alias("day")).agg(F.max("target_timestamp").alias("last"))
+    known = days.agg(F.collect_list("day").alias("days"), F.max("last").alias("last"))
+    starts = known.select(F.explode("days").alias("start"), "last")
+    return starts.filter(F.col("start").cast("timestamp") + hours(LAST_HOUR) <= F.col("last")).select("start")
 
 
 def _sum_windows(daily: DataFrame, starts: DataFrame, *keys: str) -> DataFrame:
@@ -82,7 +77,7 @@ def rolling_7d_by_zone(errors: DataFrame, end_days: DataFrame | None = None) ->
 def _rolling(errors: DataFrame, end_days: DataFrame | None, *keys: str) -> DataFrame:
     daily = daily_sums(errors, *keys)
     if end_days is None:
-        return _sum_windows(daily, complete_windows(daily), *keys)
+        return _sum_windows(daily, complete_windows(errors), *keys)
     starts = end_days.select(F.date_sub("day", DAYS - 1).alias("start"))
     return _sum_windows(daily, starts, *keys)
 

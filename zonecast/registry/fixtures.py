@@ -19,7 +19,17 @@ from zonecast.operators.lags import DEFAULT_LAGS, lag_features
 from zonecast.operators.monitoring import prediction_errors
 from zonecast.operators.panel import full_panel, split_by_day
 from zonecast.schemas import PREDICTIONS, ZONE, conform
-from zonecast.session import prepare_session
+from zonecast.session import prepare_session, stored
+
+# Layouts of the driver's tables.
+LAYOUTS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
 
 MONTH = "2024-01"
 SPLITS = {
@@ -55,7 +65,7 @@ class Fixtures:
         self.spark, self.sf_dir = prepare_session(spark), sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def trips(self) -> DataFrame:
@@ -80,9 +90,16 @@ class Fixtures:
             F.col(ZONE).alias("LocationID"), "Borough")
 
     @cached_property
-    def hourly(self) -> DataFrame:
+    def counted(self) -> DataFrame:
+        """Hourly demand straight from the trips."""
         return hourly_demand(self.trips, MONTH, MONTH)
 
+    @cached_property
+    def hourly(self) -> DataFrame:
+        """Hourly demand as the processed table the later stages read, so that each of their
+        passes reads counted cells and none counts the trips again."""
+        return stored(self.counted, "hourly")
+
     @cached_property
     def panel(self) -> DataFrame:
         return full_panel(self.hourly)
@@ -115,6 +132,15 @@ class Fixtures:
     def errors(self) -> DataFrame:
         return prediction_errors(self.predictions, self.hourly)
 
+    @cached_property
+    def stored_errors(self) -> DataFrame:
+        """For operators that read the error table more than once."""
+        return stored(self.errors, "errors")
+
+    @cached_property
+    def stored_errors_dense(self) -> DataFrame:
+        return stored(self.errors_dense, "errors")
+
     @cached_property
     def errors_dense(self) -> DataFrame:
         return prediction_errors(self.predictions, self.panel)

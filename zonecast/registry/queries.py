@@ -70,7 +70,7 @@ def load_months(fx):
 
 @query
 def hourly_demand_(fx):
-    return fx.hourly
+    return fx.counted
 
 
 @query
@@ -90,12 +90,12 @@ def borough_zones_(fx):
 
 @query
 def actuals_load(fx):
-    return actuals.as_actuals(fx.hourly)
+    return actuals.as_actuals(fx.counted)
 
 
 @query
 def latest_timestamp(fx):
-    return actuals.latest_hour(fx.hourly)
+    return actuals.latest_hour(fx.counted)
 
 
 @query
@@ -304,22 +304,22 @@ def metrics_overall_dense(fx):
 
 @query
 def rolling_7d_bulk(fx):
-    return rolling.rolling_7d(fx.errors)
+    return rolling.rolling_7d(fx.stored_errors)
 
 
 @query
 def rolling_7d_bulk_dense(fx):
-    return rolling.rolling_7d(fx.errors_dense)
+    return rolling.rolling_7d(fx.stored_errors_dense)
 
 
 @query
 def rolling_7d_byzone_bulk(fx):
-    return rolling.rolling_7d_by_zone(fx.errors)
+    return rolling.rolling_7d_by_zone(fx.stored_errors)
 
 
 @query
 def rolling_7d_byzone_bulk_dense(fx):
-    return rolling.rolling_7d_by_zone(fx.errors_dense)
+    return rolling.rolling_7d_by_zone(fx.stored_errors_dense)
 
 
 @query
@@ -334,7 +334,7 @@ def rolling_7d_byzone_at(fx):
 
 @query
 def latest_rolling_7d(fx):
-    return monitoring.latest_rolling(rolling.rolling_7d(fx.errors))
+    return monitoring.latest_rolling(rolling.rolling_7d(fx.stored_errors))
 
 
 @query
@@ -393,34 +393,34 @@ def importance_by_type(fx):
 
 @query
 def merge_prediction_error(fx):
-    stored = before(fx.errors, "target_timestamp", HOUR)
+    stored = before(fx.stored_errors, "target_timestamp", HOUR)
     return merge.merge_errors(stored, fx.predictions, actuals.as_actuals(fx.hourly), HOUR, MODEL)
 
 
 @query
 def merge_metrics_by_hour(fx):
-    stored = monitoring.metrics_by_hour(before(fx.errors, "target_timestamp", HOUR))
-    return merge.merge_hour_metrics(stored, fx.errors, HOUR, MODEL)
+    stored = monitoring.metrics_by_hour(before(fx.stored_errors, "target_timestamp", HOUR))
+    return merge.merge_hour_metrics(stored, fx.stored_errors, HOUR, MODEL)
 
 
 @query
 def merge_metrics_by_day(fx):
-    stale = monitoring.metrics_by_day(before(fx.errors, "target_timestamp", HOUR))
-    return merge.merge_day_metrics(stale, fx.errors, HOUR, MODEL)
+    stale = monitoring.metrics_by_day(before(fx.stored_errors, "target_timestamp", HOUR))
+    return merge.merge_day_metrics(stale, fx.stored_errors, HOUR, MODEL)
 
 
 @query
 def merge_rolling_7d(fx):
-    stale = rolling.rolling_7d(before(fx.errors, "target_timestamp", LAST_DAY)).withColumn(
+    stale = rolling.rolling_7d(before(fx.stored_errors, "target_timestamp", LAST_DAY)).withColumn(
         "num_predictions", F.lit(0).cast("bigint"))
-    return merge.merge_rolling(stale, fx.errors, HOUR, MODEL)
+    return merge.merge_rolling(stale, fx.stored_errors, HOUR, MODEL)
 
 
 @query
 def merge_rolling_7d_byzone(fx):
-    stale = rolling.rolling_7d_by_zone(before(fx.errors, "target_timestamp", LAST_DAY)).withColumn(
+    stale = rolling.rolling_7d_by_zone(before(fx.stored_errors, "target_timestamp", LAST_DAY)).withColumn(
         "num_predictions", F.lit(0).cast("bigint"))
-    return merge.merge_rolling_by_zone(stale, fx.errors, HOUR, MODEL)
+    return merge.merge_rolling_by_zone(stale, fx.stored_errors, HOUR, MODEL)
 
 
 def _stored_until(fx: Fixtures, stamp: datetime) -> Warehouse:

@@ -5,12 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: dates and hours of every table are UTC."""
+    """Pin the session zone: dates and hours of every table are UTC.
+
+    Sparse rows are shuffled before they expand to all hours of their zone, so AQE must not
+    pack a small shuffle into few tasks. Where shuffles are large the setting changes nothing.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return spark
 
 
@@ -27,3 +32,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="zonecast-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder, read back.
+
+    For results several later steps read: they start from the table instead of running the
+    whole plan again, also when executors are lost in between.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
