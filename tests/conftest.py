@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,6 +7,10 @@ from pyspark.sql import SparkSession
 
 from zonecast.session import prepare_session
 
+# Frames built from plain datetimes take the zone of this process.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -21,6 +21,3 @@ def error_metrics(count_name: str = "num_predictions") -> list[Column]:
         F.avg(safe_ratio("absolute_error", "actual_demand")).alias("mape_excluding_zero_actuals"),
     ]
 
-
-def hours(n: int) -> Column:
-    return F.make_dt_interval(hours=F.lit(n))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.calendar import TABULAR_CALENDAR, calendar_features
-from zonecast.functions.errors import hours
+from zonecast.functions.stamps import hours
 from zonecast.operators.panel import MAX_WIDE_ZONES
 from zonecast.schemas import ZONE
 

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonecast.functions.stamps import instant
 from zonecast.operators import monitoring, rolling
 from zonecast.schemas import ZONE
 
@@ -47,7 +48,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def _at_hour(df: DataFrame, hour: datetime, model_version: str) -> DataFrame:
-    return df.filter((F.col("target_timestamp") == F.lit(hour).cast("timestamp"))
+    return df.filter((F.col("target_timestamp") == instant(hour))
                      & (F.col("model_version") == model_version))
 
 
@@ -55,7 +56,7 @@ def error_changes(
     predictions: DataFrame, actuals: DataFrame, hour: datetime, model_version: str,
 ) -> DataFrame:
     # The hour is repeated for the actuals so that both scans are pruned.
-    seen = actuals.filter(F.col("hour") == F.lit(hour).cast("timestamp"))
+    seen = actuals.filter(F.col("hour") == instant(hour))
     return monitoring.prediction_errors(_at_hour(predictions, hour, model_version), seen)
 
 
@@ -64,7 +65,7 @@ def hour_changes(errors: DataFrame, hour: datetime, model_version: str) -> DataF
 
 
 def day_changes(errors: DataFrame, hour: datetime, model_version: str) -> DataFrame:
-    start = F.date_trunc("day", F.lit(hour).cast("timestamp"))
+    start = F.date_trunc("day", instant(hour))
     stamp = F.col("target_timestamp")
     day = errors.filter((stamp >= start) & (stamp < start + F.make_dt_interval(days=F.lit(1)))
                         & (F.col("model_version") == model_version))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.functions.errors import hours
+from zonecast.functions.stamps import hours
 from zonecast.functions.months import in_months
 from zonecast.schemas import ZONE
 

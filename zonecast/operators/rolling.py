@@ -12,7 +12,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.errors import error_metrics, hours, safe_ratio
+from zonecast.functions.errors import error_metrics, safe_ratio
+from zonecast.functions.stamps import hours, instant
 from zonecast.schemas import ROLLING, ROLLING_BY_ZONE, ZONE
 
 DAYS = 7
@@ -84,7 +85,7 @@ def _rolling(errors: DataFrame, end_days: DataFrame | None, *keys: str) -> DataF
 
 def _window_ending(errors: DataFrame, end: datetime, model_version: str, *keys: str) -> DataFrame:
     """The window up to one hour, complete or not. The bounds are literals and prune the scan."""
-    stop = F.lit(end).cast("timestamp")
+    stop = instant(end)
     start = stop - hours(LAST_HOUR)
     inside = errors.filter(
         (F.col("model_version") == model_version) & F.col("target_timestamp").between(start, stop))

@@ -12,6 +12,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.functions.stamps import instant
 from zonecast.operators import merge, monitoring, rolling
 from zonecast.schemas import ACTUALS, ZONE, conform
 from zonecast.sources.actuals import require_latest_hour
@@ -21,7 +22,7 @@ from zonecast.sources.tables import Warehouse
 def run_hour(warehouse: Warehouse, demand: DataFrame, model_version: str | None = None) -> None:
     """Apply the hour after the newest actuals. ``demand`` must have rows for it."""
     following = require_latest_hour(warehouse.read("actuals")) + timedelta(hours=1)
-    rows = demand.filter(F.col("hour") == F.lit(following).cast("timestamp"))
+    rows = demand.filter(F.col("hour") == instant(following))
     if rows.isEmpty():
         raise ValueError(f"no demand rows for {following}")
     apply_actuals(warehouse, rows, model_version)

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.errors import hours
+from zonecast.functions.stamps import hours
 from zonecast.operators.lags import DEFAULT_LAGS, inference_rows, lag_features
 from zonecast.operators.panel import full_panel
 from zonecast.operators.scaling import scale, unscale

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.functions.errors import hours
+from zonecast.functions.stamps import hours
 from zonecast.operators.demand import hourly_demand
 from zonecast.operators.lags import DEFAULT_LAGS, lag_features
 from zonecast.operators.monitoring import prediction_errors

@@ -273,7 +273,7 @@ SELECTS = {
       CROSS JOIN (SELECT LocationID AS {Z} FROM lookup WHERE Borough = 'ASIA') z
       LEFT JOIN hourly d ON d.hour = h.hour AND d.{Z} = z.{Z}""",
     "panel_wide": f"""
-      SELECT hour, {', '.join(f'max(demand) FILTER ({Z} = {z}) AS zone_{z}' for z in range(25))}
+      SELECT hour, {', '.join(f'coalesce(max(demand) FILTER ({Z} = {z}), 0) AS zone_{z}' for z in range(25))}
       FROM nation_panel GROUP BY hour""",
     "panel_melted": "SELECT * FROM nation_panel",
     "split_by_month": f"""

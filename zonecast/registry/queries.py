@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonecast.functions.stamps import instant
 from zonecast.functions.calendar import calendar_features
 from zonecast.functions.months import month_list
 from zonecast.operators import evaluation, importance, lags, merge, monitoring, panel, rolling, scaling, sequences
@@ -51,7 +52,7 @@ def query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFr
 
 
 def before(df: DataFrame, column: str, stamp: datetime) -> DataFrame:
-    return df.filter(F.col(column) < F.lit(stamp).cast("timestamp"))
+    return df.filter(F.col(column) < instant(stamp))
 
 
 # --- months, demand, actuals -------------------------------------------------------------
@@ -128,8 +129,9 @@ def align_zones(fx):
 
 @query
 def panel_wide(fx):
-    zones = panel.zone_order(fx.nation_hourly)
-    wide = panel.panel_wide(fx.nation_panel, zones)
+    zones = panel.zone_order(fx.nations.withColumnRenamed("nation", ZONE))
+    aligned = panel.full_panel(fx.nation_hourly, lags.zone_positions(fx.spark, zones))
+    wide = panel.panel_wide(aligned, zones)
     return wide.select("hour", *[F.col(f"`{z}`").alias(f"zone_{z}") for z in zones])
 
 
@@ -435,7 +437,7 @@ def _stored_until(fx: Fixtures, stamp: datetime) -> Warehouse:
 def hourly_cycle(fx):
     """Rolling rows after the last day was applied to tables rebuilt from the days before."""
     warehouse = _stored_until(fx, LAST_DAY)
-    cycle.apply_actuals(warehouse, fx.hourly.filter(F.col("hour") >= F.lit(LAST_DAY).cast("timestamp")))
+    cycle.apply_actuals(warehouse, fx.hourly.filter(F.col("hour") >= instant(LAST_DAY)))
     return warehouse.read("rolling_7d")
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.errors import hours
+from zonecast.functions.stamps import hours, instant
 from zonecast.schemas import ACTUALS, conform
 
 
@@ -22,7 +22,7 @@ def latest_hour(actuals: DataFrame) -> DataFrame:
 
 def require_latest_hour(actuals: DataFrame) -> datetime:
     """The latest hour on the driver: one value, which later scans use as a literal bound."""
-    latest = latest_hour(actuals).first()[0]
+    latest = latest_hour(actuals).select(F.col("latest_hour").cast("timestamp_ntz")).first()[0]
     if latest is None:
         raise ValueError("the actuals table holds no hours")
     return latest
@@ -34,7 +34,7 @@ def latest_actuals(actuals: DataFrame, lookback_hours: int, latest: datetime | N
     With ``latest`` given the bound is a literal and prunes partitions; without it the
     maximum is a scalar subquery.
     """
-    bound = latest_hour(actuals).scalar() if latest is None else F.lit(latest).cast("timestamp")
+    bound = latest_hour(actuals).scalar() if latest is None else instant(latest)
     return actuals.filter(F.col("hour") >= bound - hours(lookback_hours))
 
 
@@ -46,7 +46,7 @@ def next_hour_actuals(demand: DataFrame, actuals: DataFrame) -> DataFrame:
 
 def prediction_exists(predictions: DataFrame, target: datetime, model_version: str) -> bool:
     return not predictions.filter(
-        (F.col("target_timestamp") == F.lit(target).cast("timestamp"))
+        (F.col("target_timestamp") == instant(target))
         & (F.col("model_version") == model_version)).isEmpty()
 
 

@@ -6,11 +6,12 @@ from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from zonecast.functions.stamps import instant
 
 
 def run_sql_file(
     spark: SparkSession, path: str, target_timestamp: datetime, model_version: str,
 ) -> DataFrame:
     return spark.sql(Path(path).read_text(), args={
-        "target_timestamp": F.lit(target_timestamp).cast("timestamp"), "model_version": model_version})
+        "target_timestamp": instant(target_timestamp), "model_version": model_version})
