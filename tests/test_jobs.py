@@ -126,9 +126,19 @@ def rebuilt(spark, month, until):
     house.replace("predictions", stand_in_predictions(full_panel(month)))
     house.replace("actuals", actuals.as_actuals(month.filter(F.col("hour") < F.lit(until))))
     cycle.rebuild(house)
+    with pytest.raises(ValueError):
+        cycle.rebuild(house)
     return house
 
 
+def test_rebuild_is_a_new_version(spark, month):
+    house = rebuilt(spark, month, hour(200))
+    version = Warehouse(spark, shared_folder(spark, "warehouse"), inputs=house.base)
+    cycle.rebuild(version)
+    assert version.path("actuals") == house.path("actuals")
+    assert rows(version.read("metrics_by_day")) == rows(house.read("metrics_by_day"))
+
+
 def test_cycle_catches_up_with_a_rebuild_and_repeats_safely(spark, month):
     house = rebuilt(spark, month, hour(190))
     late = month.filter(F.col("hour") >= F.lit(hour(190)))

@@ -79,7 +79,13 @@ def _refresh_days(warehouse: Warehouse, stamps: DataFrame, span, model_version)
 
 
 def rebuild(warehouse: Warehouse) -> None:
-    """All monitoring tables from the predictions and actuals, replacing what is stored."""
+    """All monitoring tables from the predictions and actuals, at a base that has none yet.
+
+    A rebuild is a new version, ``Warehouse(spark, new_base, inputs=old_base)``: the tables in
+    use stay whole until readers move to it.
+    """
+    if warehouse.exists("errors"):
+        raise ValueError(f"{warehouse.base} holds monitoring tables: rebuild at a new base")
     warehouse.replace("errors", monitoring.prediction_errors(
         warehouse.read("predictions"), warehouse.read("actuals")))
     errors = warehouse.read("errors")

@@ -64,8 +64,11 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = prepare_session(spark), sf_dir.rstrip("/")
 
+    def path(self, name: str) -> str:
+        return f"{self.sf_dir}/{name}.parquet"
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(LAYOUTS[name]).parquet(self.path(name))
 
     @cached_property
     def trips(self) -> DataFrame:

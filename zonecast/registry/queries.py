@@ -16,7 +16,7 @@ from zonecast.operators import evaluation, importance, lags, merge, monitoring,
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans import cycle, predict, train
 from zonecast.plans.config import BoostingConfig
-from zonecast.registry.fixtures import MONTH, Fixtures, lag_mean, naive_24
+from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
 from zonecast.sources import actuals, files
@@ -35,15 +35,19 @@ QUERIES: dict[str, Query] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Stamps without zone and doubles to six digits, as the SQL side has them."""
-    def column(field: T.StructField):
-        value = F.col(f"`{field.name}`")
+    """Stamps without zone and doubles to six digits, as the SQL side has them.
+
+    The rounding is half away from zero in double arithmetic; ``round`` goes through decimals
+    row by row and took longer than the lags themselves.
+    """
+    def column(field: T.StructField) -> str:
+        value = name = f"`{field.name}`"
         if isinstance(field.dataType, T.TimestampType):
-            value = value.cast("timestamp_ntz")
+            value = f"cast({name} as timestamp_ntz)"
         elif isinstance(field.dataType, T.DoubleType):
-            value = F.round(value, 6) + 0.0
-        return value.alias(field.name)
-    return df.select(*[column(field) for field in df.schema.fields])
+            value = f"signum({name}) * floor(abs({name} * 1e6D) + 0.5D) / 1e6D + 0.0D"
+        return f"{value} as {name}"
+    return df.selectExpr(*[column(field) for field in df.schema.fields])
 
 
 def query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -444,8 +448,8 @@ def hourly_cycle(fx):
 @query
 def stream_hourly_demand(fx):
     folder = shared_folder(fx.spark, "demand")
-    events = fx.table("events").schema
-    source = fx.spark.readStream.schema(events).option("pathGlobFilter", "events.parquet").parquet(fx.sf_dir)
+    # A pattern, as the stream source takes no plain file; it matches a folder of files as well.
+    source = fx.spark.readStream.schema(LAYOUTS["events"]).parquet(fx.path("events") + "*")
     trips = source.select(
         F.col("ts").alias("request_datetime"), F.col("user_id").cast("int").alias(ZONE))
     run_demand_stream(trips, folder, shared_folder(fx.spark, "demand-checkpoint"))
@@ -461,8 +465,7 @@ def stream_hourly_cycle(fx):
     daily = fx.hourly.withColumn("demand", F.col("demand").cast("double")).withColumn(
         "day", F.to_date("hour"))
     daily.repartition("day").write.partitionBy("day").parquet(arrivals)
-    schema = T.StructType([*fx.spark.read.parquet(arrivals).schema.fields])
-    source = fx.spark.readStream.schema(schema).option("maxFilesPerTrigger", 10).parquet(arrivals)
+    source = fx.spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 10).parquet(arrivals)
     run_cycle_stream(source, warehouse, shared_folder(fx.spark, "cycle-checkpoint"))
     return warehouse.read("metrics_by_day")
 

@@ -51,6 +51,9 @@ def prediction_exists(predictions: DataFrame, target: datetime, model_version: s
 
 
 def without_existing(new: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Predictions whose (target, model) is not stored yet, as a set operation."""
+    """Predictions whose (target, model) is not stored yet, as a set operation.
+
+    A key stands for the rows of all zones; the distinct keys, combined in the map tasks, are few.
+    """
     key = ["target_timestamp", "model_version"]
-    return new.join(predictions.select(*key), key, "left_anti").select(*new.columns)
+    return new.join(predictions.select(*key).distinct(), key, "left_anti").select(*new.columns)

@@ -29,26 +29,30 @@ TABLES = {
     "rolling_7d_by_zone": TableSpec(schemas.ROLLING_BY_ZONE, "metric_date"),
 }
 
+INPUTS = ("actuals", "predictions")
+
 
 class Warehouse:
-    """Tables under one shared base path. The partition column ``day`` is never exposed.
+    """Tables under one shared base path; predictions and actuals under ``inputs`` where it is
+    given, so that versions of the monitoring tables share them. The partition column ``day`` is never exposed.
 
     ``days`` of :meth:`read` is a literal range, so only those folders are listed and read.
     """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, inputs: str | None = None):
         self.spark, self.base = spark, base.rstrip("/")
+        self.inputs = (inputs or base).rstrip("/")
 
     def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
+        return f"{self.inputs if name in INPUTS else self.base}/{name}"
 
-    def _exists(self, name: str) -> bool:
+    def exists(self, name: str) -> bool:
         location = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return location.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(location)
 
     def read(self, name: str, days: tuple | None = None) -> DataFrame:
         spec = TABLES[name]
-        if not self._exists(name):
+        if not self.exists(name):
             return self.spark.createDataFrame([], spec.schema)
         stored = T.StructType([*spec.schema.fields, T.StructField("day", T.DateType())])
         df = self.spark.read.schema(stored).parquet(self.path(name))
@@ -67,8 +71,7 @@ class Warehouse:
         self._placed(name, df).write.mode("append").partitionBy("day").parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Truncate and load. ``df`` must not read the table itself: a full rebuild from its
-        own rows goes to the base of a new run."""
+        """Truncate and load. ``df`` must not read the table itself."""
         self._placed(name, df).write.mode("overwrite").partitionBy("day").parquet(self.path(name))
 
     def replace_days(self, name: str, df: DataFrame) -> None:

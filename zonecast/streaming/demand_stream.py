@@ -21,11 +21,15 @@ def hourly_demand_stream(trips: DataFrame, late: str = "2 hours") -> DataFrame:
 
 def run_demand_stream(trips: DataFrame, folder: str, checkpoint: str, late: str = "2 hours") -> None:
     """Process what is available. Every batch writes its changed cells to a folder of its own,
-    so a batch that is run again replaces itself."""
+    so a batch that is run again replaces itself. Folder -1 is empty: a source without files
+    leaves a readable table too."""
+    counts = hourly_demand_stream(trips, late)
+    trips.sparkSession.createDataFrame([], counts.schema).write.mode("overwrite").parquet(f"{folder}/batch=-1")
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
-    query = (hourly_demand_stream(trips, late).writeStream.outputMode("update")
+    query = (counts.writeStream.outputMode("update")
              .option("checkpointLocation", checkpoint).trigger(availableNow=True)
              .foreachBatch(store).start())
     query.awaitTermination()
