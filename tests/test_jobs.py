@@ -168,6 +168,10 @@ def test_single_hours_of_one_model(spark, month):
     assert [r.model_version for r in got] == ["naive_24"]
     with pytest.raises(ValueError):
         cycle.run_hour(house, month, "naive_24")
+    n = house.read("actuals").count()
+    cycle.run_hour(house, month, "lagmean_1_2_3_24", again=hour(239))
+    assert house.read("actuals").count() == n
+    assert house.read("rolling_7d").filter(F.col("window_end_timestamp") == F.lit(hour(239))).count() == 2
 
 
 def test_late_actuals_insert_new_cells_only(spark, month):

@@ -29,7 +29,7 @@ def whole_hour(stamp: Column) -> Column:
 
 def daily_sums(errors: DataFrame, *keys: str) -> DataFrame:
     ratio = safe_ratio("absolute_error", "actual_demand")
-    return errors.groupBy(F.to_date("target_timestamp").alias("day"), *keys).agg(
+    return errors.groupBy(F.to_date(whole_hour(F.col("target_timestamp"))).alias("day"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("sum_abs"),
         F.sum("squared_error").alias("sum_sq"), F.sum(ratio).alias("sum_ratio"),
         F.count(ratio).alias("n_ratio"))

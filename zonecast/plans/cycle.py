@@ -7,7 +7,7 @@ at 23:00, only reads errors up to that hour.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from zonecast.functions.stamps import instant
 from zonecast.operators import merge, monitoring, rolling
 from zonecast.schemas import ACTUALS, ZONE, conform
+from zonecast.session import stored
 from zonecast.sources.actuals import require_latest_hour
 from zonecast.sources.tables import Warehouse
 
 
-def run_hour(warehouse: Warehouse, demand: DataFrame, model_version: str | None = None) -> None:
-    """Apply the hour after the newest actuals. ``demand`` must have rows for it."""
-    following = require_latest_hour(warehouse.read("actuals")) + timedelta(hours=1)
+def run_hour(
+    warehouse: Warehouse, demand: DataFrame, model_version: str | None = None, again: datetime | None = None,
+) -> None:
+    """Apply the hour after the newest actuals. ``demand`` must have rows for it.
+
+    ``again`` names an hour to repeat, for a run that stopped between its writes.
+    """
+    following = again or require_latest_hour(warehouse.read("actuals")) + timedelta(hours=1)
     rows = demand.filter(F.col("hour") == instant(following))
     if rows.isEmpty():
         raise ValueError(f"no demand rows for {following}")
@@ -31,7 +37,8 @@ def run_hour(warehouse: Warehouse, demand: DataFrame, model_version: str | None
 def apply_actuals(warehouse: Warehouse, demand: DataFrame, model_version: str | None = None) -> None:
     """Apply all hours of ``demand``. Safe to repeat: stored keys are left alone and day and
     rolling rows are recomputed. Two dates reach the driver, for pruning the tables."""
-    rows = conform(demand, ACTUALS)
+    # Every step below reads the hours: they are evaluated once.
+    rows = stored(conform(demand, ACTUALS), "hours")
     first, last = rows.agg(F.to_date(F.min("hour")), F.to_date(F.max("hour"))).first()
     if first is None:
         return
@@ -75,7 +82,8 @@ def _refresh_days(warehouse: Warehouse, stamps: DataFrame, span, model_version)
         ("rolling_7d_by_zone", rolling.rolling_7d_by_zone(recent, ended), merge.ROLLING_ZONE_KEY),
         ("metrics_by_day", monitoring.metrics_by_day(of_day), merge.DAY_KEY),
     ):
-        warehouse.replace_days(name, merge.upsert(warehouse.read(name, span), changes, keys))
+        # An update reads its source twice, for the keys and for the rows.
+        warehouse.replace_days(name, merge.upsert(warehouse.read(name, span), stored(changes, name), keys))
 
 
 def rebuild(warehouse: Warehouse) -> None:

@@ -18,6 +18,7 @@ from zonecast.operators.demand import hourly_demand
 from zonecast.operators.lags import DEFAULT_LAGS, lag_features
 from zonecast.operators.monitoring import prediction_errors
 from zonecast.operators.panel import full_panel, split_by_day
+from zonecast.operators.scaling import fit_scaler
 from zonecast.schemas import PREDICTIONS, ZONE, conform
 from zonecast.session import prepare_session, stored
 
@@ -111,6 +112,11 @@ class Fixtures:
     def split_panel(self) -> DataFrame:
         return split_by_day(self.panel, SPLITS)
 
+    @cached_property
+    def scaler(self) -> DataFrame:
+        """Fitted on the training days and kept, as a training run keeps it."""
+        return stored(fit_scaler(self.split_panel.filter(F.col("split") == "train")), "scaler")
+
     @cached_property
     def nation_hourly(self) -> DataFrame:
         return self.hourly.join(self.customers, ZONE).groupBy("hour", F.col("nation").alias(ZONE)).agg(

@@ -174,7 +174,7 @@ def fit_scaler_all(fx):
 
 @query
 def scaled_panel(fx):
-    return scaling.scale(fx.split_panel, scaling.fit_scaler(fx.split_panel.filter(F.col("split") == "train")))
+    return scaling.scale(fx.split_panel, fx.scaler)
 
 
 @query
@@ -237,9 +237,8 @@ def sequence_windows(fx):
 
 @query
 def batch_predictions(fx):
-    scaler = scaling.fit_scaler(fx.split_panel.filter(F.col("split") == "train"))
     return predict.batch_predictions(
-        actuals.as_actuals(fx.hourly), scaler, predict.column_predictor(lag_mean()), MODEL)
+        actuals.as_actuals(fx.hourly), fx.scaler, predict.column_predictor(lag_mean()), MODEL)
 
 
 @query
@@ -250,10 +249,9 @@ def inference_row(fx):
 @query
 def next_hour_prediction(fx):
     """Lag 24 of the hour after the latest actuals; the stored predictions end one hour earlier."""
-    scaler = scaling.fit_scaler(fx.split_panel.filter(F.col("split") == "train"))
     recent = actuals.latest_actuals(actuals.as_actuals(fx.hourly), max(lags.DEFAULT_LAGS))
     return predict.next_hour_prediction(
-        recent, fx.predictions, scaler, predict.column_predictor(naive_24()), "naive_24")
+        recent, fx.predictions, fx.scaler, predict.column_predictor(naive_24()), "naive_24")
 
 
 # --- monitoring --------------------------------------------------------------------------

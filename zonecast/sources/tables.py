@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,16 +47,23 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.inputs if name in INPUTS else self.base}/{name}"
 
+    def _files(self, name: str) -> DataFrame | None:
+        stored = T.StructType([*TABLES[name].schema.fields, T.StructField("day", T.DateType())])
+        try:
+            return self.spark.read.schema(stored).parquet(self.path(name))
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def exists(self, name: str) -> bool:
-        location = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(location)
+        return self._files(name) is not None
 
     def read(self, name: str, days: tuple | None = None) -> DataFrame:
-        spec = TABLES[name]
-        if not self.exists(name):
+        """The table, or the range of days of it; empty before the first write."""
+        spec, df = TABLES[name], self._files(name)
+        if df is None:
             return self.spark.createDataFrame([], spec.schema)
-        stored = T.StructType([*spec.schema.fields, T.StructField("day", T.DateType())])
-        df = self.spark.read.schema(stored).parquet(self.path(name))
         if days is not None:
             df = df.filter(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
         return df.select(*spec.schema.fieldNames())
