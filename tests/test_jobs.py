@@ -12,13 +12,13 @@ from zonecast.operators.boosting import load_models
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, split_by_day
 from zonecast.operators.scaling import fit_scaler, scale
-from zonecast.plans import cycle, predict, train
+from zonecast.plans import cycle, predict, prepare, train
 from zonecast.plans.config import BoostingConfig, DataConfig
 from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
 from zonecast.schemas import ACTUALS, ZONE, conform
 from zonecast.session import shared_folder, stored
 from zonecast.sources import actuals
-from zonecast.sources.files import load_json
+from zonecast.sources.files import load_json, write_months
 from zonecast.sources.sqlfiles import run_sql_file
 from zonecast.sources.tables import TABLES, Warehouse
 from zonecast.streaming.cycle_stream import run_cycle_stream
@@ -249,6 +249,32 @@ def test_training_run(spark, trained, tmp_path):
     assert {r.type: int(r["count"]) for r in types.collect()} == {"spatial": 6, "other": 8}
 
 
+def test_training_job_and_actuals_from_processed_months(spark, demand, warehouse, tmp_path):
+    rng = random.Random(3)
+    # The last days of March train, the first days of April test.
+    months = demand([(h, z, rng.randrange(1, 9)) for h in range(27 * 24, 31 * 24) for z in (1, 2)])
+    write_months(months, f"{tmp_path}/processed")
+    data = DataConfig("2024-03", "2024-04", ("2024-03", "2024-03"), ("2024-04", "2024-04"))
+    config = BoostingConfig(n_estimators=1, max_depth=1, lags=(1, 2))
+    root = train.run(spark, f"{tmp_path}/processed", f"{tmp_path}/models/", "r", data, config)
+    cells = spark.read.parquet(f"{root}/results/predictions")
+    assert {r.target_timestamp.month for r in cells.collect()} == {4}
+    prepare.load_actuals(spark, f"{tmp_path}/processed", warehouse, "2024-04", "2024-04")
+    assert warehouse.read("actuals").count() == 2 * (31 - 28) * 24
+
+
+def test_sequence_samples_stay_in_their_split(month):
+    days = [str(hour(24 * d).date()) for d in (0, 7, 10)]
+    split = split_by_day(full_panel(month), {"train": (days[0], days[1]), "test": (days[1], days[2])})
+    samples, scaler = train.sequence_samples(split, [1, 2, 3], 6, 2)
+    counted = {r.split: (r.first, r.n) for r in samples.groupBy("split").agg(
+        F.min("target_timestamp").alias("first"), F.count("*").alias("n")).collect()}
+    assert counted == {"train": (hour(6), 168 - 7), "test": (hour(174), 72 - 7)}
+    row = samples.filter("split = 'test'").first()
+    assert len(row.x) == 6 and len(row.x[0]) == 3 + 8 and len(row.y) == 2 and len(row.y[0]) == 3
+    assert scaler.count() == 3
+
+
 def test_reloaded_models_predict_the_same(spark, trained, month, tmp_path):
     _, run = trained
     run.models.save(spark, f"{tmp_path}/m")

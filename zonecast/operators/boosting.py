@@ -79,7 +79,7 @@ def fit_zone_models(samples: DataFrame, zones: Sequence[int], config: BoostingCo
 
     try:
         with ThreadPoolExecutor(config.parallel_fits) as pool:
-            models = list(pool.map(inheritable_thread_target(fit), range(len(zones))))
+            models = list(pool.map(inheritable_thread_target(matrix.sparkSession)(fit), range(len(zones))))
     finally:
         matrix.unpersist()
     return ZoneModels(tuple(zones), tuple(config.lags), config.use_calendar, tuple(models))

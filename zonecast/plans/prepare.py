@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans.config import DataConfig
-from zonecast.sources.files import read_trips, read_zone_lookup, write_months
+from zonecast.sources.actuals import as_actuals
+from zonecast.sources.files import read_months, read_trips, read_zone_lookup, write_months
+from zonecast.sources.tables import Warehouse
 
 
 def prepare_demand(spark: SparkSession, raw: str, lookup: str, config: DataConfig) -> DataFrame:
@@ -19,3 +21,8 @@ def prepare_demand(spark: SparkSession, raw: str, lookup: str, config: DataConfi
 
 def run(spark: SparkSession, raw: str, lookup: str, processed: str, config: DataConfig) -> None:
     write_months(prepare_demand(spark, raw, lookup, config), processed)
+
+
+def load_actuals(spark: SparkSession, processed: str, warehouse: Warehouse, first: str, last: str) -> None:
+    """Replace the actuals table by a range of processed months."""
+    warehouse.replace("actuals", as_actuals(read_months(spark, processed, first, last)))

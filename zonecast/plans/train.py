@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from zonecast.operators.importance import importance_by, importance_by_feature,
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, raw_targets, split_by_month, zone_order
 from zonecast.operators.scaling import fit_scaler, scale, unscale
+from zonecast.operators.sequences import hour_vectors, sequence_windows
 from zonecast.plans.config import BoostingConfig, DataConfig
 from zonecast.schemas import ZONE
-from zonecast.sources.files import save_config, save_json, write_report
+from zonecast.sources.files import read_months, save_config, save_json, write_report
 
 
 @dataclass(frozen=True)
@@ -62,6 +64,22 @@ def train_on_all(demand: DataFrame, config: BoostingConfig) -> tuple[DataFrame,
     return scaler, fit_zone_models(samples, zone_order(demand), config)
 
 
+def sequence_samples(
+    split_panel: DataFrame, zones: Sequence[int], input_len: int, output_len: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Scaled windows of every split for sequence models, and the scaler of the ``train`` split."""
+    scaler = fit_scaler(split_panel.filter(F.col("split") == "train"))
+    vectors = hour_vectors(scale(split_panel, scaler), zones)
+    return sequence_windows(vectors, input_len, output_len), scaler
+
+
+def run(spark: SparkSession, processed: str, base: str, run_id: str,
+        data: DataConfig, config: BoostingConfig) -> str:
+    """Processed months to a saved run."""
+    demand = read_months(spark, processed, data.train[0], data.test[1])
+    return save_run(spark, train(split_demand(demand, data), config), base, run_id, data, config)
+
+
 def save_run(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
              data: DataConfig, config: BoostingConfig) -> str:
     """Everything of one run under ``base/run_id``; the run id is given, not taken from a clock."""
