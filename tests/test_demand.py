@@ -6,7 +6,7 @@ from tests.conftest import explained
 from zonecast.functions.months import month_end, month_list, month_start, months_between
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans import prepare
-from zonecast.plans.config import DataConfig
+from zonecast.config import DataConfig
 from zonecast.sources import files
 
 TRIPS = "hvfhs_license_num string, request_datetime timestamp_ntz, PULocationID int"

@@ -13,7 +13,7 @@ from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, split_by_day
 from zonecast.operators.scaling import fit_scaler, scale
 from zonecast.plans import cycle, predict, prepare, train
-from zonecast.plans.config import BoostingConfig, DataConfig
+from zonecast.config import BoostingConfig, DataConfig
 from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
 from zonecast.schemas import ACTUALS, ZONE, conform
 from zonecast.session import shared_folder, stored
@@ -22,7 +22,7 @@ from zonecast.sources.files import load_json, write_months
 from zonecast.sources.sqlfiles import run_sql_file
 from zonecast.sources.tables import TABLES, Warehouse
 from zonecast.streaming.cycle_stream import run_cycle_stream
-from zonecast.streaming.demand_stream import read_demand_stream, run_demand_stream
+from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
 
 METRICS = ("mae", "rmse", "mape_excluding_zero_actuals")
 
@@ -191,7 +191,7 @@ def test_demand_stream_equals_batch(spark, month, tmp_path):
         5, "request_datetime").sortWithinPartitions("request_datetime").write.parquet(f"{tmp_path}/in")
     schema = f"request_datetime timestamp_ntz, {ZONE} int"
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{tmp_path}/in")
-    run_demand_stream(source, f"{tmp_path}/out", f"{tmp_path}/checkpoint", late="400 hours")
+    run_demand_stream(hourly_demand_stream(source, "400 hours"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert rows(read_demand_stream(spark, f"{tmp_path}/out")) == rows(month.select("hour", ZONE, "demand"))
 
 
@@ -200,11 +200,26 @@ def test_trips_after_the_watermark_are_dropped(spark, tmp_path):
     for n, stamps in enumerate([[hour(10), hour(12)], [hour(2), hour(12)]]):
         spark.createDataFrame([(s, 1) for s in stamps], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
-    run_demand_stream(source, f"{tmp_path}/out", f"{tmp_path}/checkpoint", late="1 hour")
+    run_demand_stream(hourly_demand_stream(source, "1 hour"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     got = {r.hour: r.demand for r in read_demand_stream(spark, f"{tmp_path}/out").collect()}
     assert got in ({hour(10): 1, hour(12): 2}, {hour(10): 1, hour(12): 2, hour(2): 1})
 
 
+def test_stream_filters_and_empty_source(spark, tmp_path):
+    schema = f"hvfhs_license_num string, request_datetime timestamp, {ZONE} int"
+    spark.createDataFrame([("x", hour(1), 1), ("x", hour(1), 2), ("y", hour(1), 1)], schema).write.parquet(
+        f"{tmp_path}/in")
+    zones = spark.createDataFrame([(1,)], f"{ZONE} int")
+    source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    run_demand_stream(hourly_demand_stream(source, zones=zones, license_num="x"),
+                      f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert rows(read_demand_stream(spark, f"{tmp_path}/out")) == [(hour(1), 1, 1)]
+    (tmp_path / "none").mkdir()
+    empty = spark.readStream.schema(schema).parquet(f"{tmp_path}/none")
+    run_demand_stream(hourly_demand_stream(empty), f"{tmp_path}/out2", f"{tmp_path}/checkpoint2")
+    assert read_demand_stream(spark, f"{tmp_path}/out2").count() == 0
+
+
 def test_cycle_stream_equals_rebuild(spark, month, tmp_path):
     house = Warehouse(spark, shared_folder(spark, "warehouse"))
     house.replace("predictions", stand_in_predictions(full_panel(month)))

@@ -28,6 +28,12 @@ def test_hour_missing_everywhere_and_null_demand(demand):
     assert got == {(hour(h), z): {(0, 1): 5.0, (2, 2): 4.0}.get((h, z), 0.0) for h in range(4) for z in (1, 2)}
 
 
+def test_rows_without_hour_are_ignored(spark, demand):
+    sparse = demand([(0, 1, 5), (2, 1, 4)])
+    nulls = spark.createDataFrame([(None, 1, 9), (None, 1, 9)], sparse.schema)
+    assert cells(panel.full_panel(sparse.union(nulls))) == cells(panel.full_panel(sparse))
+
+
 def test_duplicate_cell_fails(demand):
     with pytest.raises(PySparkException, match="duplicate hour and zone"):
         panel.full_panel(demand([(0, 1, 5), (0, 1, 6), (2, 1, 1)])).collect()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.operators.lags import feature_names, lag_matrix
-from zonecast.plans.config import BoostingConfig
+from zonecast.config import BoostingConfig
 from zonecast.schemas import ZONE
 from zonecast.sources.files import load_json, save_json
 

@@ -40,6 +40,7 @@ def full_panel(sparse: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     A second row for the same hour and zone fails the job.
     """
     by_zone = Window.partitionBy(ZONE).orderBy("hour")
+    sparse = sparse.filter(F.col("hour").isNotNull())
     ends = panel_span(sparse)
     if zones is None:
         cells = sparse.select("hour", ZONE, F.coalesce("demand", F.lit(0)).cast("double").alias("demand"))

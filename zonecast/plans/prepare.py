@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.operators.demand import borough_zones, hourly_demand
-from zonecast.plans.config import DataConfig
+from zonecast.config import DataConfig
 from zonecast.sources.actuals import as_actuals
 from zonecast.sources.files import read_months, read_trips, read_zone_lookup, write_months
 from zonecast.sources.tables import Warehouse

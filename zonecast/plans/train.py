@@ -15,7 +15,7 @@ from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, raw_targets, split_by_month, zone_order
 from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.operators.sequences import hour_vectors, sequence_windows
-from zonecast.plans.config import BoostingConfig, DataConfig
+from zonecast.config import BoostingConfig, DataConfig
 from zonecast.schemas import ZONE
 from zonecast.sources.files import read_months, save_config, save_json, write_report
 

@@ -15,14 +15,14 @@ from zonecast.functions.months import month_list
 from zonecast.operators import evaluation, importance, lags, merge, monitoring, panel, rolling, scaling, sequences
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans import cycle, predict, train
-from zonecast.plans.config import BoostingConfig
+from zonecast.config import BoostingConfig
 from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
 from zonecast.sources import actuals, files
 from zonecast.sources.tables import Warehouse
 from zonecast.streaming.cycle_stream import run_cycle_stream
-from zonecast.streaming.demand_stream import read_demand_stream, run_demand_stream
+from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -450,7 +450,7 @@ def stream_hourly_demand(fx):
     source = fx.spark.readStream.schema(LAYOUTS["events"]).parquet(fx.path("events") + "*")
     trips = source.select(
         F.col("ts").alias("request_datetime"), F.col("user_id").cast("int").alias(ZONE))
-    run_demand_stream(trips, folder, shared_folder(fx.spark, "demand-checkpoint"))
+    run_demand_stream(hourly_demand_stream(trips), folder, shared_folder(fx.spark, "demand-checkpoint"))
     return read_demand_stream(fx.spark, folder)
 
 

@@ -22,6 +22,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one the cluster names in ``spark.checkpoint.dir``.
 
+    All folders of an application share a parent, which can go when the application is over.
+
     Only a local session without that setting gets a temporary folder of its own;
     on a cluster a machine-local folder would be lost with its machine.
     """
@@ -31,7 +33,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="zonecast-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/zonecast-{application}/{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 from zonecast.schemas import HOURLY_DEMAND, ZONE
 
 
-def hourly_demand_stream(trips: DataFrame, late: str = "2 hours") -> DataFrame:
-    """Running counts per (hour, zone); trips later than the watermark are dropped."""
+def hourly_demand_stream(
+    trips: DataFrame,
+    late: str = "2 hours",
+    zones: DataFrame | None = None,
+    license_num: str | None = None,
+) -> DataFrame:
+    """Running counts per (hour, zone); trips later than the watermark are dropped.
+
+    ``zones`` is a table, not a stream. State holds one count per cell inside the watermark.
+    """
+    if license_num is not None:
+        trips = trips.filter(F.col("hvfhs_license_num") == license_num)
+    if zones is not None:
+        trips = trips.join(zones.select(ZONE), ZONE, "left_semi")
     stamped = trips.select(
         F.col("request_datetime").cast("timestamp").alias("request_datetime"),
         F.col(ZONE).cast("int").alias(ZONE)).dropna()
@@ -19,12 +31,11 @@ def hourly_demand_stream(trips: DataFrame, late: str = "2 hours") -> DataFrame:
             .select(F.col("bin.start").alias("hour"), ZONE, "demand"))
 
 
-def run_demand_stream(trips: DataFrame, folder: str, checkpoint: str, late: str = "2 hours") -> None:
+def run_demand_stream(counts: DataFrame, folder: str, checkpoint: str) -> None:
     """Process what is available. Every batch writes its changed cells to a folder of its own,
     so a batch that is run again replaces itself. Folder -1 is empty: a source without files
     leaves a readable table too."""
-    counts = hourly_demand_stream(trips, late)
-    trips.sparkSession.createDataFrame([], counts.schema).write.mode("overwrite").parquet(f"{folder}/batch=-1")
+    counts.sparkSession.createDataFrame([], counts.schema).write.mode("overwrite").parquet(f"{folder}/batch=-1")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
