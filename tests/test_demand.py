@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -53,6 +55,27 @@ def test_license_and_zone_filters(spark):
     assert counts(hourly_demand(df, "2024-01", "2024-01", zones, "x")) == {(datetime(2024, 1, 1), 1): 2}
 
 
+def test_a_zone_with_a_third_of_all_trips(spark):
+    rng = random.Random(5)
+    rows = [("x", datetime(2024, 1, 1 + rng.randrange(3), rng.randrange(24), rng.randrange(60)),
+             7 if rng.random() < 0.34 else rng.randrange(40)) for _ in range(3000)]
+    expected = Counter((at.replace(minute=0), zone) for _, at, zone in rows)
+    counted = hourly_demand(trips(spark, rows), "2024-01", "2024-01")
+    plan = explained(counted)
+    assert counts(counted) == expected
+    # Rows are counted before they are shuffled.
+    assert plan.index("partial_count") < plan.index("hashpartitioning")
+    assert plan.count("hashpartitioning") == 1
+
+
+def test_small_zone_lists_filter_before_the_count(spark, tmp_path):
+    df = trips(spark, [("x", datetime(2024, 1, 1), 1)])
+    spark.createDataFrame([(1,)], "PULocationID int").write.parquet(f"{tmp_path}/zones")
+    zones = spark.read.parquet(f"{tmp_path}/zones")
+    plan = hourly_demand(df, "2024-01", "2024-01", zones)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join LeftSemi")
+
+
 def test_month_bounds_and_columns_reach_the_scan(spark, tmp_path):
     rows = [("x", datetime(2024, 1, 1, 0, 10), 1)]
     trips(spark, rows).write.parquet(f"{tmp_path}/t")
