@@ -2,9 +2,10 @@
 
 Every source has a share of all words by its weight, at most ``max_epochs`` times its own words; what exceeds
 that goes to the others by weight. A source first gives whole epochs, every document once each, and then a
-part of one more: documents in the order of exponential keys -ln(u) / quality, u a hash of the id, as long as
-their sum stays within the words that are left. The gap behind them goes to the following document of the same part
-whose size comes nearest to it, if that is nearer than leaving it.
+part of one more: documents in the order of exponential keys -ln(u) / quality, u a hash of the id, up to the words
+that are left. A document that would exceed them is passed over, and the gap goes round a few more times among
+the following documents of its part that fit; what then remains goes to the document nearest to it in size, if that is
+nearer than leaving it.
 
 No source is sorted as a whole. Keys fall into equal parts of the unit interval; sizes are summed by source
 and part, a running sum finds the part in which the budget ends, and only its documents are sorted.
@@ -31,6 +32,7 @@ class MixConfig:
     max_epochs: int = 3
     seed: int = 20
     part_rows: int = 4096
+    rounds: int = 4
 
 
 def word_count(text: Column) -> Column:
@@ -102,18 +104,26 @@ def cuts(rows: DataFrame, config: MixConfig, parts: int) -> DataFrame:
     by_source = Window.partitionBy("g.source")
     running = by_source.orderBy("es_key", "doc_id", "s.size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     row = F.struct("es_key", "doc_id", F.col("s.size").alias("size"), "tie")
-    within = F.col("at") <= F.col("rest")
     inside = (small(rows.withColumn("part", part(F.col("es_key"), parts)).alias("s"), stops.alias("g"), spark)
-              .filter("s.part = g.stop")
-              .withColumn("at", F.col("before") + F.sum("s.size").over(running)).withColumn("row", row)
-              .withColumn("gap", F.col("rest") - F.coalesce(F.max(F.when(within, F.col("at"))).over(by_source), F.col("before")))
-              .withColumn("miss", F.abs(F.col("gap") - F.col("s.size")))
-              .groupBy("g.source").agg(
-                  F.max(F.when(within, F.col("row"))).alias("last"),
-                  F.min(F.when(~within & (F.col("miss") < F.col("gap")), F.struct("miss", "row"))).alias("filler"))
-              .select("source", "last", "filler.row"))
-    return stored(stops.join(inside.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")), "left")
-                  .select("source", "source_size", "target", "epochs", "stop", "last", F.col("row").alias("filler")), "mix-cuts")
+              .filter("s.part = g.stop").withColumn("row", row)
+              .withColumn("gap", F.col("rest") - F.col("before")).withColumn("taken", F.lit(False)))
+    rounds = []
+    for i in range(config.rounds):
+        fits = ~F.col("taken") & (F.col("s.size") <= F.col("gap"))
+        inside = inside.withColumn("fits", fits).withColumn("at", F.sum(F.when(F.col("fits"), F.col("s.size")).otherwise(0)).over(running))
+        now = F.col("fits") & (F.col("at") <= F.col("gap"))
+        inside = inside.withColumn("now", now).withColumns({
+            f"gap{i}": F.col("gap"), f"last{i}": F.max(F.when(F.col("now"), F.col("row"))).over(by_source),
+            "gap": F.col("gap") - F.coalesce(F.max(F.when(F.col("now"), F.col("at"))).over(by_source), F.lit(0)),
+            "taken": F.col("taken") | F.col("now")})
+        rounds.append(F.struct(F.col(f"gap{i}").alias("gap"), F.col(f"last{i}").alias("last")))
+    miss = F.abs(F.col("gap") - F.col("s.size"))
+    found = (inside.withColumn("rounds", F.array(*rounds)).groupBy("g.source").agg(
+        F.first("rounds").alias("rounds"),
+        F.min(F.when(~F.col("taken") & (miss < F.col("gap")), F.struct(miss.alias("miss"), "row"))).alias("filler"))
+        .select(F.col("source").alias("name"), "rounds", F.col("filler.row").alias("filler")))
+    return stored(stops.join(found, F.col("source").eqNullSafe(F.col("name")), "left")
+                  .select("source", "source_size", "target", "epochs", "stop", "rounds", "filler"), "mix-cuts")
 
 
 def small(rows: DataFrame, by_source: DataFrame, spark) -> DataFrame:
@@ -127,7 +137,8 @@ def with_copies(rows: DataFrame, by_source: DataFrame, parts: int) -> DataFrame:
     """``rows`` of :func:`keyed` with more columns, beside source_size, target, copies."""
     place = part(F.col("es_key"), parts)
     row = F.struct("es_key", "doc_id", F.col("s.size").alias("size"), "tie")
-    inside = F.coalesce(row <= F.col("last"), F.lit(False)) | F.coalesce(row.eqNullSafe(F.col("filler")) & F.col("filler").isNotNull(), F.lit(False))
+    inside = F.coalesce(F.exists("rounds", lambda r: (F.col("s.size") <= r.gap) & F.coalesce(row <= r.last, F.lit(False))), F.lit(False))
+    inside |= F.coalesce(row == F.col("filler"), F.lit(False))
     partial = ((place < F.col("stop")) | ((place == F.col("stop")) & inside)).cast("long")
     return (small(rows.alias("s"), by_source.alias("g"), rows.sparkSession)
             .withColumn("copies", F.when(F.col("s.size") > 0, F.col("epochs") + partial).otherwise(0)))

@@ -56,7 +56,13 @@ def op10_language(spark, sf_dir):
     return docs.select("doc_id", held_out.alias("held_out"), said.alias("said")).select("doc_id", "held_out", "said.*")
 
 
-# The same word counts, keys, parts and rules; sources are joined null-safe.
+# The same word counts, keys, parts and rounds; sources are joined null-safe.
+_MIX_ROUND = """
+fits{n} AS (SELECT *, NOT taken AND size <= gap AS fits FROM rows{n}),
+sums{n} AS (SELECT *, sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY es_key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM fits{n}),
+rows{next} AS (
+  SELECT * EXCLUDE (fits, upto, taken, gap), taken OR (fits AND upto <= gap) AS taken,
+         gap - coalesce(max(CASE WHEN fits AND upto <= gap THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM sums{n}),"""
 ORACLES["op6_mixing"] = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -71,24 +77,33 @@ levels AS (SELECT *, 3 * source_size AS "limit", 3 * source_size / weight::DOUBL
 reached AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum("limit") OVER b, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS reached
   FROM levels WINDOW b AS (ORDER BY level, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+common AS (SELECT first(reached ORDER BY level, source NULLS LAST) AS common FROM reached WHERE reached < level),
 goals AS (
-  SELECT source, source_size, CASE WHEN reached >= level THEN "limit"::DOUBLE
-    ELSE (first(reached ORDER BY level, source NULLS LAST) FILTER (reached < level) OVER ()) * weight END AS target FROM reached),
+  SELECT source, source_size, CASE WHEN reached >= level THEN "limit"::DOUBLE ELSE common * weight END AS target
+  FROM reached LEFT JOIN common ON TRUE),
 goal AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs,
          target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT * source_size AS rest FROM goals),
 placed AS (
   SELECT d.*, g.source_size, g.target, g.epochs, g.rest, least(parts - 1, floor((1.0::DOUBLE - exp(-es_key)) * parts)::BIGINT) AS part
-  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source CROSS JOIN parts),
-summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY part, es_key, doc_id, size ROWS UNBOUNDED PRECEDING) AS at FROM placed),
-stops AS (SELECT source, min(part) AS stop FROM (SELECT source, part, max(at) AS part_end, any_value(rest) AS rest FROM summed GROUP BY ALL) WHERE part_end > rest GROUP BY source),
-gaps AS (
-  SELECT s.*, stop, rest - max(CASE WHEN at <= rest THEN at ELSE 0 END) OVER (PARTITION BY s.source) AS gap
-  FROM summed s LEFT JOIN stops t ON s.source IS NOT DISTINCT FROM t.source),
-fillers AS (
-  SELECT *, at > rest AND part = stop AND abs(gap - size) < gap AND row_number() OVER (
-    PARTITION BY source, at > rest AND part = stop AND abs(gap - size) < gap ORDER BY abs(gap - size), es_key, doc_id, size) = 1 AS filler FROM gaps)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size > 0 THEN (epochs + (at <= rest OR filler)::BIGINT) * size ELSE 0 END::BIGINT AS taken
-FROM fillers
+  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source, parts),
+part_sums AS (SELECT source, part, sum(size)::BIGINT AS words FROM placed GROUP BY source, part),
+ends AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY part) AS part_end FROM part_sums),
+stops AS (
+  SELECT e.source, min(e.part) AS stop, first(e.part_end - e.words ORDER BY e.part) AS before
+  FROM ends e JOIN goal g ON e.source IS NOT DISTINCT FROM g.source WHERE part_end > rest GROUP BY e.source),
+rows0 AS (
+  SELECT p.*, coalesce(stop, parts) AS stop, rest - coalesce(before, 0) AS gap, FALSE AS taken
+  FROM placed p LEFT JOIN stops s ON p.source IS NOT DISTINCT FROM s.source, parts WHERE part = coalesce(stop, parts)),""" + "".join(
+    _MIX_ROUND.format(n=n, next=n + 1) for n in range(4)) + """
+fillers AS (SELECT *, NOT taken AND abs(gap - size) < gap AS may FROM rows4),
+chosen AS (
+  SELECT source, es_key, doc_id, size, taken OR (may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(gap - size), es_key, doc_id, size) = 1) AS inside
+  FROM fillers),
+decided AS (
+  SELECT p.*, p.part < coalesce(s.stop, parts) OR coalesce(c.inside, FALSE) AS partial
+  FROM placed p LEFT JOIN stops s ON p.source IS NOT DISTINCT FROM s.source
+  LEFT JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source AND p.doc_id = c.doc_id, parts)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN (epochs + partial::BIGINT) * size ELSE 0 END::BIGINT AS taken
+FROM decided
 """
