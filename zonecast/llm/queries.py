@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, language, mixing, near_dups, secret_scan
+from zonecast.llm import bpe, fingerprints, language, mixing, near_dups, secret_scan, token_files
 from zonecast.llm.common import crc_mod, documents
+from zonecast.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +108,15 @@ decided AS (
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN (epochs + partial::BIGINT) * size ELSE 0 END::BIGINT AS taken
 FROM decided
 """
+
+
+@query
+def op2_token_files(spark, sf_dir):
+    folder = shared_folder(spark, "token-files")
+    token_files.write_shards(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_shards(spark, folder, ids=False)
+
+
+@query
+def op3_order_minhash(spark, sf_dir):
+    return fingerprints.edited_neighbours(documents(spark, sf_dir).select("doc_id", "text"))
