@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, fingerprints, language, mixing, near_dups, secret_scan, token_files
+from zonecast.llm import bpe, fingerprints, language, licenses, mixing, near_dups, ngram_lm, secret_scan, token_files, weak_rules
 from zonecast.llm.common import crc_mod, documents
-from zonecast.session import shared_folder
+from zonecast.session import shared_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,29 @@ def op2_token_files(spark, sf_dir):
 @query
 def op3_order_minhash(spark, sf_dir):
     return fingerprints.edited_neighbours(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op7_licenses(spark, sf_dir):
+    found = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.col("base")
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base).cast("long").alias("first_word"),
+                        F.array_max(base).cast("long").alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query
+def op8_weak_supervision(spark, sf_dir):
+    rows = documents(spark, sf_dir).select("doc_id", weak_rules.measured(F.col("text")).alias("m")).select("doc_id", "m.*")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (weak_rules.judged(stored(rows, "measures")).withColumn("base_failed", failed)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                    (~F.col("base_failed") & F.col("good")).alias("kept"), "quality"))
+
+
+@query
+def op5_lm(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = ngram_lm.scores(docs, crc_mod(F.col("doc_id"), 7) != 2)
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
