@@ -83,6 +83,19 @@ class HashIndex:
         return found.reshape(shape)
 
 
+class Numbered(dict):
+    """Numbers keys in the order they are first looked up; ``new`` holds those not dealt with yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of every range, one range after the other."""
     ends = np.cumsum(lengths)

@@ -24,6 +24,7 @@ import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import ranges
+from zonecast.llm.common import Numbered, ranges
 
 SHARD = ("part int, shard int, first long, n_ids long, base long, doc_ids binary, null_id binary, doc_lengths binary, "
          "rules binary, expansions binary, sequence binary")
@@ -63,17 +64,17 @@ class Grammar:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids behind symbols; one level of rules at a time."""
-        symbols = symbols.astype(np.int64)
-        while True:
-            new = symbols >= self.base
-            if not new.any():
-                return symbols
+        """The ids behind symbols, by a table of what every rule stands for."""
+        lengths = np.concatenate([np.ones(self.base, np.int64), self.expansions])
+        rules = np.arange(self.base, self.base + len(self.rules))
+        while (new := rules >= self.base).any():  # one level of rules at a time
             places = np.cumsum(1 + new) - (1 + new)
-            out = np.zeros(len(symbols) + int(new.sum()), np.int64)
-            out[places[~new]] = symbols[~new]
-            out[places[new]], out[places[new] + 1] = self.rules[symbols[new] - self.base].T
-            symbols = out
+            wider = np.zeros(len(rules) + int(new.sum()), np.int64)
+            wider[places[~new]] = rules[~new]
+            wider[places[new]], wider[places[new] + 1] = self.rules[rules[new] - self.base].T
+            rules = wider
+        table = np.concatenate([np.arange(self.base), rules])
+        return table[ranges((np.cumsum(lengths) - lengths)[symbols], lengths[symbols])]
 
     def ids(self, start: int, count: int) -> np.ndarray:
         """``count`` ids from the ``start``-th on; only the symbols that hold them are expanded."""
@@ -134,47 +135,92 @@ class WordEncoder:
     """The tokenizers library, called once for each new word.
 
     Its normaliser and splitter never look across ASCII white space, so a text's ids are its words' ids; upper and
-    lower case are one to it, so A-Z is lowered first.
+    lower case are one to it, so A-Z is lowered first. A word of letters is one piece to the splitter, and a
+    mark behind it another, so letters are encoded by the hundred in one call, cut where a piece ends, and a
+    marked word is put together from its letters and its mark.
     """
 
+    MARKS = ",.;:!?"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.tokenizer.get_vocab_size()
+        self.ends_piece = np.zeros(self.size, bool)
+        self.ends_piece[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.marks = {mark: int(self.separately([mark])[0][0]) for mark in self.MARKS}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = Numbered()
         self.ids = np.zeros(0, np.int32)
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        ids, owners = [], []
-        for begin in range(0, len(words), 512):
-            part = [w.decode("utf-8") for w in words[begin:begin + 512]]
-            done = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(done.ids, np.int32))
-            owners.append(np.array(done.word_ids, np.int64) + begin)
-        lengths = np.bincount(np.concatenate(owners), minlength=len(words)).astype(np.int64)
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.known.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, *ids])
-        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+    def separately(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in one array, and how many each has."""
+        ids = [done.ids for done in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that are one piece each."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(self.ends_piece[ids]) + 1
+        if len(ends) != len(words):
+            return self.separately(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def keep(self, at: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Append ids, and note where those of the words numbered ``at`` are."""
+        self.starts[at] = len(self.ids) + np.cumsum(lengths) - lengths
+        self.lengths[at] = lengths
+        self.ids = np.concatenate([self.ids, ids])
+
+    def learn(self) -> None:
+        """Encode the words looked up since the last call."""
+        plain, plain_at, marked, other, other_at = [], [], [], [], []
+        at = len(self.lengths)
+        for word in self.known.new:  # the loop also reaches the letters it looks up itself
+            text = word.decode("utf-8")
+            if text.isalpha():
+                plain.append(text)
+                plain_at.append(at)
+            elif text[-1] in self.marks and text[:-1].isalpha():
+                marked.append((at, self.known[text[:-1].encode()], self.marks[text[-1]]))
+            else:
+                other.append(text)
+                other_at.append(at)
+            at += 1
+        self.known.new = []
+        self.starts = np.concatenate([self.starts, np.zeros(at - len(self.starts), np.int64)])
+        self.lengths = np.concatenate([self.lengths, np.zeros(at - len(self.lengths), np.int64)])
+        done = [self.together(plain[i:i + 512]) for i in range(0, len(plain), 512)]
+        if other:
+            done.append(self.separately(other))
+        if done:
+            self.keep(plain_at + other_at, *map(np.concatenate, zip(*done, strict=True)))
+        if marked:
+            own, stems, marks = np.array(marked, np.int64).T
+            lengths = self.lengths[stems] + 1
+            ids = np.empty(int(lengths.sum()), np.int32)
+            last = np.zeros(len(ids), bool)
+            last[np.cumsum(lengths) - 1] = True
+            ids[last] = marks
+            ids[~last] = self.ids[ranges(self.starts[stems], lengths - 1)]
+            self.keep(own, ids, lengths)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, ``end_id`` after each, and the number of ids of each."""
-        found = [text.encode("utf-8", "replace").lower().split() for text in texts]
         if len(self.known) > KEPT_WORDS:
             self.forget()
-        new = list(dict.fromkeys(w for each in found for w in each if w not in self.known))
-        if new:
-            self.learn(new)
-        known = self.known
-        at = np.fromiter((known[w] for each in found for w in each), np.int64, sum(map(len, found)))
+        found = [text.encode("utf-8", "replace").lower().split() for text in texts]
+        sizes = np.array([len(each) for each in found], np.int64)
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+        if self.known.new:
+            self.learn()
         lengths = self.lengths[at]
-        ends = np.cumsum([len(each) for each in found])
-        total = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])]
+        total = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
         counts = np.diff(total) + 1
         out = np.full(int(counts.sum()), end_id, np.int32)
         inner = np.ones(len(out), bool)
