@@ -35,7 +35,8 @@ class NearDupConfig:
     """Two documents are linked if 100 * common shingles >= ``percent`` * all their shingles.
 
     ``block_nodes`` and ``block_shingles`` bound what one verification task holds of a component; a larger
-    component is cut into blocks, and every two blocks meet in a task of their own.
+    component is cut into blocks, and every two blocks meet in a task of their own. The table of who meets where is
+    broadcast up to ``small_tasks`` rows of 48 bytes.
     """
 
     words: int = 5
@@ -44,6 +45,7 @@ class NearDupConfig:
     chunk: int = 5
     block_nodes: int = 2000
     block_shingles: int = 1_000_000
+    small_tasks: int = 300_000
 
     @property
     def values(self) -> int:
@@ -339,6 +341,9 @@ def confirmed_links(docs: DataFrame, members: DataFrame, config: NearDupConfig)
             nodes = list(forest.parent)
             yield pa.RecordBatch.from_pydict({"a": pa.array([forest.root(x) for x in nodes], pa.int64()), "b": pa.array(nodes, pa.int64())})
 
+    tasks = stored(tasks, "dup-tasks")
+    if tasks.count() <= config.small_tasks:
+        tasks = F.broadcast(tasks)  # then only the members' texts are shuffled, not all texts
     rows = docs.select(F.col("doc_id").alias("rep"), "text").join(tasks, "rep")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(n, *key).sortWithinPartitions(*key).select("rep", "text", "block", *key)
