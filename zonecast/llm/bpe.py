@@ -9,7 +9,6 @@ column closes up, rows without a mergeable pair leave. Pieces seen before come f
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
@@ -21,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.llm.common import HashIndex, chunks, ranges
+from zonecast.llm.common import HashIndex, Numbered, bounded_batches, chunks, only, ranges
 
 NO_PAIR = np.int32(np.iinfo(np.int32).max)
 WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
@@ -54,7 +53,7 @@ class ByteBpe:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbered()
         self.piece_ids = np.zeros(0, np.int32)
         self.piece_lengths = np.zeros(0, np.int64)
         self.piece_starts = np.zeros(0, np.int64)
@@ -146,11 +145,10 @@ class ByteBpe:
                 for i, row, n in zip(part, merged, lengths, strict=True):
                     out[i] = row[:n]
         lengths = np.array([len(x) for x in out], np.int64)
-        base, begin = len(self.piece_lengths), len(self.piece_ids)
+        begin = len(self.piece_ids)
         self.piece_ids = np.concatenate([self.piece_ids, *out])
         self.piece_starts = np.concatenate([self.piece_starts, begin + np.cumsum(lengths) - lengths])
         self.piece_lengths = np.concatenate([self.piece_lengths, lengths])
-        self.known.update(zip(pieces, range(base, base + len(pieces)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each text."""
@@ -158,10 +156,10 @@ class ByteBpe:
         pieces = [piece for each in found for piece in each]
         if len(self.known) > KEPT_PIECES:
             self.forget()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.known))
-        if new:
-            self.learn(new)
         at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
         lengths = self.piece_lengths[at]
         ids = self.piece_ids[ranges(self.piece_starts[at], lengths)]
         owner = np.repeat(np.arange(len(texts)), [len(each) for each in found])
@@ -174,8 +172,11 @@ class ByteBpe:
         return self.bytes[ranges(self.starts[ids], self.lengths[ids])]
 
 
-@functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> ByteBpe:
+    return only(("byte-bpe", path, pattern), lambda: read_ranks(path, pattern))
+
+
+def read_ranks(path: str, pattern: str) -> ByteBpe:
     """Read a rank file: a line per token, its bytes in base64 and its rank, the ranks 0, 1, 2 ..."""
     with open(path, "rb") as lines:
         ranked = sorted((int(rank), base64.b64decode(token)) for token, rank in map(bytes.split, lines))
@@ -190,6 +191,8 @@ def _texts(batch: pd.Series) -> list[str]:
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
     """The ids of a text column as array<int>; a null text has none."""
+    bounded_batches()
+
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = load(path, pattern)
@@ -205,6 +208,8 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
 
 def decoded(ids: Column, path: str, pattern: str) -> Column:
     """The bytes of an array<int> column; null has none."""
+    bounded_batches()
+
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = load(path, pattern)
@@ -216,6 +221,8 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
 
 def round_trip(text: Column, path: str, pattern: str) -> Column:
     """Encode and decode in one pass; a struct of the number of ids and the digests of ids and decoded bytes."""
+    bounded_batches()
+
     @F.pandas_udf(ROUND_TRIP)
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(path, pattern)

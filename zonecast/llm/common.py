@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 SPACES = re.compile(rb"[\x20\x09-\x0d]+")
 
 
@@ -18,6 +18,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded_batches() -> None:
+    """Let Arrow hand texts to Python in batches of a few MB, whatever their length; a longer text is a batch of its own."""
+    conf = SparkSession.active().conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+_HELD: dict = {}
+
+
+def only(key, build):
+    """``build()`` for ``key``, kept in this Python worker until another key is asked for.
+
+    Workers serve one operator after the other; just the tables of the present one stay in memory.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def crc_mod(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor

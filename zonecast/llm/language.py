@@ -14,7 +14,6 @@ wins, the alphabetically first one in a tie.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import pickle
 from collections.abc import Iterator
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import HashIndex, chunks
+from zonecast.llm.common import HashIndex, bounded_batches, chunks, only
 
 UNKNOWN = "und"
 
@@ -189,19 +188,16 @@ def training_sample(labelled: DataFrame, config: LanguageConfig) -> dict[str, li
     return out
 
 
-@functools.lru_cache(maxsize=2)
-def _coder(digest: str, broadcast) -> Coder:
-    return Coder(broadcast.value)
-
-
 def language_of(spark, trees: ContextTrees, text: Column) -> Column:
     """A struct of lang_pred and score for a text column."""
     digest = hashlib.sha256(pickle.dumps(trees)).hexdigest()
     shipped = spark.sparkContext.broadcast(trees)
 
+    bounded_batches()
+
     @F.pandas_udf("lang_pred string, score double")
     def identify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = _coder(digest, shipped)
+        coder = only(("language", digest), lambda: Coder(shipped.value))
         for batch in batches:
             lang, score = classify(coder, [t if isinstance(t, str) else None for t in batch])
             yield pd.DataFrame({"lang_pred": lang, "score": score})

@@ -43,7 +43,7 @@ def quality(text: Column) -> Column:
     """Share of characters that are no digits or symbols, at least 0.1; 0.1 for a null or empty text."""
     length = F.length(text)
     symbols = length - F.length(F.translate(text, SYMBOLS, ""))
-    return F.coalesce(F.greatest(F.lit(0.1), 1.0 - symbols / length), F.lit(0.1))
+    return F.coalesce(F.greatest(F.lit(0.1), 1.0 - symbols / F.nullif(length, F.lit(0))), F.lit(0.1))
 
 
 def uniform(doc_id: Column, seed: int) -> Column:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import ascii_words, chunks, ranges
+from zonecast.llm.common import ascii_words, bounded_batches, chunks, only, ranges
 from zonecast.session import stored
 
 PROFILE = "n_shingles long, set_hash binary, signature binary"
@@ -79,7 +80,8 @@ class WordHashes(dict):
         return value
 
 
-HASHES = WordHashes()
+def word_hashes() -> WordHashes:
+    return only("word-hashes", WordHashes)
 
 
 def shingle_hashes(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +91,7 @@ def shingle_hashes(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray
     """
     found = [ascii_words(text) for text in texts]
     sizes = np.array([len(w) for w in found], np.int64)
-    hashes = np.fromiter((HASHES[w] for each in found for w in each), np.uint64, int(sizes.sum()))
+    hashes = np.fromiter(map(word_hashes().__getitem__, chain.from_iterable(found)), np.uint64, int(sizes.sum()))
     starts, counts = np.cumsum(sizes) - sizes, np.where(sizes >= words, sizes - words + 1, np.minimum(sizes, 1))
     first = ranges(starts, counts)
     length = np.repeat(np.minimum(sizes, words), counts)
@@ -113,6 +115,8 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, values: int) -> np.ndarra
 
 def profile(text: Column, config: NearDupConfig) -> Column:
     """A struct of the number of distinct shingles, a 128-bit hash of the set, and the signature; null hash and signature for none."""
+    bounded_batches()
+
     @F.pandas_udf(PROFILE)
     def profiled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -134,6 +138,8 @@ def profile(text: Column, config: NearDupConfig) -> Column:
 
 def chunk_keys(signature: Column, config: NearDupConfig) -> Column:
     """The keys of a signature: each chunk with each one of its values left out."""
+    bounded_batches()
+
     @F.pandas_udf("array<long>")
     def keys(batch: pd.Series) -> pd.Series:
         rows = np.frombuffer(b"".join(batch), np.uint16).reshape(len(batch), config.chunks, config.chunk)
@@ -344,6 +350,7 @@ def confirmed_links(docs: DataFrame, members: DataFrame, config: NearDupConfig)
     tasks = stored(tasks, "dup-tasks")
     if tasks.count() <= config.small_tasks:
         tasks = F.broadcast(tasks)  # then only the members' texts are shuffled, not all texts
+    bounded_batches()
     rows = docs.select(F.col("doc_id").alias("rep"), "text").join(tasks, "rep")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(n, *key).sortWithinPartitions(*key).select("rep", "text", "block", *key)

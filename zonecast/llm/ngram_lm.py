@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import HashIndex, ascii_words
-from zonecast.llm.near_dups import HASHES, bounds, grouped, mix64
+from zonecast.llm.common import ascii_words, bounded_batches, HashIndex
+from zonecast.llm.near_dups import bounds, grouped, mix64, word_hashes
 from zonecast.session import stored
 
 END = np.uint64(0x3C2F733E3C2F733E)
@@ -88,7 +88,7 @@ def in_blocks(docs: DataFrame, learns: Column, config: LmConfig) -> DataFrame:
             for doc_id, text, learn in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = ascii_words(text or "")
                 stream = np.empty(len(words) + 1, np.uint64)
-                stream[:-1] = [HASHES[w] for w in words]
+                stream[:-1] = list(map(word_hashes().__getitem__, words))
                 stream[-1] = END
                 if size and size + len(stream) > config.block_tokens:
                     yield row()
@@ -100,6 +100,7 @@ def in_blocks(docs: DataFrame, learns: Column, config: LmConfig) -> DataFrame:
         if held:
             yield row()
 
+    bounded_batches()
     return docs.select("doc_id", "text", F.coalesce(learns, F.lit(False)).alias("learns")).mapInArrow(cut, BLOCK)
 
 

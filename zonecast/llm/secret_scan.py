@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zonecast.llm.common import bounded_batches
+
 KINDS = ("assign", "access", "hex", "der", "jwt", "pem", "ssh")
 BASE = KINDS[:3]
 SPANS = "array<struct<kind: string, start: long, end: long>>"
@@ -224,6 +226,8 @@ def find_spans(text: str | None) -> list[Span]:
 
 def spans_of(text: Column) -> Column:
     """The spans of a text column, as array<struct<kind, start, end>>; empty for a null text."""
+    bounded_batches()
+
     @F.pandas_udf(SPANS)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -255,6 +259,8 @@ def mask(text: str | None, replacement: str) -> str | None:
 
 def masked(text: Column, replacement: str = "[SECRET]") -> Column:
     """The text column with all secrets replaced; other texts, null included, stay as they are."""
+    bounded_batches()
+
     @F.pandas_udf("string")
     def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

@@ -20,7 +20,7 @@ The files are Parquet, one row per shard:
 
 from __future__ import annotations
 
-import functools
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Numbered, ranges
+from zonecast.llm.common import Numbered, bounded_batches, only, ranges
 
 SHARD = ("part int, shard int, first long, n_ids long, base long, doc_ids binary, null_id binary, doc_lengths binary, "
          "rules binary, expansions binary, sequence binary")
@@ -229,11 +229,9 @@ class WordEncoder:
         return out, counts
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> WordEncoder:
-    import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    return WordEncoder(path)
+    return only(("word-bpe", path), lambda: WordEncoder(path))
 
 
 def _shard_row(part: int, shard: int, first: int, base: int, ids: np.ndarray, doc_ids: list, lengths: list, config: GrammarConfig) -> dict:
@@ -281,6 +279,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
         if doc_ids:
             yield row()
 
+    bounded_batches()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(
         F.col("doc_id"), F.xxhash64("text")).mapInArrow(write, SHARD)

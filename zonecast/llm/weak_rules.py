@@ -12,14 +12,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import chunks
-from zonecast.llm.near_dups import HASHES, mix64, odd_numbers
+from zonecast.llm.common import bounded_batches, chunks
+from zonecast.llm.near_dups import mix64, odd_numbers, word_hashes
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words",
             "n_top_word", "n_lettered_words")
@@ -59,7 +60,7 @@ def measures(texts: list[str]) -> list[tuple[int, ...]]:
     """
     found = [text.encode("utf-8", "replace").split() for text in texts]
     sizes = np.array([len(w) for w in found], np.int64)
-    hashes = np.fromiter((HASHES[w] for each in found for w in each), np.uint64, int(sizes.sum()))
+    hashes = np.fromiter(map(word_hashes().__getitem__, chain.from_iterable(found)), np.uint64, int(sizes.sum()))
     ends = np.cumsum(sizes)
     a, b, c = odd_numbers(3, 23)
     triples = mix64(hashes[:-2] * a + hashes[1:-1] * b + hashes[2:] * c) if len(hashes) > 2 else hashes[:0]
@@ -91,6 +92,8 @@ def measures(texts: list[str]) -> list[tuple[int, ...]]:
 
 def measured(text: Column) -> Column:
     """A struct of the measures of a text column; a null text counts as empty."""
+    bounded_batches()
+
     @F.pandas_udf(", ".join(f"{name} long" for name in MEASURES))
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
