@@ -446,8 +446,11 @@ def hourly_cycle(fx):
 @query
 def stream_hourly_demand(fx):
     folder = shared_folder(fx.spark, "demand")
-    # A pattern, as the stream source takes no plain file; it matches a folder of files as well.
-    source = fx.spark.readStream.schema(LAYOUTS["events"]).parquet(fx.path("events") + "*")
+    # Several files, in no order of time, one a batch.
+    arriving = shared_folder(fx.spark, "arriving")
+    (fx.spark.read.schema(LAYOUTS["events"]).parquet(fx.path("events"))
+     .repartitionByRange(4, F.col("ts").desc()).write.parquet(arriving))
+    source = fx.spark.readStream.schema(LAYOUTS["events"]).option("maxFilesPerTrigger", 1).parquet(arriving)
     trips = source.select(
         F.col("ts").alias("request_datetime"), F.col("user_id").cast("int").alias(ZONE))
     run_demand_stream(hourly_demand_stream(trips), folder, shared_folder(fx.spark, "demand-checkpoint"))
