@@ -11,11 +11,12 @@ from zonecast.operators import evaluation, monitoring, rolling
 from zonecast.operators.boosting import load_models
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, split_by_day
-from zonecast.operators.scaling import fit_scaler, scale
+from zonecast.operators.monitoring import prediction_errors
+from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.plans import cycle, predict, prepare, train
 from zonecast.config import BoostingConfig, DataConfig
 from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
-from zonecast.schemas import ACTUALS, ZONE, conform
+from zonecast.schemas import ACTUALS, PREDICTIONS, ZONE, conform
 from zonecast.session import shared_folder, stored
 from zonecast.sources import actuals
 from zonecast.sources.files import load_json, write_months
@@ -233,6 +234,58 @@ def test_cycle_stream_equals_rebuild(spark, month, tmp_path):
     assert [r for r in rows(house.read("rolling_7d")) if r in bulk] == bulk
 
 
+def test_cycle_stream_of_cut_hours_equals_rebuild(spark, month, tmp_path):
+    """Every hour lies in two files, read in two batches."""
+    house = Warehouse(spark, shared_folder(spark, "warehouse"))
+    house.replace("predictions", stand_in_predictions(full_panel(month)))
+    cells = conform(month, ACTUALS)
+    for part in (0, 1):
+        cells.filter(F.col(ZONE).cast("int") % 2 == part).coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
+    source = spark.readStream.schema(ACTUALS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    run_cycle_stream(source, house, f"{tmp_path}/checkpoint")
+    whole = rebuilt(spark, month, hour(240))
+    for name in ("actuals", "errors", "metrics_by_hour", "metrics_by_day"):
+        assert rows(house.read(name)) == rows(whole.read(name)), name
+    for name in ("rolling_7d", "rolling_7d_by_zone"):
+        bulk = rows(whole.read(name))
+        assert bulk and [r for r in rows(house.read(name)) if r in bulk] == bulk, name
+
+
+def broadcasts_expanded_rows(df):
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for n, line in enumerate(lines):
+        depth = line.find("BroadcastExchange")
+        for below in lines[n + 1:] if depth >= 0 else []:
+            if len(below) - len(below.lstrip(" :+-")) <= depth:
+                break
+            if "Generate explode" in below:
+                return True
+    return False
+
+
+def test_dense_panels_are_never_broadcast(spark, month):
+    """Spark takes a panel for as small as its sparse rows."""
+    panel = full_panel(month)
+    scaler = fit_scaler(panel)
+    made = stand_in_predictions(panel)
+    frames = (scale(panel, scaler), unscale(panel, scaler), prediction_errors(made, panel),
+              predict.batch_predictions(month, scaler, predict.column_predictor(F.col("lag_1")), "m"))
+    for df in frames:
+        assert not broadcasts_expanded_rows(df)
+    assert broadcasts_expanded_rows(month.join(F.broadcast(panel.select(ZONE)), ZONE))
+
+
+def test_predictor_that_loses_or_repeats_a_zone(spark, month):
+    scaler = fit_scaler(full_panel(month))
+    whole = predict.column_predictor(F.col("lag_1"))
+    for wrong in (lambda s: whole(s).filter(F.col(ZONE) != 2), lambda s: whole(s).union(whole(s))):
+        with pytest.raises(Exception, match="every zone and hour once"):
+            predict.batch_predictions(month, scaler, wrong, "m", checked=True).collect()
+        with pytest.raises(Exception, match="every zone and hour once"):
+            predict.next_hour_prediction(
+                month, spark.createDataFrame([], PREDICTIONS), scaler, wrong, "m").collect()
+
+
 def test_sql_file_with_named_parameters(spark, tmp_path, errors):
     errors([(1, "1", 1, 3, "m"), (2, "1", 1, 3, "m")]).createOrReplaceTempView("some_errors")
     path = tmp_path / "q.sql"
@@ -249,7 +302,17 @@ def trained(spark, month):
     return config, train.train(split, config)
 
 
-def test_training_run(spark, trained, tmp_path):
+def assert_scoring_from_files(spark, month, root):
+    scaler, zones, models = train.load_run(spark, root)
+    house = Warehouse(spark, shared_folder(spark, "warehouse"))
+    house.replace("actuals", conform(month, ACTUALS).filter(F.col("hour") < F.lit(hour(239))))
+    predict.run_batch(house, scaler, models.predict, "m", models.lags)
+    assert house.read("predictions").count() == len(zones) * (239 - 24)
+    predict.run_next_hour(house, scaler, models.predict, "m", models.lags)
+    assert house.read("predictions").count() == len(zones) * (240 - 24)
+
+
+def test_training_run(spark, month, trained, tmp_path):
     config, run = trained
     assert run.zones == [1, 2, 3] and run.cells.count() == 3 * (72 - 24)
     overall = evaluation.evaluate_overall(run.cells).first()
@@ -257,6 +320,7 @@ def test_training_run(spark, trained, tmp_path):
     data = DataConfig("2024-03", "2024-03", ("2024-03", "2024-03"), ("2024-03", "2024-03"))
     root = train.save_run(spark, run, f"{tmp_path}/models", "run-1", data, config)
     assert load_json(spark, f"{root}/inference/zone_names") == [1, 2, 3]
+    assert_scoring_from_files(spark, month, root)
     assert spark.read.json(f"{root}/results/summary").first().run_id == "run-1"
     assert spark.read.option("header", True).csv(f"{root}/results/per_zone").count() == 3
     assert spark.read.option("header", True).csv(f"{root}/results/top_bottom").count() == 18

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import explained, hour
 from zonecast.functions.calendar import calendar_features, sequence_calendar
 from zonecast.operators import lags, panel, sequences
+from zonecast.schemas import ZONE
 
 ZONES = [3, 5, 11]
 
@@ -115,3 +116,25 @@ def test_windows_always_have_partition_keys(dense):
         plan = explained(df)
         assert "windowspecdefinition(" in plan and "windowspecdefinition(hour" not in plan
         assert "windowspecdefinition(index" not in plan
+
+
+def test_missing_cells_fail_instead_of_shifting(dense):
+    lost = dense.filter((F.col("hour") != F.lit(hour(5))) | (F.col(ZONE) != ZONES[0]))
+    samples = lags.lag_features(dense, (1,), calendar=False).filter(
+        (F.col("target_timestamp") != F.lit(hour(5))) | (F.col(ZONE) != ZONES[0]))
+    for zones in (ZONES, dense.select(ZONE)):
+        with pytest.raises(Exception, match="every zone once"):
+            lags.lag_matrix(samples, zones, (1,)).collect()
+        with pytest.raises(Exception, match="every zone once"):
+            sequences.hour_vectors(lost, zones).collect()
+
+
+def test_ten_thousand_and_one_zones(spark):
+    n = 10_001
+    long = spark.range(n).select(F.col("id").cast("int").alias(ZONE)).crossJoin(
+        spark.createDataFrame([(hour(0), 1.0), (hour(1), 2.0)], "hour timestamp, demand double"))
+    row = lags.lag_matrix(lags.lag_features(long, (1,), calendar=False), long.select(ZONE), (1,), calendar=False).first()
+    assert len(row.features) == n and set(row.features) == {1.0} and set(row.labels) == {2.0}
+    names = lags.feature_name_rows(long.select(ZONE), (1, 2)).orderBy("position").collect()
+    assert [r.feature for r in names] == lags.feature_names((1, 2), range(n))
+    assert [r.position for r in names] == list(range(2 * n + 8))

@@ -9,6 +9,7 @@ from zonecast.operators.lags import DEFAULT_LAGS
 
 @dataclass(frozen=True)
 class DataConfig:
+    # Names of the settings, and the default window lengths.
     process_start: str
     process_end: str
     train: tuple[str, str]

@@ -39,8 +39,3 @@ def hourly_demand(
         .agg(F.count(F.lit(1)).alias("demand")))
     return counted if zones is None else counted.join(zones.select(ZONE), ZONE, "left_semi").select(
         "hour", ZONE, "demand")
-
-
-def daily_as_hourly(df: DataFrame, stamp: str) -> DataFrame:
-    """Rows per calendar day in the layout of the monthly files."""
-    return df.groupBy(F.date_trunc("hour", stamp).alias("hour")).agg(F.count(F.lit(1)).alias("demand"))

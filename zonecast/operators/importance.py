@@ -13,6 +13,7 @@ def importance_by_feature(rows: DataFrame) -> DataFrame:
     def part(pattern: str, group: int):
         return F.nullif(F.regexp_extract(feature, pattern, group), F.lit(""))
 
+    # The patterns of feature names, and the labels of their types.
     return rows.groupBy("feature").agg(F.avg("importance").alias("importance")).select(
         "feature", "importance", part(r"(lag_\d+)", 1).alias("lag"), part(r"zone_(\d+)", 1).alias("zone"),
         F.when(feature.contains("lag_"), "spatial").otherwise("other").alias("type"))

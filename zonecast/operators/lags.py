@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.calendar import TABULAR_CALENDAR, calendar_features
 from zonecast.functions.stamps import hours
-from zonecast.operators.panel import MAX_WIDE_ZONES
 from zonecast.schemas import ZONE
 
 DEFAULT_LAGS = (1, 2, 3, 24)
@@ -74,31 +73,49 @@ def inference_rows(
     return rows.select("*", *calendar_features("target_timestamp")) if calendar else rows
 
 
-def zone_positions(spark: SparkSession, zones: Sequence[int]) -> DataFrame:
-    """A zone list as rows with positions. The list is short and its length checked, and
-    Spark knows the size of a local table, so joins with it need no shuffle."""
-    if len(zones) > MAX_WIDE_ZONES:
-        raise ValueError(f"more than {MAX_WIDE_ZONES} zones: keep the long form")
+Zones = Sequence[int] | DataFrame
+"""Zones in order, as a list or as the distinct values of a frame's zone column in ascending order."""
+
+
+def zone_positions(spark: SparkSession, zones: Zones) -> DataFrame:
+    """The zones as rows with positions from 0. Numbering a frame takes one task over the distinct zones, which
+    are the entries of one array of the wide rows."""
+    if isinstance(zones, DataFrame):
+        distinct = zones.select(F.col(ZONE).cast("int").alias(ZONE)).dropna().distinct()
+        return distinct.select(ZONE, (F.row_number().over(Window.orderBy(ZONE)) - 1).alias("position"))
     return spark.createDataFrame(
         [(int(zone), position) for position, zone in enumerate(zones)], f"{ZONE} int, position int")
 
 
+def whole_cells(cells: Column, zones: Zones) -> Column:
+    """``cells``, sorted by position. An array that lacks a zone or holds one twice fails the job, as its
+    values would stand under other zones' names."""
+    if isinstance(zones, DataFrame):
+        number = zones.agg(F.count_distinct(F.col(ZONE).cast("int"))).scalar()
+    else:
+        number = F.lit(len(zones))
+    once = (F.size(cells) == number) & (F.size(F.array_distinct(cells["position"])) == number)
+    return F.when(once, F.array_sort(cells)).otherwise(
+        F.raise_error(F.lit("an hour does not hold every zone once")))
+
+
 def lag_matrix(
     samples: DataFrame,
-    zones: Sequence[int],
+    zones: Zones,
     lags: Sequence[int] = DEFAULT_LAGS,
     calendar: bool = True,
     labels: bool = True,
 ) -> DataFrame:
     """One row per target hour: all zones' lags (lag by lag, zones in order), then the calendar.
 
-    A row is as wide as the zone list, whose length is checked.
+    A row is as wide as the zone list. An hour without one row for each zone fails the job.
     """
     keys = [c for c in ("split", "forecast_run_timestamp", "target_timestamp") if c in samples.columns]
     cell = F.struct(
         "position", *[F.col(f"lag_{lag}") for lag in lags], *([F.col("target")] if labels else []))
     placed = samples.join(zone_positions(samples.sparkSession, zones), ZONE)
-    hour = placed.groupBy(*keys).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    hour = placed.groupBy(*keys).agg(F.collect_list(cell).alias("cells"))
+    hour = hour.withColumn("cells", whole_cells(F.col("cells"), zones))
     blocks = [F.col(f"cells.lag_{lag}") for lag in lags]
     if calendar:
         blocks.append(F.array(*calendar_features("target_timestamp")))
@@ -111,3 +128,17 @@ def feature_names(lags: Sequence[int], zones: Sequence[int], calendar: bool = Tr
     """Names of the :func:`lag_matrix` features, in their order."""
     names = [f"lag_{lag}_zone_{zone}" for lag in lags for zone in zones]
     return names + list(TABULAR_CALENDAR) if calendar else names
+
+
+def feature_name_rows(zones: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, calendar: bool = True) -> DataFrame:
+    """Rows (position, feature) of :func:`feature_names`, for a zone list of any length."""
+    placed = zone_positions(zones.sparkSession, zones)
+    number = zones.agg(F.count_distinct(F.col(ZONE).cast("int"))).scalar().cast("int")
+    blocks = F.array(*[F.struct(F.lit(block).alias("block"), F.lit(lag).alias("lag")) for block, lag in enumerate(lags)])
+    rows = placed.select(ZONE, "position", F.inline(blocks)).select(
+        (F.col("block") * number + F.col("position")).alias("position"),
+        F.format_string("lag_%d_zone_%d", "lag", ZONE).alias("feature"))
+    if not calendar:
+        return rows
+    named = zones.sparkSession.createDataFrame(list(enumerate(TABULAR_CALENDAR)), "position int, feature string")
+    return rows.unionByName(named.select((len(lags) * number + F.col("position")).alias("position"), "feature"))

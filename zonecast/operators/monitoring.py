@@ -13,13 +13,14 @@ def prediction_errors(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
     """Error rows of every predicted cell that has an actual.
 
     Actuals are sparse, so hours without demand have no row here; pass a dense panel to
-    keep them. The key is one cell, so no key is hot whatever the demand of its zone.
+    keep them. The key is one cell, so no key is hot whatever the demand of its zone. Both sides are
+    cells, and Spark underestimates a dense panel, so neither is ever broadcast.
     """
     truth = actuals.select(
         F.col("hour").alias("target_timestamp"), F.col(ZONE).cast("string").alias(ZONE),
         F.col("demand").cast("double").alias("actual_demand"))
     miss = F.col("predicted_demand") - F.col("actual_demand")
-    joined = predictions.join(truth, ["target_timestamp", ZONE])
+    joined = predictions.join(truth.hint("merge"), ["target_timestamp", ZONE])
     return joined.select(
         "forecast_run_timestamp", "target_timestamp", ZONE, "actual_demand", "predicted_demand",
         "model_version", miss.alias("raw_error"), F.abs(miss).alias("absolute_error"),

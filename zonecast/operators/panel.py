@@ -11,7 +11,7 @@ from zonecast.functions.stamps import hours
 from zonecast.functions.months import in_months
 from zonecast.schemas import ZONE
 
-# Wide rows hold one value per zone; beyond this many zones the long form is the one to use.
+# One column, or one model, per zone: beyond this many zones the long form or the array form is the one to use.
 MAX_WIDE_ZONES = 10_000
 
 
@@ -69,7 +69,7 @@ def zone_order(df: DataFrame, limit: int = MAX_WIDE_ZONES) -> list[int]:
     """The zones of a frame in ascending order, on the driver. At most ``limit`` of them."""
     rows = df.select(ZONE).dropna().distinct().orderBy(ZONE).limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} zones: keep the long form")
+        raise ValueError(f"more than {limit} zones: use rows or arrays")
     return [row[0] for row in rows]
 
 

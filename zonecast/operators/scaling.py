@@ -25,5 +25,7 @@ def unscale(scaled: DataFrame, scaler: DataFrame, value: str = "demand") -> Data
 
 
 def _with_scaler(df, scaler, value, expression):
+    # The size Spark estimates for a dense panel is that of its sparse rows, so the panel could be taken for the side to
+    # broadcast. The scaler, one row per zone, is named as the build side; the panel stays where it is.
     columns = [expression.alias(value) if c == value else F.col(c) for c in df.columns]
-    return df.join(scaler.select(ZONE, "mean", "scale"), ZONE).select(*columns)
+    return df.join(scaler.select(ZONE, "mean", "scale").hint("shuffle_hash"), ZONE).select(*columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.calendar import calendar_features, sequence_calendar
-from zonecast.operators.lags import zone_positions
+from zonecast.operators.lags import Zones, whole_cells, zone_positions
 from zonecast.schemas import ZONE
 
 WEEK = 168
@@ -16,17 +16,20 @@ WEEK = 168
 
 def hour_vectors(
     panel: DataFrame,
-    zones: Sequence[int],
+    zones: Zones,
     value: str = "demand",
     calendar: bool = True,
     include_month: bool = True,
     holidays: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per hour: ``labels`` holds the zones in order, ``features`` adds the calendar."""
+    """One row per hour: ``labels`` holds the zones in order, ``features`` adds the calendar.
+
+    An hour without one row for each zone fails the job."""
     keys = [c for c in ("split", "hour") if c in panel.columns]
     placed = panel.join(zone_positions(panel.sparkSession, zones), ZONE)
     hour = placed.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("position", F.col(value).alias("value")))).alias("cells"))
+        F.collect_list(F.struct("position", F.col(value).alias("value"))).alias("cells"))
+    hour = hour.withColumn("cells", whole_cells(F.col("cells"), zones))
     labels = F.col("cells.value")
     block = F.array(*calendar_features("hour", sequence_calendar(include_month), holidays))
     return hour.select(*keys, labels.alias("labels"),

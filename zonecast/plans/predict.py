@@ -31,6 +31,20 @@ def column_predictor(value: Column) -> Predictor:
     return predict
 
 
+def complete(predicted: DataFrame, samples: DataFrame) -> DataFrame:
+    """The predictor's rows. A cell that was asked for and is missing, doubled or not asked for fails the job.
+
+    Both sides become counts per cell in one shuffle, combined in the map tasks."""
+    keys = [c for c in ("forecast_run_timestamp", "target_timestamp", ZONE) if c in samples.columns]
+    asked = samples.select(*keys, F.lit(None).cast("double").alias("predicted"), F.lit(1).alias("asked"), F.lit(0).alias("made"))
+    made = predicted.select(*keys, F.col("predicted").cast("double"), F.lit(0).alias("asked"), F.lit(1).alias("made"))
+    cells = asked.unionByName(made).groupBy(*keys).agg(
+        F.max("predicted").alias("predicted"), F.sum("asked").alias("asked"), F.sum("made").alias("made"))
+    value = F.when((F.col("asked") == 1) & (F.col("made") == 1), F.col("predicted")).otherwise(
+        F.raise_error(F.lit("predictions do not hold every zone and hour once")))
+    return cells.select(*keys, value.alias("predicted"))
+
+
 def batch_predictions(
     actuals: DataFrame,
     scaler: DataFrame,
@@ -38,12 +52,15 @@ def batch_predictions(
     model_version: str,
     lags: Sequence[int] = DEFAULT_LAGS,
     horizon: int = 1,
+    checked: bool = False,
 ) -> DataFrame:
     """Score every hour that has its lags. The zones are those of the scaler: others are
-    dropped, missing ones are zero. Negative predictions are kept."""
+    dropped, missing ones are zero. Negative predictions are kept. ``checked`` holds the
+    predictor to the cells it was asked for (:func:`complete`)."""
     panel = full_panel(conform(actuals, HOURLY_DEMAND), scaler.select(ZONE))
     samples = lag_features(scale(panel, scaler), lags, horizon)
-    demand = unscale(predictor(samples), scaler, "predicted")
+    predicted = complete(predictor(samples), samples) if checked else predictor(samples)
+    demand = unscale(predicted, scaler, "predicted")
     return conform(demand.select(
         (F.col("target_timestamp") - hours(horizon)).alias("forecast_run_timestamp"),
         "target_timestamp", ZONE, F.col("predicted").alias("predicted_demand"),
@@ -65,7 +82,7 @@ def next_hour_prediction(
     """
     panel = full_panel(conform(actuals, HOURLY_DEMAND), scaler.select(ZONE))
     samples = inference_rows(scale(panel, scaler), lags, horizon)
-    demand = unscale(predictor(samples), scaler, "predicted")
+    demand = unscale(complete(predictor(samples), samples), scaler, "predicted")
     rows = conform(demand.select(
         "forecast_run_timestamp", "target_timestamp", ZONE,
         F.col("predicted").alias("predicted_demand"), F.lit(model_version).alias("model_version")), PREDICTIONS)
@@ -88,13 +105,13 @@ def run_batch(warehouse: Warehouse, scaler: DataFrame, predictor: Predictor, mod
     actuals = warehouse.read("actuals")
     require_history(actuals, lags, horizon)
     warehouse.replace("predictions", batch_predictions(
-        actuals, scaler, predictor, model_version, lags, horizon))
+        actuals, scaler, predictor, model_version, lags, horizon, checked=True))
 
 
 def run_next_hour(warehouse: Warehouse, scaler: DataFrame, predictor: Predictor, model_version: str,
                   lags: Sequence[int] = DEFAULT_LAGS, horizon: int = 1) -> None:
     """Reads only the days the lags reach and the day of the target."""
-    latest = require_latest_hour(warehouse.read("actuals"))
+    latest = require_latest_hour(warehouse.newest("actuals"))
     start, target = latest - timedelta(hours=max(lags)), latest + timedelta(hours=horizon)
     recent = latest_actuals(
         warehouse.read("actuals", (start.date(), latest.date())), max(lags), latest)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.operators import evaluation
-from zonecast.operators.boosting import ZoneModels, fit_zone_models
+from zonecast.operators.boosting import ZoneModels, fit_zone_models, load_models
 from zonecast.operators.importance import importance_by, importance_by_feature, importance_by_type
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, raw_targets, split_by_month, zone_order
@@ -17,7 +17,7 @@ from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.operators.sequences import hour_vectors, sequence_windows
 from zonecast.config import BoostingConfig, DataConfig
 from zonecast.schemas import ZONE
-from zonecast.sources.files import read_months, save_config, save_json, write_report
+from zonecast.sources.files import load_json, read_months, save_json, write_report
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,8 @@ def save_run(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
     run.models.save(spark, f"{root}/inference/models")
     run.scaler.write.mode("overwrite").parquet(f"{root}/inference/scaler")
     save_json(spark, run.zones, f"{root}/inference/zone_names")
-    save_config(spark, {"model_config": asdict(config), "data_config": asdict(data)},
-                f"{root}/config/run_config")
+    save_json(spark, {"model_config": asdict(config), "data_config": asdict(data)},
+              f"{root}/config/run_config")
 
     results = f"{root}/results"
     run.cells.write.mode("overwrite").parquet(f"{results}/predictions")
@@ -101,10 +101,18 @@ def save_run(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
     write_report(evaluation.top_bottom_zones(per_zone), f"{results}/top_bottom")
 
     features = importance_by_feature(run.models.importance(spark))
-    for name, report in {
-        "feature_importance": features, "lag_importance": importance_by(features, "lag"),
-        "zone_importance": importance_by(features, "zone"),
-        "type_importance_summary": importance_by_type(features),
-    }.items():
-        write_report(report, f"{root}/feature_importance/{name}")
+    # Names and orders of the reports.
+    for name, report, order in (
+        ("feature_importance", features, "importance"),
+        ("lag_importance", importance_by(features, "lag"), "importance"),
+        ("zone_importance", importance_by(features, "zone"), "importance"),
+        ("type_importance_summary", importance_by_type(features), "sum"),
+    ):
+        write_report(report.orderBy(F.desc(order)), f"{root}/feature_importance/{name}")
     return root
+
+
+def load_run(spark: SparkSession, root: str) -> tuple[DataFrame, list[int], ZoneModels]:
+    """Scaler, zones and models of a saved run. ``models.predict`` is the predictor of the scoring jobs, ``models.lags`` its lags."""
+    scaler = spark.read.schema(f"{ZONE} int, mean double, scale double").parquet(f"{root}/inference/scaler")
+    return scaler, load_json(spark, f"{root}/inference/zone_names"), load_models(spark, f"{root}/inference/models")

@@ -308,8 +308,8 @@ SELECTS = {
     "sequence_features": """
       SELECT hour, CAST(i AS INTEGER) AS position, round(features[i + 1], 6) + 0.0 AS value
       FROM (SELECT hour, features, unnest(range(len(features))) AS i FROM nation_vectors)""",
-    "flat_windows": entries("target_timestamp", {"features": "past", "labels": "future"}, f"({_windows(6, 2)})"),
-    "sequence_windows": entries("target_timestamp", {"x": "past", "y": "future"}, f"({_windows(6, 1, 2)})"),
+    "flat_windows": entries("target_timestamp", {"features": "past", "labels": "future"}, f"({_windows(24, 1)})"),
+    "sequence_windows": entries("target_timestamp", {"x": "past", "y": "future"}, f"({_windows(24, 1, 1)})"),
     "batch_predictions": f"""
       SELECT hour - INTERVAL 1 HOUR AS forecast_run_timestamp, hour AS target_timestamp,
              CAST({Z} AS VARCHAR) AS {Z}, {r('(lag_1 + lag_2 + lag_3 + lag_24) / 4', 'predicted_demand')},
@@ -392,6 +392,7 @@ SELECTS = {
         AND EXISTS (SELECT 1 FROM hourly WHERE hour = TIMESTAMP '2024-01-30 23:00:00')
       GROUP BY model_version""",
     "stream_hourly_demand": f"SELECT hour, {Z}, demand FROM hourly",
+    "stream_cycle_hours": _HOURS,
     "stream_hourly_cycle": """
       SELECT * FROM day_metrics
       WHERE target_date IN (SELECT CAST(hour AS DATE) FROM hourly WHERE hour(hour) = 23)""",

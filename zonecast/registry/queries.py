@@ -203,33 +203,32 @@ def _entries(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def lag_matrix(fx):
-    zones = panel.zone_order(fx.nation_hourly)
+    zones = fx.nation_hourly.select(ZONE)
     samples = lags.lag_features(fx.nation_panel, calendar=False)
     return _entries(lags.lag_matrix(samples, zones), "features", "labels")
 
 
 @query
 def feature_names(fx):
-    names = lags.feature_names(lags.DEFAULT_LAGS, panel.zone_order(fx.nation_hourly))
-    return fx.spark.createDataFrame(list(enumerate(names)), "position int, feature string")
+    return lags.feature_name_rows(fx.nation_hourly.select(ZONE))
 
 
 @query
 def sequence_features(fx):
-    vectors = sequences.hour_vectors(fx.nation_panel, panel.zone_order(fx.nation_hourly))
+    vectors = sequences.hour_vectors(fx.nation_panel, fx.nation_hourly.select(ZONE))
     return vectors.select("hour", F.posexplode("features").alias("position", "value"))
 
 
 @query
 def flat_windows(fx):
-    vectors = sequences.hour_vectors(fx.nation_panel, panel.zone_order(fx.nation_hourly))
-    return _entries(sequences.flat_windows(vectors, 6, horizon=2), "features", "labels")
+    vectors = sequences.hour_vectors(fx.nation_panel, fx.nation_hourly.select(ZONE))
+    return _entries(sequences.flat_windows(vectors, 24), "features", "labels")
 
 
 @query
 def sequence_windows(fx):
-    vectors = sequences.hour_vectors(fx.nation_panel, panel.zone_order(fx.nation_hourly))
-    windows = sequences.sequence_windows(vectors, 6, 2)
+    vectors = sequences.hour_vectors(fx.nation_panel, fx.nation_hourly.select(ZONE))
+    windows = sequences.sequence_windows(vectors)
     return _entries(windows.withColumns({"x": F.flatten("x"), "y": F.flatten("y")}), "x", "y")
 
 
@@ -457,18 +456,27 @@ def stream_hourly_demand(fx):
     return read_demand_stream(fx.spark, folder)
 
 
-@query
-def stream_hourly_cycle(fx):
-    """Day metrics after the whole month of actuals arrived in batches of whole days."""
+def _streamed(fx: Fixtures) -> Warehouse:
+    """The tables after the whole month of actuals arrived, the zones of every hour cut over several files and batches."""
     warehouse = Warehouse(fx.spark, shared_folder(fx.spark, "warehouse"))
     warehouse.replace("predictions", fx.predictions)
     arrivals = shared_folder(fx.spark, "arrivals")
-    daily = fx.hourly.withColumn("demand", F.col("demand").cast("double")).withColumn(
-        "day", F.to_date("hour"))
-    daily.repartition("day").write.partitionBy("day").parquet(arrivals)
-    source = fx.spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 10).parquet(arrivals)
+    part = (F.col(ZONE) % 2 + 2 * F.floor(F.dayofmonth("hour") / 10)).cast("int")
+    cells = fx.hourly.select("hour", ZONE, F.col("demand").cast("double").alias("demand"), part.alias("part"))
+    cells.hint("rebalance", "part").write.partitionBy("part").parquet(arrivals)
+    source = fx.spark.readStream.schema(cells.schema).option("maxFilesPerTrigger", 3).parquet(arrivals)
     run_cycle_stream(source, warehouse, shared_folder(fx.spark, "cycle-checkpoint"))
-    return warehouse.read("metrics_by_day")
+    return warehouse
+
+
+@query
+def stream_hourly_cycle(fx):
+    return _streamed(fx).read("metrics_by_day")
+
+
+@query
+def stream_cycle_hours(fx):
+    return _streamed(fx).read("metrics_by_hour")
 
 
 # --- models ------------------------------------------------------------------------------

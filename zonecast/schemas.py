@@ -1,4 +1,4 @@
-"""Table layouts. Readers pass these; nothing is inferred from files."""
+"""Table layouts. Frames are projected and cast to these by name."""
 
 from __future__ import annotations
 
@@ -41,7 +41,6 @@ ROLLING = _table(
 ROLLING_BY_ZONE = _table(
     ("metric_date", _DATE), (ZONE, _TEXT), ("window_start_timestamp", _STAMP),
     ("window_end_timestamp", _STAMP), ("model_version", _TEXT), ("num_predictions", _LONG), *_METRICS)
-SCALER = _table((ZONE, _INT), ("mean", _REAL), ("scale", _REAL))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

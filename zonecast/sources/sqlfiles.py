@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,5 +12,5 @@ from zonecast.functions.stamps import instant
 def run_sql_file(
     spark: SparkSession, path: str, target_timestamp: datetime, model_version: str,
 ) -> DataFrame:
-    return spark.sql(Path(path).read_text(), args={
+    return spark.sql(spark.read.text(path, wholetext=True).first()[0], args={
         "target_timestamp": instant(target_timestamp), "model_version": model_version})

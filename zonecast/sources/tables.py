@@ -68,6 +68,12 @@ class Warehouse:
             df = df.filter(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
         return df.select(*spec.schema.fieldNames())
 
+    def newest(self, name: str) -> DataFrame:
+        """The last day of the table. Finding it reads the day of each folder and no column of the files."""
+        df = self._files(name)
+        day = None if df is None else df.agg(F.max("day")).first()[0]
+        return self.read(name, None if day is None else (day, day))
+
     def _placed(self, name: str, df: DataFrame) -> DataFrame:
         # Rebalancing puts a day's rows together, so that tasks do not each write a file per
         # day, and lets AQE cut a day that outgrows one task.
