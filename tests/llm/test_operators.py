@@ -292,7 +292,7 @@ def classes(rows, percent=85):
     return {i: root(i) for i in up}
 
 
-@pytest.mark.parametrize("config", [near_dups.NearDupConfig(), near_dups.NearDupConfig(block_nodes=7, small_tasks=0)])
+@pytest.mark.parametrize("config", [near_dups.NearDupConfig(), near_dups.NearDupConfig(block_nodes=7, small_tasks=0), near_dups.NearDupConfig(block_nodes=3, key_nodes=4)])
 def test_near_duplicates_equal_brute_force(spark, config):
     draw = random.Random(9)
     rows = []

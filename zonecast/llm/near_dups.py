@@ -4,9 +4,12 @@ Texts with the same set of word shingles are one node. A node's signature has ``
 of 16 bits. Two signatures that differ in at most ``2 * chunks - 1`` values have, by the pigeonhole
 principle, a chunk in which they differ in at most one; so every chunk gives one key for each of its
 values left out, and such a pair meets under a key whatever the value that differs. Under each key the nodes
-within that distance are linked by star edges, never by all pairs. The connected components of
+within that distance are linked by star edges, never by all pairs; under a key with more nodes than one task
+should hold, all of them are linked to its smallest one, near or not. The connected components of
 these edges hold every pair within the distance. Inside a component, blocks of bounded size
-compare the full shingle sets of all members, and only those links count.
+compare the full shingle sets of all members, and only those links count. A component of many blocks is compared
+in two steps: every block with itself and with the first one, which already joins a large group of copies; then
+only members of different classes are left to compare.
 
 With 60 values, a pair of similarity 0.85 lies beyond the distance of 23 with a probability of about 1e-5;
 a pair below it never becomes a link.
@@ -36,8 +39,8 @@ class NearDupConfig:
     """Two documents are linked if 100 * common shingles >= ``percent`` * all their shingles.
 
     ``block_nodes`` and ``block_shingles`` bound what one verification task holds of a component; a larger
-    component is cut into blocks, and every two blocks meet in a task of their own. The table of who meets where is
-    broadcast up to ``small_tasks`` rows of 48 bytes.
+    component is cut into blocks, and two blocks meet in a task of their own. Under a key of more than ``key_nodes``
+    nodes no distances are taken. The table of who meets where is broadcast up to ``small_tasks`` rows of 64 bytes.
     """
 
     words: int = 5
@@ -46,6 +49,7 @@ class NearDupConfig:
     chunk: int = 5
     block_nodes: int = 2000
     block_shingles: int = 1_000_000
+    key_nodes: int = 20_000
     small_tasks: int = 300_000
 
     @property
@@ -210,7 +214,10 @@ def near_stars(nodes: np.ndarray, codes: np.ndarray, distance: int) -> tuple[lis
 def candidate_edges(nodes: DataFrame, config: NearDupConfig) -> DataFrame:
     """Edges (a, b), a < b, whose components hold every two nodes (rep, signature) within the distance."""
     keyed = nodes.select("rep", F.explode(chunk_keys(F.col("signature"), config)).alias("key"))
-    meeting = (keyed.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").select("key", "rep"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1")
+    met = stored(keyed.join(shared, "key"), "dup-keys")
+    meeting = met.filter(F.col("n") <= config.key_nodes).select("key", "rep")
+    stars = met.filter(F.col("n") > config.key_nodes).select(F.col("least").alias("a"), F.col("rep").alias("b"))
     distance, values = config.distance, config.values
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +237,8 @@ def candidate_edges(nodes: DataFrame, config: NearDupConfig) -> DataFrame:
 
     rows = meeting.join(nodes.select("rep", "signature"), "rep")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(link, "a long, b long").filter("a <> b").distinct()
+    near = rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(link, "a long, b long")
+    return near.union(stars).filter("a <> b").distinct()
 
 
 class Forest:
@@ -316,34 +324,79 @@ def exact_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -
             yield x, np.flatnonzero(linked)
 
 
-def confirmed_links(docs: DataFrame, members: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Star edges of the exact links inside the components of ``members`` (rep, n_shingles, component)."""
-    size = members.groupBy("component").agg(F.count("*").alias("nodes"), F.sum("n_shingles").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("nodes") / config.block_nodes), F.ceil(F.col("shingles") / config.block_shingles))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    tasks = (members.join(size, "component").withColumn("blocks", blocks.cast("long"))
-             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", other)
-             .select("rep", "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block"))
+def block_count(nodes: Column, shingles: Column, config: NearDupConfig) -> Column:
+    return F.greatest(F.ceil(nodes / config.block_nodes), F.ceil(shingles / config.block_shingles)).cast("long")
+
+
+def first_tasks(members: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Who meets where in the first step: each block of a component alone, and the first one with each other one.
+
+    rep, n_shingles, component, blocks, and the blocks ``one`` and ``two`` that meet in the task, ``side`` the one of the
+    row. A block is a pair of numbers: ``group``, 0 in this step, and its place in the group.
+    """
+    size = members.groupBy("component").agg(block_count(F.count("*"), F.sum("n_shingles"), config).alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    others = F.when(F.col("own") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array_distinct(F.array(F.lit(0).cast("long"), "own")))
+    zero = F.lit(0).cast("long")
+    return (members.join(size, "component").withColumn("own", own).withColumn("other", F.explode(others))
+            .select("rep", "component", zero.alias("group_one"), F.least("own", "other").alias("one"), zero.alias("group_two"),
+                    F.greatest("own", "other").alias("two"), (F.col("own") == F.greatest("own", "other")).cast("long").alias("side")))
+
+
+def second_tasks(members: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Who meets where in the second step, in components of more than two blocks.
+
+    ``classes`` (node, component) are the classes after the first step. Classes of more than a block are groups of
+    their own, numbered from 1, all others are group 0. Any two blocks meet, but those of the same class.
+    """
+    whole = members.groupBy("component").agg(block_count(F.count("*"), F.sum("n_shingles"), config).alias("of_component")).filter("of_component > 2")
+    told = (members.join(whole, "component")
+            .join(classes.select(F.col("node").alias("rep"), F.col("component").alias("class")), "rep", "left")
+            .withColumn("class", F.coalesce("class", "rep")))
+    by_class = told.groupBy("component", "class").agg(F.count("*").alias("nodes"), F.sum("n_shingles").alias("shingles"))
+    by_class = by_class.withColumn("large", block_count(F.col("nodes"), F.col("shingles"), config) > 1)
+    number = F.row_number().over(Window.partitionBy("component").orderBy("class")).cast("long")
+    large = by_class.filter("large").select("component", "class", number.alias("group"))
+    groups = stored(by_class.join(large, ["component", "class"], "left").withColumn("group", F.coalesce("group", F.lit(0).cast("long"))), "dup-groups")
+    sized = groups.groupBy("component", "group").agg(block_count(F.sum("nodes"), F.sum("shingles"), config).alias("blocks"))
+    blocks = sized.select("component", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("own"))
+    one, two = blocks.alias("x"), blocks.alias("y")
+    first, second = F.struct("x.group", "x.own"), F.struct("y.group", "y.own")
+    pairs = (one.join(two, F.col("x.component") == F.col("y.component"))
+             .filter((F.col("x.group") == 0) & (F.col("y.group") == 0) | (F.col("x.group") != F.col("y.group")))
+             .select(F.col("x.component").alias("component"), F.col("x.group").alias("group"), F.col("x.own").alias("own"),
+                     F.least(first, second).alias("low"), F.greatest(first, second).alias("high"), (first >= second).cast("long").alias("side")))
+    placed = (told.join(groups.select("component", "class", "group"), ["component", "class"]).join(sized, ["component", "group"])
+              .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
+    return (placed.join(pairs, ["component", "group", "own"])
+            .select("rep", "component", F.col("low.group").alias("group_one"), F.col("low.own").alias("one"),
+                    F.col("high.group").alias("group_two"), F.col("high.own").alias("two"), "side"))
+
+
+def confirmed_links(docs: DataFrame, tasks: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Star edges of the exact links between the members that meet in a task."""
     words, percent = config.words, config.percent
-    key = ("component", "one", "two")
+    key = ("component", "group_one", "one", "group_two", "two")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, key):
             forest = Forest()
-            ids, text = table.column("rep").to_numpy(), table.column("text")
-            blocks, one, two = (table.column(c).to_numpy() for c in ("block", "one", "two"))
+            ids, text, sides = table.column("rep").to_numpy(), table.column("text"), table.column("side").to_numpy()
+            alone = np.all([table.column(a).to_numpy() == table.column(b).to_numpy() for a, b in (("group_one", "group_two"), ("one", "two"))], axis=0)
             for s, e in zip(*bounds(table, key), strict=True):
+                side = None if alone[s] else sides[s:e]
+                if e - s < 2 or side is not None and side.min() == side.max():
+                    continue
                 hashes, counts = shingle_hashes([t or "" for t in text.slice(s, e - s).to_pylist()], words)
                 sets = [np.unique(x) for x in np.split(hashes, np.cumsum(counts)[:-1])]
-                if e - s == 2 and one[s] == two[s]:
+                if e - s == 2:
                     common = len(np.intersect1d(*sets, assume_unique=True))
                     if common and 100 * common >= percent * (len(sets[0]) + len(sets[1]) - common):
                         forest.join(int(ids[s]), int(ids[s + 1]))
-                elif e - s > 1:
-                    side = None if one[s] == two[s] else (blocks[s:e] == two[s]).astype(int)
-                    for x, linked in exact_links(sets, side, percent):
-                        for y in linked.tolist():
-                            forest.join(int(ids[s + x]), int(ids[s + y]))
+                    continue
+                for x, linked in exact_links(sets, side, percent):
+                    for y in linked.tolist():
+                        forest.join(int(ids[s + x]), int(ids[s + y]))
             nodes = list(forest.parent)
             yield pa.RecordBatch.from_pydict({"a": pa.array([forest.root(x) for x in nodes], pa.int64()), "b": pa.array(nodes, pa.int64())})
 
@@ -353,10 +406,20 @@ def confirmed_links(docs: DataFrame, members: DataFrame, config: NearDupConfig)
     bounded_batches()
     rows = docs.select(F.col("doc_id").alias("rep"), "text").join(tasks, "rep")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, *key).sortWithinPartitions(*key).select("rep", "text", "block", *key)
+    return (rows.repartition(n, *key).sortWithinPartitions(*key).select("rep", "text", "side", *key)
             .mapInArrow(verify, "a long, b long").filter("a <> b"))
 
 
+def confirmed_classes(docs: DataFrame, members: DataFrame, config: NearDupConfig) -> DataFrame:
+    """node, component by the exact links inside the components of ``members`` (rep, n_shingles, component)."""
+    links = stored(confirmed_links(docs, first_tasks(members, config), config), "dup-first")
+    classes = components(links, "dup-links")
+    more = second_tasks(members, classes, config)
+    if more.isEmpty():
+        return classes
+    return components(links.union(confirmed_links(docs, more, config)), "dup-links")
+
+
 def near_duplicates(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
 
@@ -369,7 +432,7 @@ def near_duplicates(docs: DataFrame, config: NearDupConfig = NearDupConfig()) ->
     near = components(candidate_edges(nodes, config), "dup-candidates")
     members = stored(near.join(nodes.withColumnRenamed("rep", "node"), "node")
                      .select(F.col("node").alias("rep"), "n_shingles", "component"), "dup-members")
-    classes = components(confirmed_links(docs, members, config), "dup-links")
+    classes = confirmed_classes(docs, members, config)
     by_set = (nodes.join(classes.withColumnRenamed("node", "rep"), "rep", "left")
               .select("set_hash", F.coalesce("component", "rep").alias("class")))
     # Rows without a set have no partner and need none, so they may meet nothing in the join.
