@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import hour
+from tests.conftest import explained, hour
 from zonecast.operators import evaluation, monitoring, rolling
 from zonecast.operators.boosting import load_models
 from zonecast.operators.lags import lag_features
@@ -376,3 +376,26 @@ def test_models_score_as_predictor(spark, trained, month):
 def test_production_variant_trains_on_everything(month):
     scaler, models = train.train_on_all(month, BoostingConfig(n_estimators=1, max_depth=1, lags=(1,)))
     assert scaler.count() == 3 and len(models.models) == 3
+
+
+def test_replace_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_path, demand):
+    house = Warehouse(spark, str(tmp_path))
+    rows = actuals.as_actuals(demand([(0, 1, 5), (1, 2, 6), (30, 1, 7)]))
+    house.append("actuals", rows)
+    broken = rows.withColumn("demand", F.when(F.col("demand") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("demand")))
+    with pytest.raises(Exception, match="lost"):
+        house.replace("actuals", broken)
+    assert house.read("actuals").count() == 3
+    house.replace("actuals", house.read("actuals").filter(F.col("demand") < 7))  # may read itself
+    house.append("actuals", rows.filter(F.col("demand") == 7).withColumn("demand", F.lit(8.0)))
+    assert sorted(r.demand for r in house.read("actuals").collect()) == [5.0, 6.0, 8.0]
+    assert house.newest("actuals").count() == 1
+    house.replace("actuals", rows.limit(0))
+    assert house.read("actuals").count() == 0
+
+
+def test_errors_of_a_week_read_a_week_of_folders(spark, tmp_path, errors):
+    house = Warehouse(spark, str(tmp_path))
+    house.replace("errors", errors([(24 * d, "1", 1, 2, "m") for d in range(20)]))
+    week = house.read("errors", ((hour(0) + timedelta(days=10)).date(), (hour(0) + timedelta(days=16)).date()))
+    assert week.count() == 7 and "PartitionFilters: [isnotnull(day" in explained(week)

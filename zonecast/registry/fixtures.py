@@ -20,7 +20,9 @@ from zonecast.operators.monitoring import prediction_errors
 from zonecast.operators.panel import full_panel, split_by_day
 from zonecast.operators.scaling import fit_scaler
 from zonecast.schemas import PREDICTIONS, ZONE, conform
-from zonecast.session import prepare_session, stored
+from zonecast.session import prepare_session, shared_folder, stored
+from zonecast.sources.actuals import as_actuals
+from zonecast.sources.tables import Warehouse
 
 # Layouts of the driver's tables.
 LAYOUTS = {
@@ -146,6 +148,22 @@ class Fixtures:
         """For operators that read the error table more than once."""
         return stored(self.errors, "errors")
 
+    @cached_property
+    def monitored(self) -> Warehouse:
+        """Errors as a stored table, for operators that read some of its days."""
+        warehouse = Warehouse(self.spark, shared_folder(self.spark, "tables"))
+        warehouse.replace("errors", self.errors)
+        return warehouse
+
+    @cached_property
+    def tables(self) -> Warehouse:
+        """Predictions and actuals beside the errors made of them."""
+        warehouse = Warehouse(self.spark, shared_folder(self.spark, "tables"))
+        warehouse.replace("predictions", self.predictions)
+        warehouse.replace("actuals", as_actuals(self.hourly))
+        warehouse.replace("errors", prediction_errors(warehouse.read("predictions"), warehouse.read("actuals")))
+        return warehouse
+
     @cached_property
     def stored_errors_dense(self) -> DataFrame:
         return stored(self.errors_dense, "errors")

@@ -393,6 +393,20 @@ SELECTS = {
       GROUP BY model_version""",
     "stream_hourly_demand": f"SELECT hour, {Z}, demand FROM hourly",
     "stream_cycle_hours": _HOURS,
+    "monthly_trips": f"SELECT hour, {Z}, demand FROM hourly",
+    "zone_lookup_csv": "SELECT LocationID, Borough FROM lookup",
+    "processed_months": f"""
+      SELECT hour, {Z}, CAST(demand AS DOUBLE) AS demand FROM order_days
+      WHERE hour >= TIMESTAMP '1996-02-01' AND hour < TIMESTAMP '1997-02-01'""",
+    "sql_file": f"""
+      SELECT target_timestamp, {Z}, absolute_error FROM errors WHERE target_timestamp = {HOUR} AND model_version = {MODEL}""",
+    "view_overall": _OVERALL,
+    "view_by_zone": _ZONES,
+    "view_latest_rolling": f"""
+      SELECT * FROM ({rolling('errors')})
+      QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY window_end_timestamp DESC) = 1""",
+    "importance_report": f"SELECT feature, {r('importance', 'importance')}, lag, zone, type FROM importance",
+    "per_zone_report": "SELECT * FROM per_zone",
     "stream_hourly_cycle": """
       SELECT * FROM day_metrics
       WHERE target_date IN (SELECT CAST(hour AS DATE) FROM hourly WHERE hour(hour) = 23)""",

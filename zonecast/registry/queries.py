@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from zonecast.config import BoostingConfig
 from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
-from zonecast.sources import actuals, files
+from zonecast.sources import actuals, files, sqlfiles
 from zonecast.sources.tables import Warehouse
 from zonecast.streaming.cycle_stream import run_cycle_stream
 from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
@@ -325,14 +325,19 @@ def rolling_7d_byzone_bulk_dense(fx):
     return rolling.rolling_7d_by_zone(fx.stored_errors_dense)
 
 
+def _last_week(fx: Fixtures) -> DataFrame:
+    """Stored errors of the seven days that end with the hour; no other folder is read."""
+    return fx.monitored.read("errors", ((HOUR - timedelta(days=6)).date(), HOUR.date()))
+
+
 @query
 def rolling_7d_at(fx):
-    return rolling.rolling_7d_at(fx.errors, HOUR, MODEL)
+    return rolling.rolling_7d_at(_last_week(fx), HOUR, MODEL)
 
 
 @query
 def rolling_7d_byzone_at(fx):
-    return rolling.rolling_7d_by_zone_at(fx.errors, HOUR, MODEL)
+    return rolling.rolling_7d_by_zone_at(_last_week(fx), HOUR, MODEL)
 
 
 @query
@@ -396,8 +401,9 @@ def importance_by_type(fx):
 
 @query
 def merge_prediction_error(fx):
-    stored = before(fx.stored_errors, "target_timestamp", HOUR)
-    return merge.merge_errors(stored, fx.predictions, actuals.as_actuals(fx.hourly), HOUR, MODEL)
+    day = (HOUR.date(), HOUR.date())
+    stored = before(fx.tables.read("errors"), "target_timestamp", HOUR)
+    return merge.merge_errors(stored, fx.tables.read("predictions", day), fx.tables.read("actuals", day), HOUR, MODEL)
 
 
 @query
@@ -479,6 +485,80 @@ def stream_cycle_hours(fx):
     return _streamed(fx).read("metrics_by_hour")
 
 
+# --- files, views and reports read back --------------------------------------------------
+
+@query
+def monthly_trips(fx):
+    """Trips written as the raw file of their month, read by month and counted."""
+    folder = shared_folder(fx.spark, "raw")
+    fx.trips.write.parquet(files.raw_path(folder, MONTH))
+    return hourly_demand(files.read_trips(fx.spark, folder, MONTH, MONTH), MONTH, MONTH)
+
+
+@query
+def zone_lookup_csv(fx):
+    folder = shared_folder(fx.spark, "lookup")
+    files.write_report(fx.zone_lookup.withColumn("Zone", F.lit("not read")), folder)
+    return files.read_zone_lookup(fx.spark, folder)
+
+
+@query
+def processed_months(fx):
+    """Days of orders as monthly files; a range of months is read, in the layout of hourly demand."""
+    folder = shared_folder(fx.spark, "processed")
+    files.write_months(fx.order_days, folder)
+    return files.read_months(fx.spark, folder, "1996-02", "1997-01")
+
+
+@query
+def sql_file(fx):
+    """Errors of one hour and model by a SQL file with typed parameters."""
+    path = shared_folder(fx.spark, "sql")
+    text = ("SELECT target_timestamp, PULocationID, absolute_error FROM stored_errors\n"
+            "WHERE target_timestamp = :target_timestamp AND model_version = :model_version")
+    fx.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    fx.monitored.read("errors").createOrReplaceTempView("stored_errors")
+    return sqlfiles.run_sql_file(fx.spark, path, HOUR, MODEL)
+
+
+def _view(fx: Fixtures, name: str) -> DataFrame:
+    fx.monitored.replace("rolling_7d", rolling.rolling_7d(fx.monitored.read("errors")))
+    cycle.create_views(fx.monitored)
+    return fx.spark.table(name)
+
+
+@query
+def view_overall(fx):
+    return _view(fx, "vw_overall_metrics")
+
+
+@query
+def view_by_zone(fx):
+    return _view(fx, "vw_prediction_metrics_groupby_zone")
+
+
+@query
+def view_latest_rolling(fx):
+    return _view(fx, "vw_latest_prediction_metrics_rolling_7d")
+
+
+def _reread(report: DataFrame, order: str) -> DataFrame:
+    """A report written in descending order of a column, and read back."""
+    folder = shared_folder(report.sparkSession, "report")
+    files.write_report(report.orderBy(F.desc(order)), folder)
+    return files.read_csv(report.sparkSession, folder, report.schema)
+
+
+@query
+def importance_report(fx):
+    return _reread(importance.importance_by_feature(fx.importance), "importance")
+
+
+@query
+def per_zone_report(fx):
+    return _reread(evaluation.evaluate_per_zone(fx.test_cells), "zone")
+
+
 # --- models ------------------------------------------------------------------------------
 
 BOOSTING = BoostingConfig(n_estimators=2, max_depth=3, parallel_fits=8)

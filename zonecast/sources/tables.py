@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -31,12 +32,19 @@ TABLES = {
 }
 
 INPUTS = ("actuals", "predictions")
+VERSIONS = "number bigint, folder string"
+FIRST = "first"
+"""Folder of a table that was only ever appended to."""
 
 
 class Warehouse:
     """Tables under one shared base path; predictions and actuals under ``inputs`` where it is
     given, so that versions of the monitoring tables share them. The partition column ``day`` is never exposed.
 
+    Every table has a list of versions beside it, and its newest one is the table. A replaced table is written
+    whole as a new version, and only then listed: until that moment, and after a failed write, readers see the old one. Old
+    versions stay until someone removes their folders. A table has one writer at a time.
+
     ``days`` of :meth:`read` is a literal range, so only those folders are listed and read.
     """
 
@@ -47,15 +55,27 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.inputs if name in INPUTS else self.base}/{name}"
 
-    def _files(self, name: str) -> DataFrame | None:
-        stored = T.StructType([*TABLES[name].schema.fields, T.StructField("day", T.DateType())])
+    def _parquet(self, schema: T.StructType | str, path: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema(stored).parquet(self.path(name))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
+    def _version(self, name: str) -> tuple[int, str]:
+        """Number and folder of the version in use. The list has a row for each time the table was replaced."""
+        listed = self._parquet(VERSIONS, f"{self.path(name)}-versions")
+        newest = None if listed is None else listed.agg(F.max(F.struct("number", "folder"))).first()[0]
+        return (0, FIRST) if newest is None else (newest["number"], newest["folder"])
+
+    def _folder(self, name: str) -> str:
+        return f"{self.path(name)}/{self._version(name)[1]}"
+
+    def _files(self, name: str) -> DataFrame | None:
+        stored = T.StructType([*TABLES[name].schema.fields, T.StructField("day", T.DateType())])
+        return self._parquet(stored, self._folder(name))
+
     def exists(self, name: str) -> bool:
         return self._files(name) is not None
 
@@ -82,13 +102,16 @@ class Warehouse:
                 .hint("rebalance", "day"))
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._placed(name, df).write.mode("append").partitionBy("day").parquet(self.path(name))
+        self._placed(name, df).write.mode("append").partitionBy("day").parquet(self._folder(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Truncate and load. ``df`` must not read the table itself."""
-        self._placed(name, df).write.mode("overwrite").partitionBy("day").parquet(self.path(name))
+        """Truncate and load, as a new version; ``df`` may read the table itself."""
+        number, folder = self._version(name)[0] + 1, f"v-{uuid.uuid4().hex}"
+        self._placed(name, df).write.partitionBy("day").parquet(f"{self.path(name)}/{folder}")
+        listed = self.spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(folder).alias("folder")).coalesce(1)
+        listed.write.mode("append").parquet(f"{self.path(name)}-versions")
 
     def replace_days(self, name: str, df: DataFrame) -> None:
         """Replace only the days present in ``df``; it may read the table it writes."""
         (self._placed(name, df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(self.path(name)))
+         .partitionBy("day").parquet(self._folder(name)))
