@@ -105,6 +105,21 @@ def test_token_files(spark, docs, empty):
     assert token_files.read_shards(spark, folder).count() == 0
 
 
+def test_word_shortcut_equals_library():
+    library = Tokenizer.from_file(WORDS)
+    ordinary = Tokenizer.from_file(WORDS)
+    ordinary.encode_special_tokens = True
+    # U+0130, U+09DF, U+09DC and U+095C become letter and combining mark; J + U+030C has no composed form, j + U+030C has.
+    words = ["EV\u0130", "\u09b8\u09ae\u09df", "\u09dc", "\u0915\u095c", "J\u030c", "xT\u0344", "Zw\u00f6lf", "\ud55c\uae00", "\u1112\u1161", "plain", "KELVIN\u212a"]
+    texts = [word + mark for word in words for mark in ["", *",.;:!?"]] + [" ".join(w + "," for w in words), "A\u030c Jj, J\u030c, x"]
+    texts += ["a<|endoftext|>b", "<|ENDOFTEXT|> x", " <|startoftext|>  Y\n", "", "plain text, again."]
+    for added, reference in ((True, library), (False, ordinary)):
+        out, counts = token_files.WordEncoder(WORDS).encode(texts, 1, added)
+        got = [x.tolist() for x in np.split(out, np.cumsum(counts)[:-1])]
+        assert got == [reference.encode(text, add_special_tokens=False).ids + [1] for text in texts]
+    assert library.encode("a<|endoftext|>b", add_special_tokens=False).ids == [320, 49407, 321]
+
+
 def test_grammar_reads_any_range():
     draw = np.random.default_rng(3)
     for ids in (np.tile(draw.integers(0, 50, 40), 60), draw.integers(0, 4, 3000), np.zeros(500, int), np.array([7])):

@@ -113,7 +113,7 @@ FROM decided
 @query
 def op2_token_files(spark, sf_dir):
     folder = shared_folder(spark, "token-files")
-    token_files.write_shards(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"))
+    token_files.write_shards(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
     return token_files.read_shards(spark, folder, ids=False)
 
 

@@ -135,9 +135,10 @@ class WordEncoder:
     """The tokenizers library, called once for each new word.
 
     Its normaliser and splitter never look across ASCII white space, so a text's ids are its words' ids; upper and
-    lower case are one to it, so A-Z is lowered first. A word of letters is one piece to the splitter, and a
-    mark behind it another, so letters are encoded by the hundred in one call, cut where a piece ends, and a
-    marked word is put together from its letters and its mark.
+    lower case are one to it, so A-Z is lowered first, but not in a text with combining marks: some compose with the small
+    letter only. A word of letters is one piece to the splitter, and a mark behind it another, so letters are encoded
+    by the hundred in one call, cut where a piece ends, and a marked word is put together from its letters and
+    its mark. That does not hold of letters the normaliser turns into a letter and a combining mark; see ``parts_mark``.
     """
 
     MARKS = ",.;:!?"
@@ -145,11 +146,13 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # words are ordinary text; see ``encode`` for texts with added tokens
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.ends_piece = np.zeros(self.size, bool)
         self.ends_piece[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.marks = {mark: int(self.separately([mark])[0][0]) for mark in self.MARKS}
+        self.parting: dict[str, bool] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -171,6 +174,21 @@ class WordEncoder:
             return self.separately(words)
         return ids, np.diff(ends, prepend=0)
 
+    def parts_mark(self, letter: str) -> bool:
+        """Whether a mark behind ``letter`` is a piece of its own, asked of the library once for each letter."""
+        if letter not in self.parting:
+            alone, marked = (int(self.ends_piece[self.separately([x])[0]].sum()) for x in (letter, letter + self.MARKS[0]))
+            self.parting[letter] = marked == alone + 1
+        return self.parting[letter]
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts by the library as loaded, added tokens found."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return [np.array(done.ids, np.int32) for done in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def keep(self, at: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Append ids, and note where those of the words numbered ``at`` are."""
         self.starts[at] = len(self.ids) + np.cumsum(lengths) - lengths
@@ -186,7 +204,7 @@ class WordEncoder:
             if text.isalpha():
                 plain.append(text)
                 plain_at.append(at)
-            elif text[-1] in self.marks and text[:-1].isalpha():
+            elif text[-1] in self.marks and text[:-1].isalpha() and self.parts_mark(text[-2]):
                 marked.append((at, self.known[text[:-1].encode()], self.marks[text[-1]]))
             else:
                 other.append(text)
@@ -210,11 +228,24 @@ class WordEncoder:
             ids[~last] = self.ids[ranges(self.starts[stems], lengths - 1)]
             self.keep(own, ids, lengths)
 
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, ``end_id`` after each, and the number of ids of each."""
+    def encode(self, texts: list[str], end_id: int, added_tokens: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, ``end_id`` after each, and the number of ids of each.
+
+        The strings of added tokens are ordinary text, or, with ``added_tokens``, those tokens, as in the library as loaded.
+        """
+        special = [i for i, text in enumerate(texts) if any(a in text for a in self.added)] if added_tokens else []
+        if special:
+            own = set(special)
+            out, counts = self.encode(["" if i in own else text for i, text in enumerate(texts)], end_id)
+            each = np.split(out, np.cumsum(counts)[:-1])
+            for i, ids in zip(special, self.whole([texts[i] for i in special]), strict=True):
+                each[i] = np.append(ids, np.int32(end_id))
+            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
         if len(self.known) > KEPT_WORDS:
             self.forget()
-        found = [text.encode("utf-8", "replace").lower().split() for text in texts]
+        coded = [text.encode("utf-8", "replace") for text in texts]
+        # The first bytes of U+0300 to U+037F, which hold all marks that compose with A-Z or a-z.
+        found = [(c if b"\xcc" in c or b"\xcd" in c else c.lower()).split() for c in coded]
         sizes = np.array([len(each) for each in found], np.int64)
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
         if self.known.new:
@@ -242,9 +273,11 @@ def _shard_row(part: int, shard: int, first: int, base: int, ids: np.ndarray, do
             "expansions": grammar.expansions.astype("<i8").tobytes(), "sequence": grammar.sequence.astype("<u4").tobytes()}
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, config: GrammarConfig = GrammarConfig()) -> None:
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, config: GrammarConfig = GrammarConfig(),
+                 added_tokens: bool = False) -> None:
     """Encode doc_id, text and write the shards of all documents in ascending order of ids.
 
+    With ``added_tokens`` the ids are those of the library as loaded; without, strings of added tokens are ordinary text.
     A null or empty text is the end id alone. Null ids come first; rows with equal ids are ordered by a hash of their texts.
     """
     names = [field.split()[0] for field in SHARD.split(", ")]
@@ -266,7 +299,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
                 while stop < len(texts) and (not chars or chars + len(texts[stop]) <= 1 << 20):
                     chars += len(texts[stop]) + 1
                     stop += 1
-                coded, counts = words.encode(texts[step:stop], end_id)
+                coded, counts = words.encode(texts[step:stop], end_id, added_tokens)
                 for doc_id, one, n in zip(ids[step:stop], np.split(coded, np.cumsum(counts)[:-1]), counts.tolist(), strict=True):
                     if size and size + n > config.shard_ids:
                         yield row()
