@@ -325,6 +325,22 @@ def test_near_duplicates_equal_brute_force(spark, config):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(shingles(dict(rows)[r.doc_id])) for r in got)
 
 
+def test_pipeline_links_at_four_fifths(spark):
+    rows, near = [], 0
+    for group in range(40):
+        words = [f"g{group}x{i}" for i in range(200)]
+        copy = list(words)
+        for at in range(3 + group % 3):
+            copy[20 + 30 * at] = "edited"
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join(copy))]
+        a, b = shingles(rows[-2][1]), shingles(rows[-1][1])
+        near += 80 <= 100 * len(a & b) / len(a | b) < 85
+    docs = spark.createDataFrame([(i, t, "xx", "a", len(t), 0.5, "c", 1, "r", 3) for i, t in rows], SCHEMA).repartition(3)
+    want = classes(rows, 80)
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert near > 10 and got == {i for i, c in want.items() if i == c} and len(got) < len({*classes(rows).values()})
+
+
 def test_near_duplicates_odd_rows(docs, empty):
     got = {(r.doc_id, r.n_shingles): r for r in near_dups.near_duplicates(docs).collect()}
     assert len(got) == len(TEXTS)
