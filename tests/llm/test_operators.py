@@ -190,6 +190,16 @@ def test_secrets_are_confirmed_by_structure(docs, empty):
     assert same.count() == 0
 
 
+def test_signed_tokens_beside_punctuation():
+    part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    for name, size in (("HS256", 32), ("none", 0)):
+        token = ".".join((part(json.dumps({"alg": name}).encode()), part(b'{"sub":"1"}'), part(bytes(size))))
+        for before, after in (("use ", ". Then"), ("", "."), ("see.", ""), ("key-", ""), ("--", " x"), ("a.b-c.", ".. x"), ("(", ".)")):
+            assert secret_scan.find_spans(before + token + after) == [(len(before), "jwt", len(before) + len(token))], (before, after)
+        assert secret_scan.mask(f"use {token}. Then", "#") == "use #. Then"
+        assert secret_scan.find_spans(f"{token}.more") == [] and secret_scan.find_spans(f"{token}x.") == []
+
+
 # --- language model ----------------------------------------------------------------------
 
 def test_language_model_equals_its_formula(docs, empty):

@@ -42,7 +42,9 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}")
-JWT_RUN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+JWT_RUN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-]|\.[A-Za-z0-9_-])")
+JWT_AFTER_DASH = re.compile(r"-(?=e[wy][A-Za-z0-9_-]{6})")
+"""A header may begin behind any of these: a dash is a digit of its alphabet too, and ``{`` before a quote or white space is ey or ew."""
 PEM_BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY-----")
 # Bytes of the signature by algorithm; the curve and RSA forms depend on the key.
 SIGNATURE_BYTES = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EDDSA": 64}
@@ -195,9 +197,13 @@ def structured_spans(text: str) -> list[Span]:
         return all(end <= a or b <= start for a, b in covered)
 
     for match in JWT_RUN.finditer(text):
-        if free(*match.span()) and is_signed_token(*match.groups()):
-            spans.append((match.start(), "jwt", match.end()))
-            covered.append(match.span())
+        header, payload, signature = match.groups()
+        for skipped in (0, *(dash.end() for dash in JWT_AFTER_DASH.finditer(header))):
+            start, end = match.start() + skipped, match.end()
+            if free(start, end) and is_signed_token(header[skipped:], payload, signature):
+                spans.append((start, "jwt", end))
+                covered.append((start, end))
+                break
     for pattern, decode in ((HEX_RUN, bytes.fromhex), (BASE64_RUN, from_base64)):
         for match in pattern.finditer(text):
             if free(*match.span()) and (kind := key_kind(decode(match[0]))):
