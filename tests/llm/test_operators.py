@@ -405,6 +405,20 @@ def test_language_sample_is_bounded(docs, empty):
     assert [tuple(r) for r in said] == [("und", 0.0)]
 
 
+def test_language_sample_passes_over_long_texts(spark):
+    short = [f"kurz und gut {i}" for i in range(30)]
+    rows = [(i, t, "mm") for i, t in enumerate(short + ["lang " * 400, "länger " * 300])]
+    rows += [(100, "ünico " * 500, "one"), (101, "x" * 5000, "two"), (102, "y" * 6000, "two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    sample = language.training_sample(docs, language.LanguageConfig(sample_docs=100, sample_bytes=1000))
+    assert sorted(sample["mm"]) == sorted(short)
+    assert ("ünico " * 500).startswith(sample["one"][0]) and sample["one"][0] and len(sample["two"]) == 1 and sample["two"][0]
+    assert all(sum(len(x.encode()) for x in texts) <= 1000 for texts in sample.values())
+    trees = language.train(docs, language.LanguageConfig(sample_docs=100, sample_bytes=1000))
+    said = docs.select("lang", language.language_of(spark, trees, F.col("text")).alias("s")).collect()
+    assert all(r.s.lang_pred == "one" for r in said if r.lang == "one")
+
+
 # --- pipeline ----------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, docs, empty):

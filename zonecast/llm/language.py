@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.llm.common import HashIndex, bounded_batches, chunks, only
+from zonecast.session import stored
 
 UNKNOWN = "und"
 
@@ -166,9 +167,10 @@ def classify(coder: Coder, texts: list[str | None]) -> tuple[list[str], np.ndarr
 
 
 def training_sample(labelled: DataFrame, config: LanguageConfig) -> dict[str, list[str]]:
-    """Whole texts of each language in an order given by a hash of id and text, while both bounds hold.
+    """Whole texts of each language in an order given by a hash of id and text, as far as both bounds allow.
 
-    Rows without text or language are no training rows. ``labelled`` has doc_id, text, lang.
+    A text that would exceed the bytes is passed over, and the following ones are taken. If all of them are too long alone,
+    the first one gives its beginning, so that every labelled language is trained. Rows without text or language are no training rows. ``labelled`` has doc_id, text, lang.
     """
     rows = labelled.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND length(text) > 0")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
@@ -179,11 +181,21 @@ def training_sample(labelled: DataFrame, config: LanguageConfig) -> dict[str, li
     near = rows.withColumn("place", place).filter(F.shiftrightunsigned("place", 1) / float(1 << 63) < share[F.col("lang")])
     # About twice the wanted rows are left of each language; rank and bytes are settled among these.
     order = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
-    taken = (near.withColumn("rank", F.row_number().over(order))
-             .withColumn("bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-             .filter((F.col("rank") <= config.sample_docs) & (F.col("bytes") <= config.sample_bytes)))
+    ranked = near.select("lang", "text", F.row_number().over(order).alias("rank"), F.octet_length("text").alias("bytes"))
+    # A character has four bytes at most, so the beginning fits.
+    beginning = F.substring("text", 1, max(1, config.sample_bytes // 4))
+    ranked = stored(ranked.withColumn("text", F.when(F.col("bytes") <= config.sample_bytes, F.col("text")).otherwise(beginning)), "language-sample")
+    taken: dict[str, list[int]] = {}
+    first, used = {}, dict.fromkeys(sizes, 0)
+    for lang, rank, size in ranked.select("lang", "rank", "bytes").orderBy("lang", "rank").collect():
+        first.setdefault(lang, rank)
+        if len(taken.get(lang, ())) < config.sample_docs and used[lang] + size <= config.sample_bytes:
+            taken.setdefault(lang, []).append(rank)
+            used[lang] += size
+    chosen = [(lang, rank) for lang in first for rank in taken.get(lang, [first[lang]])]
+    picks = ranked.sparkSession.createDataFrame(chosen, "lang string, rank int")
     out: dict[str, list[str]] = {}
-    for row in taken.select("lang", "text", "place").orderBy("lang", "rank").collect():
+    for row in ranked.join(F.broadcast(picks), ["lang", "rank"]).select("lang", "text").orderBy("lang", "rank").collect():
         out.setdefault(row.lang, []).append(row.text)
     return out
 
