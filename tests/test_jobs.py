@@ -15,6 +15,7 @@ from zonecast.operators.monitoring import prediction_errors
 from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.plans import cycle, predict, prepare, train
 from zonecast.config import BoostingConfig, DataConfig
+from zonecast.registry import queries
 from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
 from zonecast.schemas import ACTUALS, PREDICTIONS, ZONE, conform
 from zonecast.session import shared_folder, stored
@@ -302,6 +303,10 @@ def trained(spark, month):
     return config, train.train(split, config)
 
 
+def test_registered_training_takes_the_default_settings():
+    assert queries.BOOSTING == BoostingConfig() and (queries.BOOSTING.n_estimators, queries.BOOSTING.max_depth) == (300, 4)
+
+
 def assert_scoring_from_files(spark, month, root):
     scaler, zones, models = train.load_run(spark, root)
     house = Warehouse(spark, shared_folder(spark, "warehouse"))

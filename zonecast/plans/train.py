@@ -17,6 +17,7 @@ from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.operators.sequences import hour_vectors, sequence_windows
 from zonecast.config import BoostingConfig, DataConfig
 from zonecast.schemas import ZONE
+from zonecast.session import stored
 from zonecast.sources.files import load_json, read_months, save_json, write_report
 
 
@@ -48,9 +49,10 @@ def test_cells(split_panel: DataFrame, scaler: DataFrame, models: ZoneModels, co
 
 def train(split_panel: DataFrame, config: BoostingConfig) -> TrainingRun:
     """Fit on the ``train`` split only, scaler included."""
+    split_panel = stored(split_panel, "split-panel")
     training = split_panel.filter(F.col("split") == "train").drop("split")
     zones = zone_order(split_panel)
-    scaler = fit_scaler(training)
+    scaler = stored(fit_scaler(training), "scaler")
     samples = lag_features(scale(training, scaler), config.lags, config.horizon)
     models = fit_zone_models(samples, zones, config)
     return TrainingRun(zones, scaler, models, test_cells(split_panel, scaler, models, config))

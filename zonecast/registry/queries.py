@@ -561,8 +561,7 @@ def per_zone_report(fx):
 
 # --- models ------------------------------------------------------------------------------
 
-BOOSTING = BoostingConfig(n_estimators=2, max_depth=3, parallel_fits=8)
-"""Few trees: the query shows the job; the number of trees is a setting."""
+BOOSTING = BoostingConfig()
 
 
 def _trained(fx: Fixtures) -> train.TrainingRun:
