@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, fingerprints, language, licenses, mixing, near_dups, ngram_lm, secret_scan, token_files, weak_rules
+from zonecast.llm import (bpe, centroids, filter_audit, fingerprints, language, licenses, mixing, near_dups, ngram_lm, packing, secret_scan,
+                          token_files, weak_rules)
 from zonecast.llm.common import crc_mod, documents
 from zonecast.session import shared_folder, stored
 
@@ -146,3 +147,72 @@ def op5_lm(spark, sf_dir):
     scored = ngram_lm.scores(docs, crc_mod(F.col("doc_id"), 7) != 2)
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_centroids(spark, sf_dir):
+    return centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+# Plain Lloyd rounds: every vector against every centroid.
+_CLUSTER_ROUND = """
+near{n} AS MATERIALIZED (
+  SELECT rid, min(struct_pack(d := d, c := c)) AS best
+  FROM (SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS d FROM vec JOIN cent{n} USING (i) GROUP BY rid, c) GROUP BY rid),"""
+_CLUSTER_MOVE = """
+cent{next} AS MATERIALIZED (
+  SELECT o.c, o.i, coalesce(m.y, o.y) AS y FROM cent{n} o LEFT JOIN (
+    SELECT best.c AS c, i, CASE WHEN sum(x) >= 0 THEN sum(x) // count(*) ELSE -((-sum(x) + count(*) - 1) // count(*)) END::BIGINT AS y
+    FROM near{n} JOIN vec USING (rid) GROUP BY best.c, i) m USING (c, i)),"""
+ORACLES["op11_centroids"] = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+vec AS MATERIALIZED (SELECT rid, unnest(range(64)) AS i, unnest(v) AS x FROM kept),
+first AS (SELECT v, row_number() OVER (ORDER BY vec_id IS NULL, sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM kept),
+cent0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS i, unnest(v) AS y FROM first WHERE c < 40),""" + "".join(
+    _CLUSTER_ROUND.format(n=n) + _CLUSTER_MOVE.format(n=n, next=n + 1) for n in range(5)) + _CLUSTER_ROUND.format(n=5) + """
+sums AS (SELECT best.c AS c, sum(best.d)::BIGINT AS cluster_inertia FROM near5 GROUP BY best.c),
+said AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM cent5 GROUP BY c)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, cluster_inertia, (SELECT sum(cluster_inertia) FROM sums)::BIGINT AS inertia, centroid_sha256
+FROM near5 JOIN kept USING (rid) JOIN sums ON sums.c = best.c JOIN said ON said.c = best.c
+"""
+
+# Every document goes through every order step by step.
+ORACLES["op13_filter_audit"] = r"""
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+told AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels GROUP BY doc_id),
+failing AS MATERIALIZED (
+  SELECT part, coalesce(good, FALSE) AS good, coalesce(told.toxic, FALSE) AS toxic,
+         CASE WHEN len(words) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN coalesce(docs.doc_id > least, FALSE) THEN 'E' ELSE '' END AS fails
+  FROM docs LEFT JOIN told USING (doc_id)),
+steps AS (SELECT o, s::INTEGER AS step, o[s] AS f, o[1:s - 1] AS before FROM orders, (SELECT unnest(range(1, 6)) AS s)),
+kinds AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, fails),
+seen AS (
+  SELECT part, o, step, f, n, good, toxic, contains(fails, f) AS fail, fails = f AS single, len(translate(before, fails, '')) < len(before) AS gone
+  FROM kinds, steps),
+counted AS (
+  SELECT part, o AS filter_order, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fail), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (gone AND fail), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (single), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND fail), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fail), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY part, o, step, f)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted
+"""
