@@ -54,8 +54,8 @@ def test_centroids_equal_plain_rounds(spark):
     vectors += [(1000 + i, vectors[0][1]) for i in range(60)]  # a large group of equal vectors
     vectors += [(7, vectors[3][1]), (7, vectors[4][1]), (None, vectors[5][1]), (2000, None), (2001, [0.5] * 63), (2002, [0.5] * 63 + [float("nan")]),
                 (2003, [0.5] * 63 + [float("inf")]), (2004, [0.5] * 63 + [None]), (2005, [])]
-    config = centroids.ClusterConfig(clusters=12, block=16)
-    assert cluster_rows(spark, vectors, config) == plain_clusters(vectors, config)
+    for config in (centroids.ClusterConfig(clusters=12, block=16), centroids.ClusterConfig(clusters=12, sample=12)):
+        assert cluster_rows(spark, vectors, config) == plain_clusters(vectors, config)
 
 
 def test_centroids_large_values_and_few_vectors(spark):

@@ -62,9 +62,17 @@ def rounded(vectors: DataFrame, config: ClusterConfig) -> DataFrame:
 
 
 def first_by_hash(vectors: DataFrame, config: ClusterConfig) -> np.ndarray:
-    """The ``sample`` vectors first by hash, in that order: a row of bounded length each, on the driver."""
+    """The ``sample`` vectors first by hash, in that order: a row of bounded length each, on the driver.
+
+    Only vectors below a hash value under which about four times as many lie are sorted; it rises until enough are below.
+    """
+    wanted, total, top = max(config.sample, config.clusters), vectors.count(), 1 << 52
     digest = F.sha2(F.concat(F.lit(f"{config.seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
-    rows = vectors.orderBy(F.col("vec_id").isNull(), digest, "v").limit(max(config.sample, config.clusters)).select("v").toArrow()
+    hashed = vectors.withColumn("digest", digest).withColumn("at", F.conv(F.substring("digest", 1, 13), 16, 10).cast("long"))
+    bound = min(top, 4 * wanted * top // max(total, 1))
+    while bound < top and hashed.filter((F.col("at") < bound) & F.col("vec_id").isNotNull()).count() < wanted:
+        bound = min(top, 4 * bound)
+    rows = hashed.filter(F.col("at") < bound).orderBy(F.col("vec_id").isNull(), "digest", "v").limit(wanted).select("v").toArrow()
     values = rows.column("v").combine_chunks()
     return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, config.dimensions).astype(np.int64)
 
