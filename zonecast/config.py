@@ -33,4 +33,4 @@ class BoostingConfig:
     lags: tuple[int, ...] = DEFAULT_LAGS
     horizon: int = 1
     use_calendar: bool = True
-    parallel_fits: int = 4
+    zones_per_task: int = 4
