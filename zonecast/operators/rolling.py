@@ -24,7 +24,7 @@ _SUMS = ("n", "sum_abs", "sum_sq", "sum_ratio", "n_ratio")
 def whole_hour(stamp: Column) -> Column:
     """The stamp itself. A stamp that is no whole hour breaks the hourly grid and fails the job."""
     return F.when(stamp == F.date_trunc("hour", stamp), stamp).when(stamp.isNull(), stamp).otherwise(
-        F.raise_error(F.lit("target_timestamp must be a whole hour")))
+        F.raise_error(F.lit("target_timestamp must be a whole hour: use rolling_7d_of_stamps")))
 
 
 def daily_sums(errors: DataFrame, *keys: str) -> DataFrame:
@@ -100,3 +100,68 @@ def rolling_7d_at(errors: DataFrame, end: datetime, model_version: str) -> DataF
 
 def rolling_7d_by_zone_at(errors: DataFrame, end: datetime, model_version: str) -> DataFrame:
     return _window_ending(errors, end, model_version, ZONE).select(*ROLLING_BY_ZONE.fieldNames())
+
+
+# --- windows over stamps of any kind -----------------------------------------------------
+
+def _sums_by(points: DataFrame, unit: str, *keys: str) -> DataFrame:
+    """Sums per key and bucket, the bucket being the ``unit`` (day, hour) a stamp lies in."""
+    return points.groupBy(*keys, F.lit(unit).alias("unit"), F.date_trunc(unit, "stamp").alias("bucket")).agg(
+        *[F.sum(c).alias(c) for c in _SUMS])
+
+
+def window_sums(errors: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
+    """start, end, keys and the sums of the errors in every window (start, end), both ends included.
+
+    Stamps and ends are of any kind. A window is the whole days inside it, the whole hours on both sides of
+    them, and the parts of an hour at its two ends. Days and hours meet sums of that bucket, by equality; the two
+    parts meet the distinct stamps of their hour. Errors are summed up per stamp, hour and day once for all windows.
+    """
+    ratio = safe_ratio("absolute_error", "actual_demand")
+    points = errors.groupBy(*keys, F.col("target_timestamp").alias("stamp")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("sum_abs"), F.sum("squared_error").alias("sum_sq"),
+        F.sum(ratio).alias("sum_ratio"), F.count(ratio).alias("n_ratio"))
+    by_hour = _sums_by(points, "hour", *keys)
+    by_day = _sums_by(by_hour.withColumnRenamed("bucket", "stamp"), "day", *keys)
+
+    def up(stamp: Column, unit: str, one: Column) -> Column:
+        cut = F.date_trunc(unit, stamp)
+        return F.when(cut == stamp, stamp).otherwise(cut + one)
+
+    def buckets(first: Column, stop: Column, unit: str, one: Column) -> Column:
+        """The buckets from ``first`` on that begin before ``stop``."""
+        listed = F.when(first < stop, F.sequence(first, stop - one, one)).otherwise(F.array().cast("array<timestamp>"))
+        return F.transform(listed, lambda b: F.struct(F.lit(unit).alias("unit"), b.alias("bucket")))
+
+    hour, day = hours(1), hours(24)
+    start, end = F.col("start"), F.col("end")
+    h1, h2 = up(start, "hour", hour), F.date_trunc("hour", end)
+    d1, d2 = up(h1, "day", day), F.date_trunc("day", h2)
+    whole_days = d1 < d2
+    pieces = F.concat(
+        buckets(d1, d2, "day", day),
+        F.when(whole_days, F.concat(buckets(h1, d1, "hour", hour), buckets(d2, h2, "hour", hour))).otherwise(buckets(h1, h2, "hour", hour)))
+    inner = windows.select("start", "end", F.inline(pieces)).join(by_hour.unionByName(by_day), ["unit", "bucket"])
+    # One hour, or the two at the ends; a whole first hour is among the pieces already.
+    last = F.date_trunc("hour", end)
+    ends = F.when((F.date_trunc("hour", start) != start) & (F.date_trunc("hour", start) < last), F.array(F.date_trunc("hour", start), last)).otherwise(F.array(last))
+    edges = (windows.select("start", "end", F.explode(ends).alias("bucket"))
+             .join(points.withColumn("bucket", F.date_trunc("hour", "stamp")), "bucket")
+             .filter(F.col("stamp").between(start, end)))
+    parts = inner.select("start", "end", *keys, *_SUMS).unionByName(edges.select("start", "end", *keys, *_SUMS))
+    return parts.groupBy("start", "end", *keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def rolling_7d_of_stamps(errors: DataFrame, *keys: str) -> DataFrame:
+    """The windows of :func:`rolling_7d` (with the zone as further key: :func:`rolling_7d_by_zone`) for stamps that need not
+    be whole hours. A window starts at every stamp of a midnight hour and reaches 167 hours on, if any error is as late.
+    """
+    stamps = errors.groupBy(F.col("target_timestamp").alias("start")).agg(F.lit(1).alias("one"))
+    last = errors.agg(F.max("target_timestamp").alias("last")).scalar()
+    end = F.col("start") + hours(LAST_HOUR)
+    windows = stamps.filter((F.hour("start") == 0) & (end <= last)).select("start", end.alias("end"))
+    total = window_sums(errors, windows, "model_version", *keys)
+    return total.select(
+        F.to_date("end").alias("metric_date"), *keys, F.col("start").alias("window_start_timestamp"), F.col("end").alias("window_end_timestamp"),
+        "model_version", F.col("n").alias("num_predictions"), (F.col("sum_abs") / F.col("n")).alias("mae"), F.sqrt(F.col("sum_sq") / F.col("n")).alias("rmse"),
+        safe_ratio("sum_ratio", F.col("n_ratio").cast("double")).alias("mape_excluding_zero_actuals"))

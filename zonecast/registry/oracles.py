@@ -136,6 +136,21 @@ BLOCKS = {
              'lagmean_1_2_3_24' FROM lagged WHERE lag_24 IS NOT NULL""",
     "errors": error_rows("hourly"),
     "errors_dense": error_rows("panel"),
+    "shifted_errors": f"""
+      SELECT * REPLACE (target_timestamp + INTERVAL 1 MINUTE * (20 * (CAST({Z} AS INTEGER) % 3)) AS target_timestamp) FROM errors""",
+    "compared": f"""
+      SELECT * FROM (
+        SELECT target_timestamp, {Z}, max(absolute_error) FILTER (model_version = {MODEL}) AS one, max(absolute_error) FILTER (model_version = 'naive_24') AS two
+        FROM errors GROUP BY 1, 2) WHERE one IS NOT NULL AND two IS NOT NULL""",
+    "compared_days": """
+      SELECT metric, CAST(target_timestamp AS DATE) AS day, count(*) AS n, sum(power(one, p)) AS a, sum(power(two, p)) AS b
+      FROM compared, (VALUES ('mae', 1), ('mse', 2)) m(metric, p) GROUP BY 1, 2""",
+    "replicated": """
+      SELECT metric, sum(w * (a - b)) / nullif(sum(w * n), 0) AS difference
+      FROM (SELECT *, len([k for k in range(12) if u >= list_sum([exp(-1) / factorial(i::INTEGER) for i in range(k + 1)])]) AS w
+            FROM (SELECT *, ('0x' || substr(md5(day || ':' || replicate || ':1'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+                  FROM compared_days, (SELECT unnest(range(1, 201)) AS replicate)))
+      GROUP BY metric, replicate""",
     "hour_metrics": f"SELECT model_version, target_timestamp, {bundle('num_zones')} FROM errors GROUP BY 1, 2",
     "day_metrics": f"""
       SELECT model_version, CAST(target_timestamp AS DATE) AS target_date, {bundle()} FROM errors GROUP BY 1, 2""",
@@ -392,6 +407,23 @@ SELECTS = {
         AND EXISTS (SELECT 1 FROM hourly WHERE hour = TIMESTAMP '2024-01-30 23:00:00')
       GROUP BY model_version""",
     "stream_hourly_demand": f"SELECT hour, {Z}, demand FROM hourly",
+    "stream_closed_hours": f"""
+      SELECT hour, {Z}, demand FROM hourly WHERE hour + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""",
+    "stream_late_trips": f"""
+      SELECT CASE WHEN late THEN 'late' ELSE 'closed' END AS kind, hour, {Z}, count(*) AS demand
+      FROM (SELECT event_id % 10 = 0 AND dayofmonth(ts) <= 5 AS late, date_trunc('hour', ts) AS hour, CAST(user_id AS INTEGER) AS {Z} FROM events)
+      WHERE hour + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) GROUP BY ALL""",
+    "scaler_by_months": f"""
+      SELECT {Z}, {r('sum(demand) / h', 'mean')},
+             {r('CASE WHEN min(demand) = max(demand) AND count(*) = h THEN 1.0 ELSE sqrt(sum(demand * demand) / h - power(sum(demand) / h, 2)) END', 'scale')}
+      FROM order_days, (SELECT date_diff('hour', min(hour), max(hour)) + 1 AS h FROM order_days) GROUP BY {Z}, h""",
+    "rolling_7d_of_stamps": rolling("shifted_errors"),
+    "rolling_7d_byzone_of_stamps": rolling("shifted_errors", zone=True),
+    "compare_versions": f"""
+      SELECT metric, n_cells, n_days, {r('mean_one', 'mean_one')}, {r('mean_two', 'mean_two')}, {r('mean_one - mean_two', 'difference')}, {r('lower', 'lower')}, {r('upper', 'upper')}
+      FROM (SELECT metric, sum(n)::BIGINT AS n_cells, count(*) AS n_days, sum(a) / sum(n) AS mean_one, sum(b) / sum(n) AS mean_two FROM compared_days GROUP BY metric)
+      JOIN (SELECT metric, quantile_cont(difference, 0.025) AS lower, quantile_cont(difference, 0.975) AS upper FROM replicated GROUP BY metric) USING (metric)""",
+    "sql_script": f"SELECT * FROM day_metrics WHERE model_version = {MODEL}",
     "stream_cycle_hours": _HOURS,
     "monthly_trips": f"SELECT hour, {Z}, demand FROM hourly",
     "zone_lookup_csv": "SELECT LocationID, Borough FROM lookup",

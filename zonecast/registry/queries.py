@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -12,7 +13,8 @@ from pyspark.sql import types as T
 from zonecast.functions.stamps import instant
 from zonecast.functions.calendar import calendar_features
 from zonecast.functions.months import month_list
-from zonecast.operators import evaluation, importance, lags, merge, monitoring, panel, rolling, scaling, sequences
+from zonecast.operators import (comparison, evaluation, importance, lags, merge, monitoring, panel, rolling, scaling,
+                                sequences)
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans import cycle, predict, train
 from zonecast.config import BoostingConfig
@@ -21,6 +23,7 @@ from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
 from zonecast.sources import actuals, files, sqlfiles
 from zonecast.sources.tables import Warehouse
+from zonecast.streaming import event_time
 from zonecast.streaming.cycle_stream import run_cycle_stream
 from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
 
@@ -172,6 +175,16 @@ def fit_scaler_all(fx):
     return scaling.fit_scaler(fx.panel)
 
 
+@query
+def scaler_by_months(fx):
+    """The scaler of all order days: months stored one time and the last year added later, none of them read again."""
+    folder = shared_folder(fx.spark, "moments")
+    last = F.col("hour") >= F.lit("2001-01-01").cast("timestamp")
+    scaling.add_months(fx.order_days.filter(~last), folder)
+    scaling.add_months(fx.order_days.filter(last), folder)
+    return scaling.merged_scaler(scaling.read_moments(fx.spark, folder))
+
+
 @query
 def scaled_panel(fx):
     return scaling.scale(fx.split_panel, fx.scaler)
@@ -325,6 +338,27 @@ def rolling_7d_byzone_bulk_dense(fx):
     return rolling.rolling_7d_by_zone(fx.stored_errors_dense)
 
 
+def _shifted(fx: Fixtures) -> DataFrame:
+    """Errors at 0, 20 or 40 minutes past the hour, by zone."""
+    shift = F.make_dt_interval(mins=F.col(ZONE).cast("int") % 3 * 20)
+    return fx.stored_errors.withColumn("target_timestamp", F.col("target_timestamp") + shift)
+
+
+@query
+def rolling_7d_of_stamps(fx):
+    return rolling.rolling_7d_of_stamps(_shifted(fx))
+
+
+@query
+def rolling_7d_byzone_of_stamps(fx):
+    return rolling.rolling_7d_of_stamps(_shifted(fx), ZONE)
+
+
+@query
+def compare_versions(fx):
+    return comparison.compare_versions(fx.errors, MODEL, "naive_24")
+
+
 def _last_week(fx: Fixtures) -> DataFrame:
     """Stored errors of the seven days that end with the hour; no other folder is read."""
     return fx.monitored.read("errors", ((HOUR - timedelta(days=6)).date(), HOUR.date()))
@@ -485,6 +519,39 @@ def stream_cycle_hours(fx):
     return _streamed(fx).read("metrics_by_hour")
 
 
+def _arrivals(fx: Fixtures, *parts: DataFrame) -> DataFrame:
+    """Events that arrive part after part, as a stream with a part in each batch."""
+    folder, files = shared_folder(fx.spark, "arriving"), 2
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(folder)
+    source = fx.spark.readStream.schema(LAYOUTS["events"]).option("maxFilesPerTrigger", files).parquet(folder)
+    return event_time.timed_trips(source.select(F.col("ts").alias("request_datetime"), F.col("user_id").cast("int").alias(ZONE)))
+
+
+def _days_of(events: DataFrame, first: int, last: int) -> DataFrame:
+    return events.filter(F.dayofmonth("ts").between(first, last))
+
+
+@query
+def stream_closed_hours(fx):
+    """Hours the watermark has passed, from Spark's window aggregate."""
+    events, folder = fx.table("events"), shared_folder(fx.spark, "closed-hours")
+    trips = _arrivals(fx, _days_of(events, 1, 10), _days_of(events, 11, 20), _days_of(events, 21, 31))
+    event_time.run_to_table(event_time.closed_hours(trips), folder, shared_folder(fx.spark, "closed-hours-checkpoint"))
+    return fx.spark.read.schema(f"hour timestamp, {ZONE} int, demand bigint").parquet(folder)
+
+
+@query
+def stream_late_trips(fx):
+    """Every tenth trip of the first five days arrives with the last part: closed hours without them, and the late ones."""
+    events, folder = fx.table("events"), shared_folder(fx.spark, "late-trips")
+    late = (F.col("event_id") % 10 == 0) & (F.dayofmonth("ts") <= 5)
+    trips = _arrivals(fx, _days_of(events, 1, 10).filter(~late), _days_of(events, 11, 20), _days_of(events, 21, 31).union(events.filter(late)))
+    event_time.run_to_table(event_time.hours_and_late_trips(trips), folder, shared_folder(fx.spark, "late-trips-checkpoint"))
+    stored = fx.spark.read.schema(f"kind string, hour timestamp, {ZONE} int, demand bigint").parquet(folder)
+    return stored.groupBy("kind", "hour", ZONE).agg(F.sum("demand").alias("demand"))
+
+
 # --- files, views and reports read back --------------------------------------------------
 
 @query
@@ -521,6 +588,34 @@ def sql_file(fx):
     return sqlfiles.run_sql_file(fx.spark, path, HOUR, MODEL)
 
 
+SCRIPT = """BEGIN
+  DECLARE newest TIMESTAMP;
+  SET newest = (SELECT max(target_timestamp) FROM stored_errors WHERE model_version = :model_version);
+  DROP TABLE IF EXISTS IDENTIFIER(:table);
+  CREATE TABLE IDENTIFIER(:table) USING parquet AS
+    SELECT model_version, to_date(target_timestamp) AS target_date, count(*) AS num_predictions, avg(absolute_error) AS mae,
+           sqrt(avg(squared_error)) AS rmse, avg(try_divide(absolute_error, nullif(actual_demand, 0D))) AS mape_excluding_zero_actuals
+    FROM stored_errors WHERE model_version = :model_version AND target_timestamp < date_trunc('day', newest) GROUP BY ALL;
+  IF newest >= :since THEN
+    INSERT INTO IDENTIFIER(:table)
+    SELECT model_version, to_date(target_timestamp), count(*), avg(absolute_error),
+           sqrt(avg(squared_error)), avg(try_divide(absolute_error, nullif(actual_demand, 0D)))
+    FROM stored_errors WHERE model_version = :model_version AND target_timestamp >= date_trunc('day', newest) GROUP BY ALL;
+  END IF;
+  SELECT * FROM IDENTIFIER(:table);
+END"""
+
+
+@query
+def sql_script(fx):
+    """Day metrics of a model, filled into a table by a file of several statements, the newest day last."""
+    path, database = shared_folder(fx.spark, "script"), f"scripts_{uuid.uuid4().hex}"
+    fx.spark.createDataFrame([(SCRIPT,)], "value string").coalesce(1).write.text(path)
+    fx.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(fx.spark, 'database')}'")
+    fx.monitored.read("errors").createOrReplaceTempView("stored_errors")
+    return sqlfiles.run_sql_script(fx.spark, path, model_version=MODEL, since=HOUR, table=f"{database}.day_metrics")
+
+
 def _view(fx: Fixtures, name: str) -> DataFrame:
     fx.monitored.replace("rolling_7d", rolling.rolling_7d(fx.monitored.read("errors")))
     cycle.create_views(fx.monitored)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,3 +15,14 @@ def run_sql_file(
 ) -> DataFrame:
     return spark.sql(spark.read.text(path, wholetext=True).first()[0], args={
         "target_timestamp": instant(target_timestamp), "model_version": model_version})
+
+
+def run_sql_script(spark: SparkSession, path: str, **parameters: Any) -> DataFrame:
+    """Run a file of several statements and return the rows of its last query.
+
+    The file is one statement or a block ``BEGIN ... END`` with variables, conditions and loops of SQL scripting. Parameters are
+    named as in the file (``:name``) and keep their types: text, numbers, dates, stamps (UTC where they have no zone), or
+    columns. A file name, like a table's, may be one: ``IDENTIFIER(:table)``.
+    """
+    return spark.sql(spark.read.text(path, wholetext=True).first()[0], args={
+        name: instant(value) if isinstance(value, datetime) else value for name, value in parameters.items()})
