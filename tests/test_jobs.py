@@ -379,8 +379,8 @@ def test_models_score_as_predictor(spark, trained, month):
 
 
 def test_production_variant_trains_on_everything(month):
-    scaler, models = train.train_on_all(month, BoostingConfig(n_estimators=1, max_depth=1, lags=(1,)))
-    assert scaler.count() == 3 and models.trees.select("target_zone").distinct().count() == 3
+    run = train.train_on_all(month, BoostingConfig(n_estimators=1, max_depth=1, lags=(1,)))
+    assert run.scaler.count() == 3 and run.models.trees.select("target_zone").distinct().count() == 3 and run.cells is None
 
 
 def test_replace_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_path, demand):

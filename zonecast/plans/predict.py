@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.stamps import hours
-from zonecast.operators.lags import DEFAULT_LAGS, inference_rows, lag_features
+from zonecast.operators.lags import DEFAULT_LAGS, check_lags, inference_rows, lag_features
 from zonecast.operators.panel import full_panel
 from zonecast.operators.scaling import scale, unscale
 from zonecast.schemas import HOURLY_DEMAND, PREDICTIONS, ZONE, conform
@@ -102,10 +102,18 @@ def require_history(actuals: DataFrame, lags: Sequence[int], horizon: int = 1) -
 
 def run_batch(warehouse: Warehouse, scaler: DataFrame, predictor: Predictor, model_version: str,
               lags: Sequence[int] = DEFAULT_LAGS, horizon: int = 1) -> None:
+    """Score the whole history, which is read once. If nothing came of it, the job fails, says why, and leaves the
+    predictions as they were. (An observed count would not do: a plan found empty while it runs reports none.)"""
     actuals = warehouse.read("actuals")
-    require_history(actuals, lags, horizon)
-    warehouse.replace("predictions", batch_predictions(
-        actuals, scaler, predictor, model_version, lags, horizon, checked=True))
+    rows = batch_predictions(actuals, scaler, predictor, model_version, lags, horizon, checked=True)
+
+    def some_rows(written: DataFrame) -> None:
+        if written.isEmpty():
+            require_history(actuals, lags, horizon)
+            raise ValueError("no zone of the scaler could be scored")
+
+    check_lags(lags, horizon)
+    warehouse.replace("predictions", rows, some_rows)
 
 
 def run_next_hour(warehouse: Warehouse, scaler: DataFrame, predictor: Predictor, model_version: str,

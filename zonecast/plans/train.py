@@ -13,12 +13,13 @@ from zonecast.operators.boosting import ZoneModels, fit_zone_models, load_models
 from zonecast.operators.importance import importance_by, importance_by_feature, importance_by_type
 from zonecast.operators.lags import lag_features
 from zonecast.operators.panel import full_panel, raw_targets, split_by_month, zone_order
-from zonecast.operators.scaling import fit_scaler, scale, unscale
+from zonecast.operators.scaling import add_months, fit_scaler, merged_scaler, read_moments, scale, unscale
 from zonecast.operators.sequences import hour_vectors, sequence_windows
 from zonecast.config import BoostingConfig, DataConfig
 from zonecast.schemas import ZONE
 from zonecast.session import stored
-from zonecast.sources.files import load_json, read_months, save_json, write_report
+from zonecast.functions.months import months_between
+from zonecast.sources.files import load_json, read_months, save_json, table_exists, write_report
 
 
 @dataclass(frozen=True)
@@ -26,8 +27,8 @@ class TrainingRun:
     zones: list[int]
     scaler: DataFrame
     models: ZoneModels
-    cells: DataFrame
-    """Predicted and actual demand of the test hours."""
+    cells: DataFrame | None = None
+    """Predicted and actual demand of the test hours, if there are any."""
 
 
 def split_demand(demand: DataFrame, config: DataConfig) -> DataFrame:
@@ -58,12 +59,33 @@ def train(split_panel: DataFrame, config: BoostingConfig) -> TrainingRun:
     return TrainingRun(zones, scaler, models, test_cells(split_panel, scaler, models, config))
 
 
-def train_on_all(demand: DataFrame, config: BoostingConfig) -> tuple[DataFrame, ZoneModels]:
-    """The production variant: scaler and samples over the whole history."""
-    panel = full_panel(demand)
-    scaler = fit_scaler(panel)
+def train_on_all(demand: DataFrame, config: BoostingConfig, scaler: DataFrame | None = None) -> TrainingRun:
+    """The production variant: samples over the whole history, and the scaler of it, which is fitted here if none is given. No test hours."""
+    zones, panel = zone_order(demand), full_panel(demand)
+    scaler = stored(fit_scaler(panel) if scaler is None else scaler, "scaler")
     samples = lag_features(scale(panel, scaler), config.lags, config.horizon)
-    return scaler, fit_zone_models(samples, zone_order(demand), config)
+    return TrainingRun(zones, scaler, fit_zone_models(samples, zones, config))
+
+
+def update_moments(spark: SparkSession, processed: str, moments: str, first: str, last: str) -> list[str]:
+    """Store the moments of the months that have none yet, and of the last one, which may have grown. Only these are read."""
+    months = months_between(first, last)
+    known = read_moments(spark, moments) if table_exists(spark, moments) else None
+    have = set() if known is None else {row[0] for row in known.select("ym").distinct().collect()}  # one value a month
+    missing = [ym for ym in months if ym not in have or ym == last]
+    for ym in missing:
+        add_months(read_months(spark, processed, ym, ym), moments)
+    return missing
+
+
+def run_production(spark: SparkSession, processed: str, moments: str, base: str, run_id: str, data: DataConfig, config: BoostingConfig) -> str:
+    """Fit on all processed months and save the run for the scoring jobs. The scaler comes from the months' moments,
+    so months that were seen before are not read for it again."""
+    first, last = data.train[0], data.test[1]
+    update_moments(spark, processed, moments, first, last)
+    scaler = merged_scaler(read_moments(spark, moments).filter(F.col("ym").between(first, last)))
+    run = train_on_all(read_months(spark, processed, first, last), config, scaler)
+    return save_inference(spark, run, base, run_id, data, config)
 
 
 def sequence_samples(
@@ -82,16 +104,22 @@ def run(spark: SparkSession, processed: str, base: str, run_id: str,
     return save_run(spark, train(split_demand(demand, data), config), base, run_id, data, config)
 
 
-def save_run(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
-             data: DataConfig, config: BoostingConfig) -> str:
-    """Everything of one run under ``base/run_id``; the run id is given, not taken from a clock."""
+def save_inference(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
+                   data: DataConfig, config: BoostingConfig) -> str:
+    """What scoring needs of a run, and its settings."""
     root = f"{base.rstrip('/')}/{run_id}"
     run.models.save(spark, f"{root}/inference/models")
     run.scaler.write.mode("overwrite").parquet(f"{root}/inference/scaler")
     save_json(spark, run.zones, f"{root}/inference/zone_names")
     save_json(spark, {"model_config": asdict(config), "data_config": asdict(data)},
               f"{root}/config/run_config")
+    return root
+
 
+def save_run(spark: SparkSession, run: TrainingRun, base: str, run_id: str,
+             data: DataConfig, config: BoostingConfig) -> str:
+    """Everything of one run under ``base/run_id``; the run id is given, not taken from a clock."""
+    root = save_inference(spark, run, base, run_id, data, config)
     results = f"{root}/results"
     run.cells.write.mode("overwrite").parquet(f"{results}/predictions")
     # Written cells are read back, so that the reports do not score the test hours again.

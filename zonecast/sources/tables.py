@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -104,10 +105,13 @@ class Warehouse:
     def append(self, name: str, df: DataFrame) -> None:
         self._placed(name, df).write.mode("append").partitionBy("day").parquet(self._folder(name))
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        """Truncate and load, as a new version; ``df`` may read the table itself."""
+    def replace(self, name: str, df: DataFrame, guard: Callable[[DataFrame], None] | None = None) -> None:
+        """Truncate and load, as a new version; ``df`` may read the table itself. ``guard`` sees what was written
+        before it is listed: if it raises, the old version stays the table."""
         number, folder = self._version(name)[0] + 1, f"v-{uuid.uuid4().hex}"
         self._placed(name, df).write.partitionBy("day").parquet(f"{self.path(name)}/{folder}")
+        if guard is not None:
+            guard(self.spark.read.schema(TABLES[name].schema).parquet(f"{self.path(name)}/{folder}"))
         listed = self.spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(folder).alias("folder")).coalesce(1)
         listed.write.mode("append").parquet(f"{self.path(name)}-versions")
 
