@@ -9,18 +9,19 @@ from zonecast.functions.errors import error_metrics
 from zonecast.schemas import ERRORS, ZONE
 
 
-def prediction_errors(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
+def prediction_errors(predictions: DataFrame, actuals: DataFrame, dense: bool = False) -> DataFrame:
     """Error rows of every predicted cell that has an actual.
 
-    Actuals are sparse, so hours without demand have no row here; pass a dense panel to
+    Actuals are sparse, so hours without demand have no row here; pass a panel, as ``dense``, to
     keep them. The key is one cell, so no key is hot whatever the demand of its zone. Both sides are
-    cells, and Spark underestimates a dense panel, so neither is ever broadcast.
+    cells, and Spark underestimates a dense panel, so neither is ever broadcast. Sparse actuals, the smaller side, are
+    hashed per partition, so that the predictions need no sort; a panel is as large as they are and is merged.
     """
     truth = actuals.select(
         F.col("hour").alias("target_timestamp"), F.col(ZONE).cast("string").alias(ZONE),
         F.col("demand").cast("double").alias("actual_demand"))
     miss = F.col("predicted_demand") - F.col("actual_demand")
-    joined = predictions.join(truth.hint("merge"), ["target_timestamp", ZONE])
+    joined = predictions.join(truth.hint("merge" if dense else "shuffle_hash"), ["target_timestamp", ZONE])
     return joined.select(
         "forecast_run_timestamp", "target_timestamp", ZONE, "actual_demand", "predicted_demand",
         "model_version", miss.alias("raw_error"), F.abs(miss).alias("absolute_error"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.errors import error_metrics, safe_ratio
 from zonecast.functions.stamps import hours, instant
 from zonecast.schemas import ROLLING, ROLLING_BY_ZONE, ZONE
+from zonecast.session import stored
 
 DAYS = 7
 LAST_HOUR = 24 * DAYS - 1
@@ -28,23 +29,23 @@ def whole_hour(stamp: Column) -> Column:
 
 
 def daily_sums(errors: DataFrame, *keys: str) -> DataFrame:
+    """Sums per day and key, the latest stamp of the day, and whether it has a midnight."""
     ratio = safe_ratio("absolute_error", "actual_demand")
-    return errors.groupBy(F.to_date(whole_hour(F.col("target_timestamp"))).alias("day"), *keys).agg(
+    stamp = whole_hour(F.col("target_timestamp"))
+    return errors.groupBy(F.to_date(stamp).alias("day"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("sum_abs"),
         F.sum("squared_error").alias("sum_sq"), F.sum(ratio).alias("sum_ratio"),
-        F.count(ratio).alias("n_ratio"))
+        F.count(ratio).alias("n_ratio"), F.max("target_timestamp").alias("last"), F.max(F.hour("target_timestamp") == 0).alias("midnight"))
 
 
-def complete_windows(errors: DataFrame) -> DataFrame:
+def complete_windows(daily: DataFrame) -> DataFrame:
     """Start days of the windows that begin at a midnight with errors and end no later than
     the last target of any model.
 
-    One pass over the stamps alone. As stamps are whole hours there is at most one midnight
+    From the daily sums. As stamps are whole hours there is at most one midnight
     per calendar day, so the list of a century fits one small row.
     """
-    stamp = whole_hour(F.col("target_timestamp"))
-    midnight = F.when(F.hour(stamp) == 0, F.to_date(stamp))
-    days = errors.groupBy(midnight.alias("day")).agg(F.max("target_timestamp").alias("last"))
+    days = daily.groupBy(F.when(F.col("midnight"), F.col("day")).alias("day")).agg(F.max("last").alias("last"))
     known = days.agg(F.collect_list("day").alias("days"), F.max("last").alias("last"))
     starts = known.select(F.explode("days").alias("start"), "last")
     return starts.filter(F.col("start").cast("timestamp") + hours(LAST_HOUR) <= F.col("last")).select("start")
@@ -78,7 +79,8 @@ def rolling_7d_by_zone(errors: DataFrame, end_days: DataFrame | None = None) ->
 def _rolling(errors: DataFrame, end_days: DataFrame | None, *keys: str) -> DataFrame:
     daily = daily_sums(errors, *keys)
     if end_days is None:
-        return _sum_windows(daily, complete_windows(errors), *keys)
+        daily = stored(daily, "daily-sums")  # read for the starts and for the sums; the errors are read once
+        return _sum_windows(daily, complete_windows(daily), *keys)
     starts = end_days.select(F.date_sub("day", DAYS - 1).alias("start"))
     return _sum_windows(daily, starts, *keys)
 

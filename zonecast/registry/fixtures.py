@@ -21,7 +21,6 @@ from zonecast.operators.panel import full_panel, split_by_day
 from zonecast.operators.scaling import fit_scaler
 from zonecast.schemas import PREDICTIONS, ZONE, conform
 from zonecast.session import prepare_session, shared_folder, stored
-from zonecast.sources.actuals import as_actuals
 from zonecast.sources.tables import Warehouse
 
 # Layouts of the driver's tables.
@@ -156,13 +155,8 @@ class Fixtures:
         return warehouse
 
     @cached_property
-    def tables(self) -> Warehouse:
-        """Predictions and actuals beside the errors made of them."""
-        warehouse = Warehouse(self.spark, shared_folder(self.spark, "tables"))
-        warehouse.replace("predictions", self.predictions)
-        warehouse.replace("actuals", as_actuals(self.hourly))
-        warehouse.replace("errors", prediction_errors(warehouse.read("predictions"), warehouse.read("actuals")))
-        return warehouse
+    def stored_predictions(self) -> DataFrame:
+        return stored(self.predictions, "predictions")
 
     @cached_property
     def stored_errors_dense(self) -> DataFrame:
@@ -170,12 +164,13 @@ class Fixtures:
 
     @cached_property
     def errors_dense(self) -> DataFrame:
-        return prediction_errors(self.predictions, self.panel)
+        return prediction_errors(self.predictions, self.panel, dense=True)
 
     @cached_property
     def test_cells(self) -> DataFrame:
         """Lag-mean predictions of the test split beside their targets, zero hours included."""
-        test = self.split_panel.filter(F.col("split") == "test").drop("split")
+        # One pass over the panel, so the trips are counted in it and not stored before.
+        test = split_by_day(full_panel(self.counted), SPLITS).filter(F.col("split") == "test").drop("split")
         samples = lag_features(test, DEFAULT_LAGS, calendar=False)
         return samples.select(
             "target_timestamp", F.col(ZONE).alias("zone"), lag_mean().alias("predicted"),

@@ -320,22 +320,22 @@ def metrics_overall_dense(fx):
 
 @query
 def rolling_7d_bulk(fx):
-    return rolling.rolling_7d(fx.stored_errors)
+    return rolling.rolling_7d(fx.errors)
 
 
 @query
 def rolling_7d_bulk_dense(fx):
-    return rolling.rolling_7d(fx.stored_errors_dense)
+    return rolling.rolling_7d(fx.errors_dense)
 
 
 @query
 def rolling_7d_byzone_bulk(fx):
-    return rolling.rolling_7d_by_zone(fx.stored_errors)
+    return rolling.rolling_7d_by_zone(fx.errors)
 
 
 @query
 def rolling_7d_byzone_bulk_dense(fx):
-    return rolling.rolling_7d_by_zone(fx.stored_errors_dense)
+    return rolling.rolling_7d_by_zone(fx.errors_dense)
 
 
 def _shifted(fx: Fixtures) -> DataFrame:
@@ -360,8 +360,10 @@ def compare_versions(fx):
 
 
 def _last_week(fx: Fixtures) -> DataFrame:
-    """Stored errors of the seven days that end with the hour; no other folder is read."""
-    return fx.monitored.read("errors", ((HOUR - timedelta(days=6)).date(), HOUR.date()))
+    """Errors of the seven days that end with the hour: predictions of these days meet actuals of these days."""
+    first, last = (HOUR - timedelta(days=6)).date(), HOUR.date()
+    return monitoring.prediction_errors(
+        fx.predictions.filter(F.to_date("target_timestamp").between(first, last)), fx.hourly.filter(F.to_date("hour").between(first, last)))
 
 
 @query
@@ -376,7 +378,7 @@ def rolling_7d_byzone_at(fx):
 
 @query
 def latest_rolling_7d(fx):
-    return monitoring.latest_rolling(rolling.rolling_7d(fx.stored_errors))
+    return monitoring.latest_rolling(rolling.rolling_7d(fx.errors))
 
 
 @query
@@ -435,9 +437,10 @@ def importance_by_type(fx):
 
 @query
 def merge_prediction_error(fx):
-    day = (HOUR.date(), HOUR.date())
-    stored = before(fx.tables.read("errors"), "target_timestamp", HOUR)
-    return merge.merge_errors(stored, fx.tables.read("predictions", day), fx.tables.read("actuals", day), HOUR, MODEL)
+    """The errors before the hour, with those of the hour inserted."""
+    made = fx.stored_predictions
+    stored = monitoring.prediction_errors(before(made, "target_timestamp", HOUR), before(fx.hourly, "hour", HOUR))
+    return merge.merge_errors(stored, made, actuals.as_actuals(fx.hourly), HOUR, MODEL)
 
 
 @query
