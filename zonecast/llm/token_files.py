@@ -1,10 +1,11 @@
 """Token ids in files compressed by a pair grammar (Re-Pair), with random access.
 
 Documents are encoded, ordered by id, and written as shards of consecutive documents. In a shard, frequent
-pairs of neighbouring ids are replaced by new symbols, again and again. A round takes the most frequent pairs, each
-symbol being the left or the right half of pairs only, so that no two of them overlap and all are replaced at
-once. The rules, the number of ids behind each symbol and the shortened sequence are stored; sums of these
-numbers find any id without expanding what stands before it.
+pairs of neighbouring ids are replaced by new symbols until no pair stands often enough. A round ranks the frequent
+pairs by their number and replaces a pair wherever it outranks the pairs it overlaps with, so all of the most frequent one and
+most of the others go at once; in a run of one symbol every other place is a pair. Later rounds look only at the places of pairs
+that were frequent and at those beside a new symbol, where alone a frequent pair can be. The rules, the number of ids behind each
+symbol and the shortened sequence are stored; sums of these numbers find any id without expanding what stands before it.
 
 The files are Parquet, one row per shard:
 
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import Numbered, bounded_batches, only, ranges
+from zonecast.llm.common import HashIndex, Numbered, bounded_batches, only, ranges
 
 SHARD = ("part int, shard int, first long, n_ids long, base long, doc_ids binary, null_id binary, doc_lengths binary, "
          "rules binary, expansions binary, sequence binary")
@@ -42,11 +43,9 @@ KEPT_WORDS = 500_000
 
 @dataclass(frozen=True)
 class GrammarConfig:
-    """A pair must occur ``least`` times to become a rule. The rounds, and the rules of a round, set the effort, not the result of decoding."""
+    """A shard holds about ``shard_ids`` ids. At its end no pair stands ``least`` times (2 at least) in it."""
 
     shard_ids: int = 1 << 20
-    rounds: int = 6
-    rules_per_round: int = 4096
     least: int = 8
 
 
@@ -84,51 +83,75 @@ class Grammar:
         return self.expand(self.sequence[first:last + 1])[start - before:start - before + count] if count else np.zeros(0, np.int64)
 
 
-def frequent_pairs(sequence: np.ndarray, symbols: int, config: GrammarConfig) -> np.ndarray:
-    """Sorted codes left * symbols + right of the pairs this round replaces."""
-    codes = np.sort(sequence[:-1] * symbols + sequence[1:])
-    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(starts, len(codes)))
-    often = np.flatnonzero(counts >= config.least)
-    if len(often) > config.rules_per_round:
-        often = often[np.argpartition(-counts[often], config.rules_per_round)[:config.rules_per_round]]
-    often = often[np.lexsort((codes[starts[often]], -counts[often]))]
-    left, right, taken = set(), set(), []
-    for code in codes[starts[often]].tolist():
-        a, b = divmod(code, symbols)
-        if a != b and a not in right and b not in left:
-            left.add(a)
-            right.add(b)
-            taken.append(code)
-    return np.sort(np.array(taken, np.int64))
+def pair_codes(sequence: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return sequence[at].astype(np.int64) << 32 | sequence[at + 1]
+
+
+def countable(sequence: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the pairs at the ascending places ``at`` count: in a run of one symbol every other one, from its start."""
+    twins = np.flatnonzero(sequence[at] == sequence[at + 1])
+    fine = np.ones(len(at), bool)
+    if len(twins):
+        places = at[twins]
+        starts = np.concatenate([[True], np.diff(places) != 1])
+        first = places[np.maximum.accumulate(np.where(starts, np.arange(len(places)), 0))]
+        fine[twins[(places - first) % 2 == 1]] = False
+    return fine
+
+
+def frequent(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that stand ``least`` times, and their ranks from 1 by number and code."""
+    ordered = np.sort(codes)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(starts, len(ordered)))
+    often = counts >= least
+    codes, counts = ordered[starts[often]], counts[often]
+    rank = np.empty(len(codes), np.int64)
+    rank[np.lexsort((codes, counts))] = np.arange(1, len(codes) + 1)
+    return codes, rank
 
 
 def compress(ids: np.ndarray, base: int, config: GrammarConfig = GrammarConfig()) -> Grammar:
     """The pair grammar of a sequence of ids below ``base``."""
-    sequence, symbols = ids.astype(np.int64), base
-    rules, expansions = [np.zeros((0, 2), np.int64)], np.zeros(0, np.int64)
-    for _ in range(config.rounds):
-        pairs = frequent_pairs(sequence, symbols, config)
+    sequence, symbols, least = ids.astype(np.int32), base, max(2, config.least)
+    rules = []
+    live = np.arange(max(0, len(sequence) - 1))  # the places a frequent pair can have, in ascending order
+    while len(live):
+        codes, fine = pair_codes(sequence, live), countable(sequence, live)
+        pairs, rank = frequent(codes[fine], least)
         if not len(pairs):
             break
-        a, b = pairs // symbols, pairs % symbols
-        is_left, is_right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        is_left[a], is_right[b] = True, True
-        at = np.flatnonzero(is_left[sequence[:-1]] & is_right[sequence[1:]])
-        codes = sequence[at] * symbols + sequence[at + 1]
-        rule = np.minimum(np.searchsorted(pairs, codes), len(pairs) - 1)
-        hit = pairs[rule] == codes
-        at, rule = at[hit], rule[hit]
-        sequence = sequence.copy()
-        sequence[at] = symbols + rule
-        keep = np.ones(len(sequence), bool)
-        keep[at + 1] = False
-        sequence = sequence[keep]
-        size = np.concatenate([np.ones(base, np.int64), expansions])
-        expansions = np.concatenate([expansions, size[a] + size[b]])
-        rules.append(np.stack([a, b], axis=1))
-        symbols += len(pairs)
-    return Grammar(base, np.concatenate(rules), expansions, sequence)
+        found = HashIndex(pairs.view(np.uint64)).find(codes.view(np.uint64))
+        held = found >= 0
+        live, found, fine = live[held], found[held], fine[held]
+        own = np.where(fine, rank[found], 0)
+        beside = np.diff(live) == 1
+        above = own > np.concatenate([[0], np.where(beside, own[:-1], 0)])
+        above &= own > np.concatenate([np.where(beside, own[1:], 0), [0]])
+        # A pair that would be replaced once only waits; the first in rank never does.
+        number = np.bincount(found[above], minlength=len(pairs))
+        above &= number[found] >= 2
+        at, used = live[above], np.flatnonzero(number >= 2)
+        name = np.zeros(len(pairs), np.int64)
+        name[used] = symbols + np.arange(len(used))
+        sequence[at] = name[found[above]]
+        stays = np.ones(len(sequence), bool)
+        stays[at + 1] = False
+        new = at - np.arange(len(at))  # where the new symbols are in the shortened sequence
+        again = np.zeros(len(sequence), bool)
+        again[live[~above]] = True
+        again, sequence = again[stays], sequence[stays]
+        again[new] = again[np.maximum(new - 1, 0)] = True
+        live = np.flatnonzero(again[:-1])
+        rules.append(np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1))
+        symbols += len(used)
+    made = np.concatenate([np.zeros((0, 2), np.int64), *rules])
+    size = np.ones(symbols, np.int64)
+    at = base
+    for some in rules:  # a rule's halves come from earlier rounds
+        size[at:at + len(some)] = size[some].sum(axis=1)
+        at += len(some)
+    return Grammar(base, made, size[base:], sequence.astype(np.int64))
 
 
 class WordEncoder:
