@@ -130,6 +130,22 @@ def test_grammar_reads_any_range():
             assert (grammar.ids(start, count) == ids[start:start + count]).all()
 
 
+def test_no_frequent_pair_is_left():
+    draw = np.random.default_rng(4)
+    passage = draw.integers(0, 50, 300)
+    for ids, at_most in ((np.full(200_000, 7), 60), (np.tile([3, 4], 100_000), 60), (np.tile(passage, 2000), 400), (draw.integers(0, 3, 20_000), 20_000),
+                         (np.concatenate([passage, draw.integers(0, 50, 50)] * 30), 10_000), (np.zeros(0, int), 0), (np.zeros(1, int), 1)):
+        grammar = token_files.compress(ids, 50)
+        assert (grammar.expand(grammar.sequence) == ids).all() and len(grammar.rules) + len(grammar.sequence) <= max(at_most, len(ids) // 2)
+        places, last = {}, {}
+        for i, pair in enumerate(zip(grammar.sequence[:-1].tolist(), grammar.sequence[1:].tolist())):
+            if pair[0] != pair[1] or last.get(pair) != i - 1:  # places that do not overlap
+                places[pair] = places.get(pair, 0) + 1
+                last[pair] = i
+        assert max(places.values(), default=0) < 8
+        assert all((grammar.rules[k] < 50 + k).all() for k in range(len(grammar.rules)))
+
+
 # --- fingerprints ------------------------------------------------------------------------
 
 def test_fingerprints_and_neighbours(docs, empty):
@@ -356,10 +372,33 @@ def test_near_duplicates_odd_rows(docs, empty):
     assert len(got) == len(TEXTS)
     want = classes([(i, t) for i, t, _ in TEXTS if i not in (None, 12)])
     assert {i: r.component_id for (i, _), r in got.items() if i not in (None, 12)} == want and want[2] == 0
-    assert got[7, 1].component_id == 6 and got[3, 0].kept and got[4, 0].kept and not got[None, 76].kept
+    assert got[7, 1].component_id == 6 and got[3, 0].kept and got[4, 0].kept and got[None, 76].kept
     assert near_dups.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_are_told_apart_by_their_texts(spark):
+    """Repeated ids with other texts, exact repeats, ids that are missing."""
+    a, b, c = (sentence(s, 60) for s in (201, 202, 203))
+    near_a, near_b = a + " more", "more " + b
+    rows = [(5, a), (5, b), (2, near_a), (3, near_b), (9, c), (9, c), (None, c + " end"), (None, sentence(204, 50)), (None, sentence(205, 50)), (None, sentence(205, 50)), (None, None), (None, ""), (7, None), (7, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = {(r.doc_id, r.text): r.h for r in frame.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    got = near_dups.near_duplicates(frame).collect()
+    assert len(got) == len(rows)
+    of = {key: [r for r in got if (r.doc_id, r.text_hash) == (key[0], h)] for key, h in hashes.items()}
+    assert {r.component_id for r in of[5, a] + of[2, near_a]} == {2} and {r.component_id for r in of[5, b] + of[3, near_b]} == {3}
+    assert {r.component_id for r in of[9, c] + of[None, c + " end"]} == {9} and sorted(r.first for r in of[9, c]) == [False, True]
+    assert [r.first for r in of[None, c + " end"]] == [False] and [r.first for r in of[None, sentence(204, 50)]] == [True]
+    assert sorted(r.first for r in of[None, sentence(205, 50)]) == [False, True]
+    # One row of each class is left, with its columns; rows without words stand for themselves unless they repeat id and text.
+    more = frame.withColumns({"source": F.lit("s"), "text_hash": F.lit(1), "n": F.lit("clash")})
+    left = near_dups.first_rows(more)
+    assert left.columns == more.columns
+    want = [(2, near_a), (3, near_b), (9, c), (None, sentence(204, 50)), (None, sentence(205, 50)), (7, None)]
+    found = [(r.doc_id, r.text) for r in left.collect()]
+    assert sorted(map(str, [x for x in found if x[1] or x[0]])) == sorted(map(str, want)) and len(found) == len(want) + 1
+
+
 # --- language identification -------------------------------------------------------------
 
 def test_language_code_lengths():

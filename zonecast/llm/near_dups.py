@@ -1,6 +1,7 @@
 """Near-duplicate classes: MinHash signatures, a multi-index Hamming join, exact confirmation.
 
-Texts with the same set of word shingles are one node. A node's signature has ``chunks * chunk`` MinHash values
+Texts with the same set of word shingles are one node, whatever their ids; nodes are numbered, and ids matter only for the
+texts that represent a node and at the end. A node's signature has ``chunks * chunk`` MinHash values
 of 16 bits. Two signatures that differ in at most ``2 * chunks - 1`` values have, by the pigeonhole
 principle, a chunk in which they differ in at most one; so every chunk gives one key for each of its
 values left out, and such a pair meets under a key whatever the value that differs. Under each key the nodes
@@ -187,6 +188,17 @@ def bounds(table: pa.Table, keys: tuple[str, ...]) -> tuple[np.ndarray, np.ndarr
     return starts, np.append(starts[1:], table.num_rows)
 
 
+def once(table: pa.Table, keys: tuple[str, ...]) -> pa.Table:
+    """The first row for each value of ``keys`` of a table sorted by them."""
+    starts, _ = bounds(table, keys)
+    return table if len(starts) == table.num_rows else table.take(starts)
+
+
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """What tells rows apart: the id, null or not, and a hash of the text."""
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash")]
+
+
 def near_stars(nodes: np.ndarray, codes: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
     """Star edges of the components that nodes within ``distance`` of each other form.
 
@@ -331,7 +343,7 @@ def block_count(nodes: Column, shingles: Column, config: NearDupConfig) -> Colum
 def first_tasks(members: DataFrame, config: NearDupConfig) -> DataFrame:
     """Who meets where in the first step: each block of a component alone, and the first one with each other one.
 
-    rep, n_shingles, component, blocks, and the blocks ``one`` and ``two`` that meet in the task, ``side`` the one of the
+    rep, the key of its text, component, and the blocks ``one`` and ``two`` that meet in the task, ``side`` the one of the
     row. A block is a pair of numbers: ``group``, 0 in this step, and its place in the group.
     """
     size = members.groupBy("component").agg(block_count(F.count("*"), F.sum("n_shingles"), config).alias("blocks"))
@@ -339,7 +351,7 @@ def first_tasks(members: DataFrame, config: NearDupConfig) -> DataFrame:
     others = F.when(F.col("own") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array_distinct(F.array(F.lit(0).cast("long"), "own")))
     zero = F.lit(0).cast("long")
     return (members.join(size, "component").withColumn("own", own).withColumn("other", F.explode(others))
-            .select("rep", "component", zero.alias("group_one"), F.least("own", "other").alias("one"), zero.alias("group_two"),
+            .select("rep", "doc_id", "text_hash", "component", zero.alias("group_one"), F.least("own", "other").alias("one"), zero.alias("group_two"),
                     F.greatest("own", "other").alias("two"), (F.col("own") == F.greatest("own", "other")).cast("long").alias("side")))
 
 
@@ -369,7 +381,7 @@ def second_tasks(members: DataFrame, classes: DataFrame, config: NearDupConfig)
     placed = (told.join(groups.select("component", "class", "group"), ["component", "class"]).join(sized, ["component", "group"])
               .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
     return (placed.join(pairs, ["component", "group", "own"])
-            .select("rep", "component", F.col("low.group").alias("group_one"), F.col("low.own").alias("one"),
+            .select("rep", "doc_id", "text_hash", "component", F.col("low.group").alias("group_one"), F.col("low.own").alias("one"),
                     F.col("high.group").alias("group_two"), F.col("high.own").alias("two"), "side"))
 
 
@@ -381,6 +393,7 @@ def confirmed_links(docs: DataFrame, tasks: DataFrame, config: NearDupConfig) ->
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, key):
             forest = Forest()
+            table = once(table, (*key, "rep"))  # rows that repeat an id and its text
             ids, text, sides = table.column("rep").to_numpy(), table.column("text"), table.column("side").to_numpy()
             alone = np.all([table.column(a).to_numpy() == table.column(b).to_numpy() for a, b in (("group_one", "group_two"), ("one", "two"))], axis=0)
             for s, e in zip(*bounds(table, key), strict=True):
@@ -404,9 +417,10 @@ def confirmed_links(docs: DataFrame, tasks: DataFrame, config: NearDupConfig) ->
     if tasks.count() <= config.small_tasks:
         tasks = F.broadcast(tasks)  # then only the members' texts are shuffled, not all texts
     bounded_batches()
-    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(tasks, "rep")
+    texts = docs.select("text", *row_key("doc_id", "text"))
+    rows = texts.join(tasks, texts["doc_id"].eqNullSafe(tasks["doc_id"]) & (texts["text_hash"] == tasks["text_hash"]))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, *key).sortWithinPartitions(*key).select("rep", "text", "side", *key)
+    return (rows.repartition(n, *key).sortWithinPartitions(*key, "rep").select("rep", "text", "side", *key)
             .mapInArrow(verify, "a long, b long").filter("a <> b"))
 
 
@@ -421,22 +435,52 @@ def confirmed_classes(docs: DataFrame, members: DataFrame, config: NearDupConfig
 
 
 def near_duplicates(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
+    """doc_id, text_hash, n_shingles, component_id, kept, first of every row of ``docs`` (doc_id, text).
 
-    A row without words is a class of its own. Rows without an id join the class of their text but
-    stand for none: their class is null if no row with an id has the same set, and kept is false.
+    ``component_id`` is the smallest id of the class; null if no row of it has one. ``first`` holds for one row of each class: the
+    one with the smallest id, null ids last, then with the smallest hash of its text; of rows that repeat both, for one of them. ``kept`` is
+    doc_id = component_id, or ``first`` for rows without an id. A row without words is a class of its own. Rows that repeat an id
+    with other texts are different nodes, linked only if their texts are.
     """
-    profiles = stored(docs.select("doc_id", profile(F.col("text"), config).alias("p")).select("doc_id", "p.*"), "dup-profiles")
-    nodes = stored(profiles.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_hash")
-                   .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n_shingles")), "dup-nodes")
+    profiles = stored(docs.select(*row_key("doc_id", "text"), F.monotonically_increasing_id().alias("row"), profile(F.col("text"), config).alias("p"))
+                      .select("doc_id", "text_hash", "row", "p.*"), "dup-profiles")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row"))
+    nodes = stored(profiles.filter("set_hash IS NOT NULL").groupBy("set_hash")
+                   .agg(first.alias("first"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n_shingles"))
+                   .withColumn("rep", F.monotonically_increasing_id()), "dup-nodes")
     near = components(candidate_edges(nodes, config), "dup-candidates")
     members = stored(near.join(nodes.withColumnRenamed("rep", "node"), "node")
-                     .select(F.col("node").alias("rep"), "n_shingles", "component"), "dup-members")
+                     .select(F.col("node").alias("rep"), "first.doc_id", "first.text_hash", "n_shingles", "component"), "dup-members")
     classes = confirmed_classes(docs, members, config)
-    by_set = (nodes.join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("set_hash", F.coalesce("component", "rep").alias("class")))
+    by_node = nodes.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", "first", F.coalesce("component", "rep").alias("class"))
+    leaders = by_node.groupBy("class").agg(F.min("first").alias("leader"))
+    by_set = by_node.join(leaders, "class").select("set_hash", "leader")
     # Rows without a set have no partner and need none, so they may meet nothing in the join.
-    component = F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("class"))
+    alone = F.col("set_hash").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("leader.doc_id"))
+    is_first = alone | (F.col("row") == F.col("leader.row"))
     return (profiles.join(by_set, "set_hash", "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))
+            .select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+                    F.coalesce(F.col("doc_id") == component, is_first).alias("kept"), is_first.alias("first")))
+
+
+def first_rows(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
+    """One row of each class of ``docs`` (doc_id, text and any more columns), all its columns as they were.
+
+    Rows that repeat an id and its text are one class and leave one row, whatever their other columns: the one with the smallest hash of them.
+    """
+    found = stored(near_duplicates(docs.select("doc_id", "text"), config).select("doc_id", "text_hash", "first"), "dup-rows")
+    keys = stored(found.groupBy("doc_id", "text_hash").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
+                  .filter("first").select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "n"), "dup-first-rows")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(whole.alias("whole"), *row_key("doc_id", "text"))
+
+    def of(some: DataFrame) -> DataFrame:
+        return rows.join(some, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")), "left_semi")
+
+    kept = of(keys.filter("n = 1")).select("whole.*")
+    repeated = keys.filter("n > 1")
+    if repeated.isEmpty():
+        return kept
+    one = of(repeated).groupBy("doc_id", "text_hash").agg(F.min_by("whole", F.xxhash64("whole")).alias("whole"))
+    return kept.unionByName(one.select("whole.*"))

@@ -46,7 +46,7 @@ def op6_mixing(spark, sf_dir):
 
 @query
 def op9_near_dups(spark, sf_dir):
-    return near_dups.near_duplicates(documents(spark, sf_dir))
+    return near_dups.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
