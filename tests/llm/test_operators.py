@@ -278,6 +278,21 @@ def test_mix_reaches_targets(spark, docs, empty):
     assert mixing.mixture(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_small_sources_beside_a_large_one_meet_their_targets(spark):
+    draw = random.Random(7)
+    rows = [(i, "w " * draw.randrange(3, 30), "large") for i in range(20_000)]
+    rows += [(100_000 + 100 * k + i, "w " * draw.randrange(5, 2000), f"s{k}") for k in range(24) for i in range(60)]
+    got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), mixing.MixConfig(part_rows=256)).collect()
+    source, taken, target, out = {r[0]: r[2] for r in rows}, {}, {}, {}
+    for r in got:
+        s = source[r.doc_id]
+        taken[s], target[s] = taken.get(s, 0) + r.taken, r.target
+        if r.taken < r.size * (r.target // r.source_size + 1):
+            out[s] = min(out.get(s, r.size), r.size)
+    for s in target:
+        assert abs(taken[s] - target[s]) <= max(10, out.get(s, 0) / 2), (s, taken[s], target[s], out.get(s))
+
+
 # --- licences ----------------------------------------------------------------------------
 
 def test_licenses(spark, docs, empty):

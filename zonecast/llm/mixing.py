@@ -7,8 +7,8 @@ that are left. A document that would exceed them is passed over, and the gap goe
 the following documents of its part that fit; what then remains goes to the document nearest to it in size, if that is
 nearer than leaving it.
 
-No source is sorted as a whole. Keys fall into equal parts of the unit interval; sizes are summed by source
-and part, a running sum finds the part in which the budget ends, and only its documents are sorted.
+No large source is sorted as a whole. Keys fall into equal parts of the unit interval, as many as the source's own rows
+fill; sizes are summed by source and part, a running sum finds the part in which the budget ends, and only its documents are sorted.
 """
 
 from __future__ import annotations
@@ -59,17 +59,18 @@ def keyed(config: MixConfig) -> list[Column]:
     return [F.col("doc_id"), F.col("source"), word_count(text).alias("size"), key.alias("es_key"), F.xxhash64(text).alias("tie")]
 
 
-def part(key: Column, parts: int) -> Column:
-    return F.least(F.lit(parts - 1), F.floor((1.0 - F.exp(-key)) * parts).cast("long"))
+def part(key: Column, parts: Column) -> Column:
+    return F.least(parts - 1, F.floor((1.0 - F.exp(-key)) * parts).cast("long"))
 
 
 def targets(sizes: DataFrame, config: MixConfig) -> DataFrame:
-    """source, source_size, target, one row per source of ``sizes`` (source, size).
+    """source, source_size, target, parts, one row per source of ``sizes`` (source, size).
 
     Weights go round by the order of the names. Sources are taken by the level at which they reach their
     limit; one is at its limit if the level, with all before it at theirs, is not below its own.
     """
-    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_source = sizes.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.ceil(F.count(F.lit(1)) / config.part_rows).cast("long").alias("parts"))
     turn = Window.orderBy(F.col("source").asc_nulls_last())
     by_level = Window.orderBy("level", F.col("source").asc_nulls_last())
     weights = F.array(*[F.lit(w) for w in config.weights])
@@ -84,28 +85,28 @@ def targets(sizes: DataFrame, config: MixConfig) -> DataFrame:
     shared = level.withColumn("reached", left / weight_left).withColumn("full", F.col("reached") >= F.col("level"))
     common = F.min(F.when(~F.col("full"), F.struct("level", "source", "reached"))).over(whole)["reached"]
     target = F.when(F.col("full"), F.col("limit").cast("double")).otherwise(common * F.col("weight"))
-    return shared.select("source", "source_size", target.alias("target"))
+    return shared.select("source", "source_size", target.alias("target"), "parts")
 
 
-def cuts(rows: DataFrame, config: MixConfig, parts: int) -> DataFrame:
+def cuts(rows: DataFrame, config: MixConfig) -> DataFrame:
     """Per source its target, whole epochs, and where the fractional epoch ends: a part, and the last row taken inside it."""
     spark = rows.sparkSession
     goal = stored(targets(rows, config)
                   .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
                   .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-goal")
-    summed = (rows.groupBy("source", part(F.col("es_key"), parts).alias("part")).agg(F.sum("size").alias("words"))
+    place = part(F.col("es_key"), F.col("g.parts"))
+    summed = (small(rows.alias("s"), goal.alias("g"), spark).groupBy("g.source", "g.rest", place.alias("part")).agg(F.sum("s.size").alias("words"))
               .withColumn("end", F.sum("words").over(Window.partitionBy("source").orderBy("part"))))
-    ends = (small(summed.alias("s"), goal.alias("g"), spark)
-            .filter("s.end > g.rest").groupBy("s.source")
+    ends = (summed.filter("end > rest").groupBy("source")
             .agg(F.min(F.struct("part", (F.col("end") - F.col("words")).alias("before"))).alias("stop"))
             .select("source", "stop.part", "stop.before"))
     stops = stored(goal.join(ends.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")), "left")
-                   .select("source", "source_size", "target", "epochs", "rest", F.coalesce("part", F.lit(parts)).alias("stop"), F.coalesce("before", F.lit(0)).alias("before")), "mix-stops")
+                   .select("source", "source_size", "target", "epochs", "rest", "parts", F.coalesce("part", "parts").alias("stop"), F.coalesce("before", F.lit(0)).alias("before")), "mix-stops")
     by_source = Window.partitionBy("g.source")
     running = by_source.orderBy("es_key", "doc_id", "s.size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     row = F.struct("es_key", "doc_id", F.col("s.size").alias("size"), "tie")
-    inside = (small(rows.withColumn("part", part(F.col("es_key"), parts)).alias("s"), stops.alias("g"), spark)
-              .filter("s.part = g.stop").withColumn("row", row)
+    inside = (small(rows.alias("s"), stops.alias("g"), spark)
+              .filter(place == F.col("g.stop")).withColumn("row", row)
               .withColumn("gap", F.col("rest") - F.col("before")).withColumn("taken", F.lit(False)))
     rounds = []
     for i in range(config.rounds):
@@ -123,7 +124,7 @@ def cuts(rows: DataFrame, config: MixConfig, parts: int) -> DataFrame:
         F.min(F.when(~F.col("taken") & (miss < F.col("gap")), F.struct(miss.alias("miss"), "row"))).alias("filler"))
         .select(F.col("source").alias("name"), "rounds", F.col("filler.row").alias("filler")))
     return stored(stops.join(found, F.col("source").eqNullSafe(F.col("name")), "left")
-                  .select("source", "source_size", "target", "epochs", "stop", "rounds", "filler"), "mix-cuts")
+                  .select("source", "source_size", "target", "epochs", "parts", "stop", "rounds", "filler"), "mix-cuts")
 
 
 def small(rows: DataFrame, by_source: DataFrame, spark) -> DataFrame:
@@ -133,9 +134,9 @@ def small(rows: DataFrame, by_source: DataFrame, spark) -> DataFrame:
     return rows.join(by_source, F.col("s.source").eqNullSafe(F.col("g.source")))
 
 
-def with_copies(rows: DataFrame, by_source: DataFrame, parts: int) -> DataFrame:
+def with_copies(rows: DataFrame, by_source: DataFrame) -> DataFrame:
     """``rows`` of :func:`keyed` with more columns, beside source_size, target, copies."""
-    place = part(F.col("es_key"), parts)
+    place = part(F.col("es_key"), F.col("parts"))
     row = F.struct("es_key", "doc_id", F.col("s.size").alias("size"), "tie")
     inside = F.coalesce(F.exists("rounds", lambda r: (F.col("s.size") <= r.gap) & F.coalesce(row <= r.last, F.lit(False))), F.lit(False))
     inside |= F.coalesce(row == F.col("filler"), F.lit(False))
@@ -144,10 +145,6 @@ def with_copies(rows: DataFrame, by_source: DataFrame, parts: int) -> DataFrame:
             .withColumn("copies", F.when(F.col("s.size") > 0, F.col("epochs") + partial).otherwise(0)))
 
 
-def part_count(rows: DataFrame, config: MixConfig) -> int:
-    return max(1, -(-rows.count() // config.part_rows))
-
-
 def mixture(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``docs`` (doc_id, text, source).
 
@@ -155,16 +152,14 @@ def mixture(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     Rows with the same id and text go in or stay out together.
     """
     rows = stored(docs.select(*keyed(config)), "mix-rows")
-    parts = part_count(rows, config)
-    return (with_copies(rows, cuts(rows, config, parts), parts)
+    return (with_copies(rows, cuts(rows, config))
             .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")))
 
 
 def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The mix itself: every row as often as it is taken, all columns as they were."""
     rows = stored(docs.select(*keyed(config)), "mix-rows")
-    parts = part_count(rows, config)
-    by_source = cuts(rows, config, parts)
+    by_source = cuts(rows, config)
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    return (with_copies(docs.select(whole.alias("row"), *keyed(config)), by_source, parts).filter("copies > 0")
+    return (with_copies(docs.select(whole.alias("row"), *keyed(config)), by_source).filter("copies > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*"))

@@ -71,9 +71,8 @@ WITH docs AS (
          -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':20'), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
          / coalesce(greatest(0.1::DOUBLE, 1.0::DOUBLE - (length(text) - length(translate(text, '0123456789#*$%&|<>{}[]()=+_~^@\/', '')))::DOUBLE / nullif(length(text), 0)), 0.1::DOUBLE) AS es_key
   FROM documents),
-parts AS (SELECT greatest(1, ceil(count(*) / 4096.0))::BIGINT AS parts FROM docs),
 sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  SELECT source, ceil(count(*) / 4096.0)::BIGINT AS parts, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
   FROM docs GROUP BY source),
 levels AS (SELECT *, 3 * source_size AS "limit", 3 * source_size / weight::DOUBLE AS level FROM sources),
 reached AS (
@@ -81,14 +80,14 @@ reached AS (
   FROM levels WINDOW b AS (ORDER BY level, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 common AS (SELECT first(reached ORDER BY level, source NULLS LAST) AS common FROM reached WHERE reached < level),
 goals AS (
-  SELECT source, source_size, CASE WHEN reached >= level THEN "limit"::DOUBLE ELSE common * weight END AS target
+  SELECT source, parts, source_size, CASE WHEN reached >= level THEN "limit"::DOUBLE ELSE common * weight END AS target
   FROM reached LEFT JOIN common ON TRUE),
 goal AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs,
          target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT * source_size AS rest FROM goals),
 placed AS (
-  SELECT d.*, g.source_size, g.target, g.epochs, g.rest, least(parts - 1, floor((1.0::DOUBLE - exp(-es_key)) * parts)::BIGINT) AS part
-  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source, parts),
+  SELECT d.*, g.source_size, g.target, g.epochs, g.rest, g.parts, least(parts - 1, floor((1.0::DOUBLE - exp(-es_key)) * parts)::BIGINT) AS part
+  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
 part_sums AS (SELECT source, part, sum(size)::BIGINT AS words FROM placed GROUP BY source, part),
 ends AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY part) AS part_end FROM part_sums),
 stops AS (
@@ -96,7 +95,7 @@ stops AS (
   FROM ends e JOIN goal g ON e.source IS NOT DISTINCT FROM g.source WHERE part_end > rest GROUP BY e.source),
 rows0 AS (
   SELECT p.*, coalesce(stop, parts) AS stop, rest - coalesce(before, 0) AS gap, FALSE AS taken
-  FROM placed p LEFT JOIN stops s ON p.source IS NOT DISTINCT FROM s.source, parts WHERE part = coalesce(stop, parts)),""" + "".join(
+  FROM placed p LEFT JOIN stops s ON p.source IS NOT DISTINCT FROM s.source WHERE part = coalesce(stop, parts)),""" + "".join(
     _MIX_ROUND.format(n=n, next=n + 1) for n in range(4)) + """
 fillers AS (SELECT *, NOT taken AND abs(gap - size) < gap AS may FROM rows4),
 chosen AS (
@@ -105,7 +104,7 @@ chosen AS (
 decided AS (
   SELECT p.*, p.part < coalesce(s.stop, parts) OR coalesce(c.inside, FALSE) AS partial
   FROM placed p LEFT JOIN stops s ON p.source IS NOT DISTINCT FROM s.source
-  LEFT JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source AND p.doc_id = c.doc_id, parts)
+  LEFT JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source AND p.doc_id = c.doc_id)
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN (epochs + partial::BIGINT) * size ELSE 0 END::BIGINT AS taken
 FROM decided
 """
