@@ -66,19 +66,21 @@ def _sum_windows(daily: DataFrame, starts: DataFrame, *keys: str) -> DataFrame:
         safe_ratio("sum_ratio", F.col("n_ratio").cast("double")).alias("mape_excluding_zero_actuals"))
 
 
-def rolling_7d(errors: DataFrame, end_days: DataFrame | None = None) -> DataFrame:
+def rolling_7d(errors: DataFrame, end_days: DataFrame | None = None, reread: bool = False) -> DataFrame:
     """All complete windows, or those ending at 23:00 of ``end_days`` (a ``day`` column,
-    distinct), complete or not."""
-    return _rolling(errors, end_days, "model_version").select(*ROLLING.fieldNames())
+    distinct), complete or not. ``reread`` is for errors that are a stored table, cheaper to read twice than to keep sums of."""
+    return _rolling(errors, end_days, reread, "model_version").select(*ROLLING.fieldNames())
 
 
-def rolling_7d_by_zone(errors: DataFrame, end_days: DataFrame | None = None) -> DataFrame:
-    return _rolling(errors, end_days, "model_version", ZONE).select(*ROLLING_BY_ZONE.fieldNames())
+def rolling_7d_by_zone(errors: DataFrame, end_days: DataFrame | None = None, reread: bool = False) -> DataFrame:
+    return _rolling(errors, end_days, reread, "model_version", ZONE).select(*ROLLING_BY_ZONE.fieldNames())
 
 
-def _rolling(errors: DataFrame, end_days: DataFrame | None, *keys: str) -> DataFrame:
+def _rolling(errors: DataFrame, end_days: DataFrame | None, reread: bool, *keys: str) -> DataFrame:
     daily = daily_sums(errors, *keys)
     if end_days is None:
+        if reread:
+            return _sum_windows(daily, complete_windows(daily_sums(errors)), *keys)
         daily = stored(daily, "daily-sums")  # read for the starts and for the sums; the errors are read once
         return _sum_windows(daily, complete_windows(daily), *keys)
     starts = end_days.select(F.date_sub("day", DAYS - 1).alias("start"))

@@ -457,14 +457,14 @@ def merge_metrics_by_day(fx):
 
 @query
 def merge_rolling_7d(fx):
-    stale = rolling.rolling_7d(before(fx.stored_errors, "target_timestamp", LAST_DAY)).withColumn(
+    stale = rolling.rolling_7d(before(fx.stored_errors, "target_timestamp", LAST_DAY), reread=True).withColumn(
         "num_predictions", F.lit(0).cast("bigint"))
     return merge.merge_rolling(stale, fx.stored_errors, HOUR, MODEL)
 
 
 @query
 def merge_rolling_7d_byzone(fx):
-    stale = rolling.rolling_7d_by_zone(before(fx.stored_errors, "target_timestamp", LAST_DAY)).withColumn(
+    stale = rolling.rolling_7d_by_zone(before(fx.stored_errors, "target_timestamp", LAST_DAY), reread=True).withColumn(
         "num_predictions", F.lit(0).cast("bigint"))
     return merge.merge_rolling_by_zone(stale, fx.stored_errors, HOUR, MODEL)
 
