@@ -13,7 +13,7 @@ from zonecast.operators import comparison, rolling, scaling
 from zonecast.operators.panel import full_panel
 from zonecast.schemas import ZONE
 from zonecast.sources.sqlfiles import run_sql_script
-from zonecast.streaming import event_time
+from zonecast.streaming import event_time, rolling_state
 
 TRIPS = "hvfhs_license_num string, request_datetime timestamp, PULocationID int"
 
@@ -153,3 +153,49 @@ def test_script_of_several_statements(spark, tmp_path, errors):
     END""")
     assert run_sql_script(spark, str(path), model="m", least=1, stamp=datetime(2024, 1, 1)).first()[:] == (2, datetime(2024, 1, 1))
     assert run_sql_script(spark, str(path), model="x'; DROP", least=1, stamp=datetime(2024, 1, 1)).first().n == -1
+
+
+# --- rolling windows in a stream's state -------------------------------------------------
+
+def test_rolling_windows_of_a_stream_equal_the_rebuild_in_any_order(spark, errors, tmp_path):
+    draw = random.Random(5)
+    rows = [(h, z, draw.randrange(4), draw.randrange(9), m) for h in range(24 * 20) for z in "12" for m in "ab" if draw.random() < 0.3]
+    rows += [(h, "9", 1, 3, "a") for h in range(5)]  # a zone that falls silent
+    folder, out, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    # Every row comes up to three parts late, a part being five days; some of the first day come at the end.
+    last = [row for row in rows if row[0] < 24 and row[1] == "2"]
+    parts = [[] for _ in range(5)]
+    for row in rows:
+        if row not in last:
+            parts[min(4, row[0] // 120 + draw.choice([0, 0, 0, 1]))].append(row)
+    parts.append([(24 * 20 + 2, "1", 1, 1, "a"), (24 * 20 + 2, "1", None, 1, "a")][:1])
+    schema = errors(rows[:1]).schema
+    query = None
+    for part in [*parts, last]:
+        if part:
+            errors(part).coalesce(1).write.mode("append").parquet(folder)
+            # Each part is a run of its own, restarted from the checkpoint.
+            source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            query = event_time.run_to_table(rolling_state.rolling_rows(source, lateness=8), out, checkpoint)
+    known = errors([row for row in rows if row not in last])
+    days = spark.createDataFrame([(hour(24 * d).date(),) for d in range(20)], "day date")
+    for got, want in (
+        (rolling_state.rolling_by_zone_of_stream(spark, out), rolling.rolling_7d_by_zone(known, days)),
+        (rolling_state.rolling_of_stream(spark, out), rolling.rolling_7d(known, days)),
+    ):
+        got, want = ({tuple(r)[:5]: tuple(r)[5:] for r in df.select("metric_date", *[c for c in df.columns if c in (ZONE, "model_version")], "window_start_timestamp",
+                     "num_predictions", "mae", "rmse", "mape_excluding_zero_actuals").collect()} for df in (got, want))
+        assert got.keys() == want.keys() and len(got) > 30
+        for key, values in want.items():
+            assert got[key] == pytest.approx(values)
+    late = {(r.model_version, r.PULocationID): r.late for r in rolling_state.late_errors(spark, out).collect()}
+    assert late == Counter((m, z) for _, z, _, _, m in last)
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 4  # the silent zone is gone
+
+
+def test_an_empty_stream_of_errors_gives_empty_tables(spark, errors, tmp_path):
+    frame = errors([(1, "1", 1, 2, "a")]).limit(0)
+    frame.write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in")
+    event_time.run_to_table(rolling_state.rolling_rows(source), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert rolling_state.rolling_of_stream(spark, f"{tmp_path}/out").isEmpty()

@@ -59,6 +59,22 @@ def rolling(errors: str, zone: bool = False) -> str:
       GROUP BY w.s, {key}e.model_version"""
 
 
+# Rows that the stream of errors gets last, behind all lateness.
+TOO_LATE = f"CAST({Z} AS INTEGER) % 10 = 1 AND dayofmonth(target_timestamp) <= 3"
+
+
+def rolling_of_stream(zone: bool = False) -> str:
+    """Windows of the days that are over one hour before the latest error, complete or not."""
+    key = f"e.{Z}, " if zone else ""
+    return f"""
+      SELECT CAST(d.day AS DATE) AS metric_date, {key}d.day - INTERVAL 144 HOUR AS window_start_timestamp,
+             d.day + INTERVAL 23 HOUR AS window_end_timestamp, e.model_version, {bundle()}
+      FROM (SELECT unnest(generate_series(date_trunc('day', min(target_timestamp)), date_trunc('day', max(target_timestamp) - INTERVAL 1 HOUR) - INTERVAL 1 DAY,
+                                          INTERVAL 1 DAY)) AS day FROM errors) d
+      JOIN errors e ON e.target_timestamp BETWEEN d.day - INTERVAL 144 HOUR AND d.day + INTERVAL 23 HOUR
+      WHERE NOT ({TOO_LATE}) GROUP BY d.day, {key}e.model_version"""
+
+
 def rolling_at(zone: bool = False) -> str:
     key = f"{Z}, " if zone else ""
     return f"""
@@ -419,6 +435,10 @@ SELECTS = {
       FROM order_days, (SELECT date_diff('hour', min(hour), max(hour)) + 1 AS h FROM order_days) GROUP BY {Z}, h""",
     "rolling_7d_of_stamps": rolling("shifted_errors"),
     "rolling_7d_byzone_of_stamps": rolling("shifted_errors", zone=True),
+    "stream_rolling_7d": rolling_of_stream(),
+    "stream_rolling_7d_byzone": rolling_of_stream(zone=True),
+    "stream_late_errors": f"""
+      SELECT model_version, {Z}, CAST(target_timestamp AS DATE) AS target_date, count(*) AS late FROM errors WHERE {TOO_LATE} GROUP BY ALL""",
     "compare_versions": f"""
       SELECT metric, n_cells, n_days, {r('mean_one', 'mean_one')}, {r('mean_two', 'mean_two')}, {r('mean_one - mean_two', 'difference')}, {r('lower', 'lower')}, {r('upper', 'upper')}
       FROM (SELECT metric, sum(n)::BIGINT AS n_cells, count(*) AS n_days, sum(a) / sum(n) AS mean_one, sum(b) / sum(n) AS mean_two FROM compared_days GROUP BY metric)

@@ -23,7 +23,7 @@ from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
 from zonecast.sources import actuals, files, sqlfiles
 from zonecast.sources.tables import Warehouse
-from zonecast.streaming import event_time
+from zonecast.streaming import event_time, rolling_state
 from zonecast.streaming.cycle_stream import run_cycle_stream
 from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
 
@@ -555,6 +555,38 @@ def stream_late_trips(fx):
     return stored.groupBy("kind", "hour", ZONE).agg(F.sum("demand").alias("demand"))
 
 
+def _rolled(fx: Fixtures) -> str:
+    """The folder of a stream of all errors. Some of days 8 to 12 come a part late, in time for their windows, and some of
+    the first three days come last, behind all lateness."""
+    errors, day = fx.stored_errors, F.dayofmonth("target_timestamp")
+    zone = F.col(ZONE).cast("int") % 10
+    late = (zone == 0) & day.between(8, 12)
+    too_late = (zone == 1) & (day <= 3)
+    part = F.when(too_late, 3).when(late | day.between(13, 18), 1).when(day <= 12, 0).otherwise(2)
+    folder, parts = shared_folder(fx.spark, "errors-arriving"), 4
+    for number in range(parts):
+        errors.filter(part == number).coalesce(1).write.mode("append").parquet(folder)
+    source = fx.spark.readStream.schema(errors.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = shared_folder(fx.spark, "rolling-rows")
+    event_time.run_to_table(rolling_state.rolling_rows(source), out, shared_folder(fx.spark, "rolling-checkpoint"))
+    return out
+
+
+@query
+def stream_rolling_7d(fx):
+    return rolling_state.rolling_of_stream(fx.spark, _rolled(fx))
+
+
+@query
+def stream_rolling_7d_byzone(fx):
+    return rolling_state.rolling_by_zone_of_stream(fx.spark, _rolled(fx))
+
+
+@query
+def stream_late_errors(fx):
+    return rolling_state.late_errors(fx.spark, _rolled(fx))
+
+
 # --- files, views and reports read back --------------------------------------------------
 
 @query
