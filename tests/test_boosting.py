@@ -93,3 +93,31 @@ def test_fit_plan_has_no_driver_loop(samples):
     """All fits of a run are rows of one plan."""
     models = boosting.fit_zone_models(samples, [1, 2, 3, 4, 5], BoostingConfig(n_estimators=1, lags=(1, 24), zones_per_task=1))
     assert models.tasks == 5 and models.trees.select("target_zone").distinct().count() == 5
+
+
+def test_the_full_window_has_every_hour_and_its_calendar(spark, demand, tmp_path):
+    from zonecast.operators.lags import calendar_names, feature_names, lag_matrix
+    rows = [(h, z, (h * z) % 7 + (h % 24 == 8) * 5 + z) for h in range(120) for z in (1, 2, 3)]
+    config = BoostingConfig(n_estimators=4, max_depth=2, mode="full", input_len=5)
+    assert config.used_lags == config.used_calendar == (1, 2, 3, 4, 5)
+    panel = full_panel(demand(rows))
+    samples = lag_features(panel, config.used_lags, calendar=config.used_calendar)
+    names = feature_names(config.used_lags, [1, 2, 3], config.used_calendar)
+    first = lag_matrix(samples, [1, 2, 3], config.used_lags, config.used_calendar).orderBy("target_timestamp").first()
+    got = dict(zip(names, first.features, strict=True))
+    assert len(got) == 5 * (3 + 8)
+    plain = {(h, z): d for h, z, d in rows}
+    for lag in config.used_lags:
+        assert [got[f"lag_{lag}_zone_{z}"] for z in (1, 2, 3)] == [plain[5 - lag, z] for z in (1, 2, 3)]
+        assert got[f"hour_sin_{lag}h_before"] == pytest.approx(np.sin(2 * np.pi * (5 - lag) / 24))
+    models = boosting.fit_zone_models(samples, [1, 2, 3], config)
+    models.save(spark, f"{tmp_path}/models")
+    again = boosting.load_models(spark, f"{tmp_path}/models")
+    keys = ["target_timestamp", ZONE]
+    assert sorted(again.predict(samples).collect()) == sorted(models.predict(samples).collect())
+    # The trees by the plain rule: every zone's values at the features of its splits.
+    assert models.predict(samples).select(*keys).distinct().count() == samples.count() == 3 * 115
+    shares = {r.feature for r in models.importance(spark).select("feature").distinct().collect()}
+    assert shares == set(names) and set(calendar_names(config.used_calendar)) < shares
+    with pytest.raises(ValueError, match="mode"):
+        BoostingConfig(mode="all")

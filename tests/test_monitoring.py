@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import START, explained, hour
 from zonecast.operators import evaluation, monitoring, rolling
 from zonecast.schemas import ACTUALS, PREDICTIONS
+from zonecast.sources import buckets
 
 
 def predictions(spark, rows):
@@ -171,3 +172,20 @@ def test_unmatched_cells_fail(spark):
     with pytest.raises(PySparkException, match="differ in their cells"):
         evaluation.cells_from(left, right, ["z"], "z").collect()
     assert evaluation.cells_from(left, left.withColumnRenamed("predicted", "actual"), ["z"], "z").count() == 2
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/bucketed'")
+    made = predictions(spark, [(h, str(z), h * z % 5, m) for h in range(50) for z in range(9) for m in "ab"])
+    truth = spark.createDataFrame([(hour(h), z, float(h % 3)) for h in range(2, 60) for z in range(0, 9, 2)], "hour timestamp, PULocationID int, demand double")
+    buckets.load_predictions(made, "bucketed.predictions", 4)
+    early = F.col("hour") < F.lit(hour(30))
+    buckets.load_actuals(truth.filter(early), "bucketed.actuals", 4)
+    buckets.load_actuals(truth.filter(~early), "bucketed.actuals", 4, mode="append")
+    for dense in (False, True):
+        got = buckets.bucketed_errors(spark, "bucketed.predictions", "bucketed.actuals", dense)
+        assert sorted(got.collect()) == sorted(monitoring.prediction_errors(made, truth).collect())
+        assert got.count() == 2 * 48 * 5
+        plan = explained(got)
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    spark.sql("DROP DATABASE bucketed CASCADE")

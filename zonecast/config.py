@@ -34,3 +34,19 @@ class BoostingConfig:
     horizon: int = 1
     use_calendar: bool = True
     zones_per_task: int = 4
+    mode: str = "select"
+    """``select``: the lags above and the calendar of the target hour. ``full``: every one of the last ``input_len`` hours, and its calendar."""
+    input_len: int = 24
+
+    def __post_init__(self):
+        if self.mode not in ("select", "full"):
+            raise ValueError(f"mode is select or full, not {self.mode!r}")
+
+    @property
+    def used_lags(self) -> tuple[int, ...]:
+        return self.lags if self.mode == "select" else tuple(range(1, self.input_len + 1))
+
+    @property
+    def used_calendar(self) -> bool | tuple[int, ...]:
+        """False, the target's own calendar, or the hours before it whose calendars are features."""
+        return self.used_lags if self.use_calendar and self.mode == "full" else self.use_calendar

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -24,7 +25,7 @@ JOBS: dict[str, tuple[Job, tuple[str, ...]]] = {}
 
 # Options that are pairs of months, and those that may be left out.
 RANGES = ("months", "train", "validation", "test")
-OPTIONAL = ("borough", "license", "validation", "model", "hour", "since")
+OPTIONAL = ("borough", "license", "validation", "model", "hour", "since", "mode")
 
 
 def job(*options: str) -> Callable[[Job], Job]:
@@ -53,17 +54,17 @@ def load_actuals(spark, args):
     prepare.load_actuals(spark, args.processed, Warehouse(spark, args.warehouse), *args.months)
 
 
-@job("processed", "models", "run", "train", "validation", "test")
+@job("processed", "models", "run", "train", "validation", "test", "mode")
 def train_models(spark, args):
     """Fit, evaluate on the test months, save the run and its reports."""
-    train.run(spark, args.processed, args.models, args.run, _data(args), BoostingConfig())
+    train.run(spark, args.processed, args.models, args.run, _data(args), replace(BoostingConfig(), mode=args.mode or "select"))
 
 
-@job("processed", "moments", "models", "run", "months")
+@job("processed", "moments", "models", "run", "months", "mode")
 def train_production(spark, args):
     """Fit on all months and save the run for scoring."""
     data = DataConfig(*args.months, tuple(args.months), tuple(args.months))
-    train.run_production(spark, args.processed, args.moments, args.models, args.run, data, BoostingConfig())
+    train.run_production(spark, args.processed, args.moments, args.models, args.run, data, replace(BoostingConfig(), mode=args.mode or "select"))
 
 
 @job("warehouse", "models", "run", "model")

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.config import BoostingConfig
-from zonecast.functions.calendar import TABULAR_CALENDAR
-from zonecast.operators.lags import feature_name_rows, lag_matrix
+from zonecast.operators.lags import calendar_hours, calendar_names, feature_name_rows, lag_matrix
 from zonecast.schemas import ZONE
 from zonecast.session import stored
 from zonecast.sources.files import load_json, save_json
@@ -174,7 +173,7 @@ def scored(nodes: pa.Table, features: np.ndarray) -> np.ndarray:
 class ZoneModels:
     zones: tuple[int, ...]
     lags: tuple[int, ...]
-    use_calendar: bool
+    calendar: tuple[int, ...]
     trees: DataFrame
     zones_per_task: int = BoostingConfig.zones_per_task
 
@@ -188,7 +187,7 @@ class ZoneModels:
         A task scores some hours by the trees of a group of zones.
         """
         keys = [c for c in ("forecast_run_timestamp", "target_timestamp") if c in samples.columns]
-        matrix = stored(lag_matrix(samples, self.zones, self.lags, self.use_calendar, labels=False).select(*keys, "features"), "lag-rows")
+        matrix = stored(lag_matrix(samples, self.zones, self.lags, self.calendar, labels=False).select(*keys, "features"), "lag-rows")
         chunks = max(1, -(-matrix.count() // SCORED_HOURS))
         hours = matrix.select(*keys, "features", F.pmod(F.xxhash64("target_timestamp"), F.lit(chunks)).cast("int").alias("chunk"), _each(self.tasks).alias("task"))
         listed = self.trees.sparkSession.createDataFrame(
@@ -215,17 +214,17 @@ class ZoneModels:
     def importance(self, spark: SparkSession) -> DataFrame:
         """Rows (target zone, feature, importance): the mean gain of the splits by a feature, as a share of its zone's sum."""
         zones = spark.createDataFrame([(z,) for z in self.zones], f"{ZONE} int")
-        number = len(self.zones) * len(self.lags) + (len(TABULAR_CALENDAR) if self.use_calendar else 0)
+        number = len(self.zones) * len(self.lags) + len(calendar_names(self.calendar))
         gains = self.trees.filter("feature >= 0").groupBy("target_zone", F.col("feature").alias("position")).agg(F.avg("gain").alias("gain"))
         total = gains.groupBy("target_zone").agg(F.sum("gain").alias("total"))
         cells = zones.select(F.col(ZONE).alias("target_zone"), _each(number).alias("position"))
         return (cells.join(gains, ["target_zone", "position"], "left").join(total, "target_zone", "left")
-                .join(feature_name_rows(zones, self.lags, self.use_calendar), "position")
+                .join(feature_name_rows(zones, self.lags, self.calendar), "position")
                 .select("target_zone", "feature", F.coalesce(F.col("gain") / F.nullif("total", F.lit(0.0)), F.lit(0.0)).alias("importance")))
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.trees.write.mode("overwrite").parquet(f"{path}/trees")
-        save_json(spark, {"zones": self.zones, "lags": self.lags, "use_calendar": self.use_calendar}, f"{path}/layout")
+        save_json(spark, {"zones": self.zones, "lags": self.lags, "calendar": self.calendar}, f"{path}/layout")
 
 
 def _each(number: int):
@@ -235,12 +234,12 @@ def _each(number: int):
 
 def load_models(spark: SparkSession, path: str) -> ZoneModels:
     layout = load_json(spark, f"{path}/layout")
-    return ZoneModels(tuple(layout["zones"]), tuple(layout["lags"]), layout["use_calendar"], spark.read.schema(TREES).parquet(f"{path}/trees"))
+    return ZoneModels(tuple(layout["zones"]), tuple(layout["lags"]), tuple(layout["calendar"]), spark.read.schema(TREES).parquet(f"{path}/trees"))
 
 
-def column_blocks(samples: DataFrame, zones: Sequence[int], lags: Sequence[int], use_calendar: bool) -> DataFrame:
+def column_blocks(samples: DataFrame, zones: Sequence[int], lags: Sequence[int], calendar: Sequence[int]) -> DataFrame:
     """A row per zone: its hours, its lags in bins, its labels, and with the first zone the calendar in bins."""
-    place = {int(z): p for p, z in enumerate(zones)}
+    place, names = {int(z): p for p, z in enumerate(zones)}, calendar_names(calendar)
 
     def bins(table: pa.Table, names: Sequence[str]) -> tuple[bytes, list]:
         values = [table.column(n).to_numpy().astype(float) for n in names]
@@ -251,7 +250,7 @@ def column_blocks(samples: DataFrame, zones: Sequence[int], lags: Sequence[int],
         zone = key[0].as_py()
         own = table.sort_by("target_timestamp")
         codes, cuts = bins(own, [f"lag_{lag}" for lag in lags])
-        told = bins(own, TABULAR_CALENDAR) if use_calendar and place.get(zone) == 0 else (None, None)
+        told = bins(own, names) if names and place.get(zone) == 0 else (None, None)
         rows = [] if zone not in place else [{
             "position": place[zone], "zone": zone, "hours": own.column("target_timestamp").cast(pa.int64()).to_numpy().tobytes(), "codes": codes, "cuts": cuts,
             "labels": own.column("target").to_numpy().astype(float).tobytes(), "calendar": told[0], "calendar_cuts": told[1]}]
@@ -260,13 +259,13 @@ def column_blocks(samples: DataFrame, zones: Sequence[int], lags: Sequence[int],
             ("position", pa.int32()), ("zone", pa.int32()), ("hours", pa.binary()), ("codes", pa.binary()), ("cuts", lists), ("labels", pa.binary()),
             ("calendar", pa.binary()), ("calendar_cuts", lists)]))
 
-    wanted = ["target_timestamp", ZONE, "target", *[f"lag_{lag}" for lag in lags], *(TABULAR_CALENDAR if use_calendar else ())]
+    wanted = ["target_timestamp", ZONE, "target", *[f"lag_{lag}" for lag in lags], *names]
     return samples.select(*wanted).groupBy(ZONE).applyInArrow(block, BLOCK)
 
 
 def fit_zone_models(samples: DataFrame, zones: Sequence[int], config: BoostingConfig) -> ZoneModels:
     """``samples`` are the scaled lag rows of the training hours. Zones that do not all have the same hours fail the job."""
-    lags, per = config.lags, config.zones_per_task
+    lags, calendar, per = config.used_lags, calendar_hours(config.used_calendar), config.zones_per_task
     tasks = -(-len(zones) // per)
     number = len(zones)
 
@@ -279,7 +278,7 @@ def fit_zone_models(samples: DataFrame, zones: Sequence[int], config: BoostingCo
         # Lag by lag, zones in order, as the names of the features go.
         parts = [np.stack([block[k] for block in codes], axis=1) for k in range(len(lags))]
         cuts = [row["cuts"][k] for k in range(len(lags)) for row in rows]
-        if config.use_calendar:
+        if calendar:
             parts.append(np.frombuffer(rows[0]["calendar"], np.uint8).reshape(-1, n).T)
             cuts += rows[0]["calendar_cuts"]
         whole = np.concatenate(parts, axis=1)
@@ -287,7 +286,7 @@ def fit_zone_models(samples: DataFrame, zones: Sequence[int], config: BoostingCo
             if row["labels"] is not None:
                 yield from fit_zone(row["zone"], whole, cuts, np.frombuffer(row["labels"], float), config)
 
-    blocks = stored(column_blocks(samples, zones, lags, config.use_calendar), "column-blocks")
+    blocks = stored(column_blocks(samples, zones, lags, calendar), "column-blocks")
     dealt = blocks.withColumn("task", _each(tasks)).withColumn("labels", F.when(F.floor(F.col("position") / per) == F.col("task"), F.col("labels")))
     trees = dealt.repartitionByRange(tasks, "task").groupBy("task").applyInArrow(fit, TREES)
-    return ZoneModels(tuple(int(z) for z in zones), tuple(lags), config.use_calendar, stored(trees, "trees"), per)
+    return ZoneModels(tuple(int(z) for z in zones), tuple(lags), calendar, stored(trees, "trees"), per)

@@ -12,6 +12,22 @@ from zonecast.functions.stamps import hours
 from zonecast.schemas import ZONE
 
 DEFAULT_LAGS = (1, 2, 3, 24)
+Calendar = bool | Sequence[int]
+"""True: the calendar of the target hour. Hours before it: the calendar of each of them. False: none."""
+
+
+def calendar_hours(calendar: Calendar) -> tuple[int, ...]:
+    return (() if not calendar else (0,)) if isinstance(calendar, bool) else tuple(calendar)
+
+
+def calendar_names(calendar: Calendar = True) -> list[str]:
+    """Names of the calendar's columns, hour by hour."""
+    return [f"{name}_{before}h_before" if before else name for before in calendar_hours(calendar) for name in TABULAR_CALENDAR]
+
+
+def calendar_columns(calendar: Calendar) -> list[Column]:
+    values = [c for before in calendar_hours(calendar) for c in calendar_features(F.col("target_timestamp") - hours(before) if before else F.col("target_timestamp"))]
+    return [c.alias(name) for c, name in zip(values, calendar_names(calendar), strict=True)]
 
 
 def check_lags(lags: Sequence[int], horizon: int = 1) -> None:
@@ -26,7 +42,7 @@ def lag_features(
     lags: Sequence[int] = DEFAULT_LAGS,
     horizon: int = 1,
     value: str = "demand",
-    calendar: bool = True,
+    calendar: Calendar = True,
 ) -> DataFrame:
     """One row per target hour and zone: the zone's lags, the target and its calendar.
 
@@ -42,7 +58,7 @@ def lag_features(
         *split, F.col("hour").alias("target_timestamp"), ZONE, F.col(value).alias("target"), *lagged,
         F.lag("hour", max(lags) + shift).over(history).alias("oldest"))
     kept = samples.filter(F.col("oldest").isNotNull()).drop("oldest")
-    return kept.select("*", *calendar_features("target_timestamp")) if calendar else kept
+    return kept.select("*", *calendar_columns(calendar))
 
 
 def inference_rows(
@@ -50,7 +66,7 @@ def inference_rows(
     lags: Sequence[int] = DEFAULT_LAGS,
     horizon: int = 1,
     value: str = "demand",
-    calendar: bool = True,
+    calendar: Calendar = True,
 ) -> DataFrame:
     """The one sample per zone whose lag 1 is the latest hour of the panel.
 
@@ -70,7 +86,7 @@ def inference_rows(
         F.col("latest").alias("forecast_run_timestamp"),
         (F.col("latest") + hours(horizon)).alias("target_timestamp"),
         ZONE, *[F.coalesce(F.col(f"lag_{lag}"), missing).alias(f"lag_{lag}") for lag in lags])
-    return rows.select("*", *calendar_features("target_timestamp")) if calendar else rows
+    return rows.select("*", *calendar_columns(calendar))
 
 
 Zones = Sequence[int] | DataFrame
@@ -103,7 +119,7 @@ def lag_matrix(
     samples: DataFrame,
     zones: Zones,
     lags: Sequence[int] = DEFAULT_LAGS,
-    calendar: bool = True,
+    calendar: Calendar = True,
     labels: bool = True,
 ) -> DataFrame:
     """One row per target hour: all zones' lags (lag by lag, zones in order), then the calendar.
@@ -117,20 +133,20 @@ def lag_matrix(
     hour = placed.groupBy(*keys).agg(F.collect_list(cell).alias("cells"))
     hour = hour.withColumn("cells", whole_cells(F.col("cells"), zones))
     blocks = [F.col(f"cells.lag_{lag}") for lag in lags]
-    if calendar:
-        blocks.append(F.array(*calendar_features("target_timestamp")))
+    if calendar_hours(calendar):
+        blocks.append(F.array(*calendar_columns(calendar)))
     return hour.select(
         *keys, F.concat(*blocks).alias("features"),
         *([F.col("cells.target").alias("labels")] if labels else []))
 
 
-def feature_names(lags: Sequence[int], zones: Sequence[int], calendar: bool = True) -> list[str]:
+def feature_names(lags: Sequence[int], zones: Sequence[int], calendar: Calendar = True) -> list[str]:
     """Names of the :func:`lag_matrix` features, in their order."""
     names = [f"lag_{lag}_zone_{zone}" for lag in lags for zone in zones]
-    return names + list(TABULAR_CALENDAR) if calendar else names
+    return names + calendar_names(calendar)
 
 
-def feature_name_rows(zones: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, calendar: bool = True) -> DataFrame:
+def feature_name_rows(zones: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, calendar: Calendar = True) -> DataFrame:
     """Rows (position, feature) of :func:`feature_names`, for a zone list of any length."""
     placed = zone_positions(zones.sparkSession, zones)
     number = zones.agg(F.count_distinct(F.col(ZONE).cast("int"))).scalar().cast("int")
@@ -138,7 +154,7 @@ def feature_name_rows(zones: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, cale
     rows = placed.select(ZONE, "position", F.inline(blocks)).select(
         (F.col("block") * number + F.col("position")).alias("position"),
         F.format_string("lag_%d_zone_%d", "lag", ZONE).alias("feature"))
-    if not calendar:
+    if not calendar_hours(calendar):
         return rows
-    named = zones.sparkSession.createDataFrame(list(enumerate(TABULAR_CALENDAR)), "position int, feature string")
+    named = zones.sparkSession.createDataFrame(list(enumerate(calendar_names(calendar))), "position int, feature string")
     return rows.unionByName(named.select((len(lags) * number + F.col("position")).alias("position"), "feature"))

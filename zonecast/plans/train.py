@@ -41,9 +41,9 @@ def split_demand(demand: DataFrame, config: DataConfig) -> DataFrame:
 def test_cells(split_panel: DataFrame, scaler: DataFrame, models: ZoneModels, config: BoostingConfig) -> DataFrame:
     """Predictions of the ``test`` split on the raw scale beside the raw demand."""
     test = split_panel.filter(F.col("split") == "test").drop("split")
-    samples = lag_features(scale(test, scaler), config.lags, config.horizon)
+    samples = lag_features(scale(test, scaler), config.used_lags, config.horizon, calendar=config.used_calendar)
     predicted = unscale(models.predict(samples), scaler, "predicted")
-    targets = raw_targets(test, max(config.lags) + config.horizon - 1).select(
+    targets = raw_targets(test, max(config.used_lags) + config.horizon - 1).select(
         F.col("hour").alias("target_timestamp"), ZONE, F.col("demand").alias("actual"))
     return evaluation.cells_from(predicted, targets, ["target_timestamp", ZONE], ZONE)
 
@@ -54,7 +54,7 @@ def train(split_panel: DataFrame, config: BoostingConfig) -> TrainingRun:
     training = split_panel.filter(F.col("split") == "train").drop("split")
     zones = zone_order(split_panel)
     scaler = stored(fit_scaler(training), "scaler")
-    samples = lag_features(scale(training, scaler), config.lags, config.horizon)
+    samples = lag_features(scale(training, scaler), config.used_lags, config.horizon, calendar=config.used_calendar)
     models = fit_zone_models(samples, zones, config)
     return TrainingRun(zones, scaler, models, test_cells(split_panel, scaler, models, config))
 
@@ -63,7 +63,7 @@ def train_on_all(demand: DataFrame, config: BoostingConfig, scaler: DataFrame |
     """The production variant: samples over the whole history, and the scaler of it, which is fitted here if none is given. No test hours."""
     zones, panel = zone_order(demand), full_panel(demand)
     scaler = stored(fit_scaler(panel) if scaler is None else scaler, "scaler")
-    samples = lag_features(scale(panel, scaler), config.lags, config.horizon)
+    samples = lag_features(scale(panel, scaler), config.used_lags, config.horizon, calendar=config.used_calendar)
     return TrainingRun(zones, scaler, fit_zone_models(samples, zones, config))
 
 

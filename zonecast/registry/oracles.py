@@ -355,6 +355,7 @@ SELECTS = {
              CAST({Z} AS VARCHAR) AS {Z}, {r('demand', 'predicted_demand')}, 'naive_24' AS model_version
       FROM panel WHERE hour = {_LATEST} - INTERVAL 23 HOUR""",
     "prediction_error": _ERRORS,
+    "prediction_error_bucketed": _ERRORS,
     "prediction_error_dense": "SELECT * FROM errors_dense",
     "metrics_by_hour": _HOURS,
     "metrics_by_hour_dense": _HOURS_DENSE,

@@ -21,7 +21,7 @@ from zonecast.config import BoostingConfig
 from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
-from zonecast.sources import actuals, files, sqlfiles
+from zonecast.sources import actuals, buckets, files, sqlfiles
 from zonecast.sources.tables import Warehouse
 from zonecast.streaming import event_time, rolling_state
 from zonecast.streaming.cycle_stream import run_cycle_stream
@@ -587,6 +587,16 @@ def stream_late_errors(fx):
     return rolling_state.late_errors(fx.spark, _rolled(fx))
 
 
+@query
+def prediction_error_bucketed(fx):
+    """The error table from two tables that were dealt into the same buckets when they were loaded."""
+    database = f"bucketed_{uuid.uuid4().hex}"
+    fx.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(fx.spark, 'database')}'")
+    buckets.load_predictions(fx.predictions, f"{database}.predictions", 8)
+    buckets.load_actuals(fx.hourly, f"{database}.actuals", 8)
+    return buckets.bucketed_errors(fx.spark, f"{database}.predictions", f"{database}.actuals")
+
+
 # --- files, views and reports read back --------------------------------------------------
 
 @query
@@ -694,10 +704,10 @@ def per_zone_report(fx):
 BOOSTING = BoostingConfig()
 
 
-def _trained(fx: Fixtures) -> train.TrainingRun:
+def _trained(fx: Fixtures, config: BoostingConfig = BOOSTING) -> train.TrainingRun:
     split = panel.split_by_day(fx.nation_panel, {
         "train": ("2024-01-01", "2024-01-26"), "test": ("2024-01-26", "2024-01-31")})
-    return train.train(split, BOOSTING)
+    return train.train(split, config)
 
 
 @query
@@ -709,3 +719,8 @@ def gbt_eval(fx):
 def gbt_importance(fx):
     return importance.importance_by_feature(_trained(fx).models.importance(fx.spark))
 
+
+@query
+def gbt_full_window_eval(fx):
+    """Trees over all of the last 24 hours of every zone, and their calendars."""
+    return evaluation.evaluate_per_zone(_trained(fx, BoostingConfig(mode="full")).cells)
