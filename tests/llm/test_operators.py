@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import random
+import time
 import zlib
 from math import log10
 
@@ -216,6 +217,51 @@ def test_signed_tokens_beside_punctuation():
         assert secret_scan.find_spans(f"{token}.more") == [] and secret_scan.find_spans(f"{token}x.") == []
 
 
+def test_keys_are_found_wherever_they_begin():
+    key = der(0x30, der(2, b"\0"), *[der(2, bytes([i + 1]) + bytes(range(40))) for i in range(8)])
+    coded, field = base64.b64encode(key).decode(), lambda b: len(b).to_bytes(4, "big") + b
+    lines = [coded[i:i + 64] for i in range(0, len(coded), 64)]
+    for glue in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n"):
+        text = glue.join(lines)
+        assert secret_scan.find_spans(f'k = "{text}" end') == [(5, "der", 5 + len(text))], glue
+        assert secret_scan.find_spans(f"{text}\nthe next line of words") == [(0, "der", len(text))], glue
+    for before in ("/", "+", "x", "ab/c+", "M", "MM"):
+        assert secret_scan.find_spans(before + coded) == [(len(before), "der", len(before) + len(coded))], before
+    pairs = key.hex(":")
+    for text, before in ((pairs, ""), (pairs.upper(), "key: "), (":\n    ".join(pairs[i:i + 44] for i in range(0, len(pairs), 45)), "")):
+        assert ("der", len(before)) in [(k, s) for s, k, e in secret_scan.find_spans(before + text) if e == len(before + text)]
+    for before in ("a", "F0", "30", "3"):
+        assert (len(before), "der", len(before) + 2 * len(key)) in secret_scan.find_spans(before + key.hex()), before
+    for fields in ((b"ssh-rsa", b"abc", bytes(range(99))), (b"ecdsa-sha2-nistp256", b"nistp256", bytes(range(1, 66)))):
+        text = base64.b64encode(b"".join(map(field, fields))).decode()
+        assert secret_scan.find_spans(f"{text} me@here") == [(0, "ssh", len(text))]
+        assert secret_scan.find_spans(base64.b64encode(b"".join(map(field, fields))[:-1]).decode()) == []
+    container = secret_scan.SSH_CONTAINER + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(bytes(40)) + field(bytes(90))
+    text = base64.b64encode(container).decode()
+    assert secret_scan.find_spans(f"a/{text}") == [(2, "ssh", 2 + len(text))]
+
+
+def test_tokens_in_five_parts_and_short_unsigned_ones():
+    part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    sealed = ".".join((part(b'{"alg":"dir","enc":"A128GCM"}'), "", part(bytes(12)), part(b"secret text"), part(bytes(16))))
+    assert secret_scan.find_spans(f"see {sealed}.") == [(4, "jwe", 4 + len(sealed))]
+    assert secret_scan.find_spans(".".join((*sealed.split(".")[:4], part(bytes(15))))) == []
+    short = part(b'{"alg":"none"}') + ".e30."
+    assert len(short) < 32 and secret_scan.find_spans(short) == [(0, "jwt", len(short))]
+    # Braces and quotes inside text do not hide where a header begins.
+    odd = part(json.dumps({"kid": 'a"}{\\', "alg": "none", "x": {"y": "{"}}).encode()) + ".e30."
+    assert secret_scan.find_spans(f"k_{odd}") == [(2, "jwt", 2 + len(odd))]
+
+
+def test_hostile_texts_take_linear_time():
+    nested = base64.urlsafe_b64encode(b'{"alg":' * 50_000).decode().rstrip("=")
+    for text in ("-eyJhbGciOi" * 100_000 + ".e30.x", "-----BEGIN PRIVATE KEY-----\n" * 40_000, "MIIBIjAN" * 100_000, "3082012230" * 80_000, nested + ".e30.x",
+                 "30:82:" * 100_000 + "30", ("M" * 64 + "\n") * 20_000, "password " * 300_000):
+        started = time.process_time()
+        secret_scan.find_spans(text)
+        assert time.process_time() - started < 10  # a second or so; quadratic ones took hours
+
+
 # --- language model ----------------------------------------------------------------------
 
 def test_language_model_equals_its_formula(docs, empty):
