@@ -37,8 +37,8 @@ from zonecast.llm.common import HashIndex, Numbered, bounded_batches, only, rang
 
 SHARD = ("part int, shard int, first long, n_ids long, base long, doc_ids binary, null_id binary, doc_lengths binary, "
          "rules binary, expansions binary, sequence binary")
-KEPT_WORDS = 500_000
-"""Words whose ids a worker remembers. The table starts anew beyond that; results do not depend on it."""
+KEPT_WORDS = 1_000_000
+"""Words whose ids a worker remembers, about 250 MB. The table starts anew beyond that; results do not depend on it."""
 
 
 @dataclass(frozen=True)
@@ -106,8 +106,8 @@ def frequent(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(np.append(starts, len(ordered)))
     often = counts >= least
     codes, counts = ordered[starts[often]], counts[often]
-    rank = np.empty(len(codes), np.int64)
-    rank[np.lexsort((codes, counts))] = np.arange(1, len(codes) + 1)
+    rank = np.empty(len(codes), np.int32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(1, len(codes) + 1)  # the codes are in order
     return codes, rank
 
 
@@ -124,13 +124,14 @@ def compress(ids: np.ndarray, base: int, config: GrammarConfig = GrammarConfig()
         found = HashIndex(pairs.view(np.uint64)).find(codes.view(np.uint64))
         held = found >= 0
         live, found, fine = live[held], found[held], fine[held]
-        own = np.where(fine, rank[found], 0)
-        beside = np.diff(live) == 1
-        above = own > np.concatenate([[0], np.where(beside, own[:-1], 0)])
-        above &= own > np.concatenate([np.where(beside, own[1:], 0), [0]])
+        own = rank[found] * fine
+        apart = live[1:] - live[:-1] > 1
+        above = fine.copy()
+        above[1:] &= apart | (own[1:] > own[:-1])
+        above[:-1] &= apart | (own[:-1] > own[1:])
         # A pair that would be replaced once only waits; the first in rank never does.
         number = np.bincount(found[above], minlength=len(pairs))
-        above &= number[found] >= 2
+        above &= (number >= 2)[found]
         at, used = live[above], np.flatnonzero(number >= 2)
         name = np.zeros(len(pairs), np.int64)
         name[used] = symbols + np.arange(len(used))
@@ -222,18 +223,19 @@ class WordEncoder:
         """Encode the words looked up since the last call."""
         plain, plain_at, marked, other, other_at = [], [], [], [], []
         at = len(self.lengths)
-        for word in self.known.new:  # the loop also reaches the letters it looks up itself
-            text = word.decode("utf-8")
-            if text.isalpha():
-                plain.append(text)
-                plain_at.append(at)
-            elif text[-1] in self.marks and text[:-1].isalpha() and self.parts_mark(text[-2]):
-                marked.append((at, self.known[text[:-1].encode()], self.marks[text[-1]]))
-            else:
-                other.append(text)
-                other_at.append(at)
+        while self.known.new:  # a second time for the letters looked up in the first
+            texts = b" ".join(self.known.new).decode("utf-8").split(" ")
+            self.known.new = []
+            for at, text in enumerate(texts, at):
+                if text.isalpha():
+                    plain.append(text)
+                    plain_at.append(at)
+                elif text[-1] in self.marks and text[:-1].isalpha() and self.parts_mark(text[-2]):
+                    marked.append((at, self.known[text[:-1].encode()], self.marks[text[-1]]))
+                else:
+                    other.append(text)
+                    other_at.append(at)
             at += 1
-        self.known.new = []
         self.starts = np.concatenate([self.starts, np.zeros(at - len(self.starts), np.int64)])
         self.lengths = np.concatenate([self.lengths, np.zeros(at - len(self.lengths), np.int64)])
         done = [self.together(plain[i:i + 512]) for i in range(0, len(plain), 512)]
