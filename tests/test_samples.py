@@ -8,6 +8,7 @@ from tests.conftest import explained, hour
 from zonecast.functions.calendar import calendar_features, sequence_calendar
 from zonecast.operators import lags, panel, sequences
 from zonecast.schemas import ZONE
+from zonecast.sources import hour_blocks
 
 ZONES = [3, 5, 11]
 
@@ -138,3 +139,70 @@ def test_ten_thousand_and_one_zones(spark):
     names = lags.feature_name_rows(long.select(ZONE), (1, 2)).orderBy("position").collect()
     assert [r.feature for r in names] == lags.feature_names((1, 2), range(n))
     assert [r.position for r in names] == list(range(2 * n + 8))
+
+
+def as_lists(value):
+    return [as_lists(v) for v in value] if isinstance(value, list) else value
+
+
+def compared(samples, *columns):
+    keys = [c for c in ("split", "target_timestamp") if c in samples.columns]
+    rows = [(tuple(r[k] for k in keys), tuple(as_lists(r[c]) for c in columns)) for r in samples.collect()]
+    assert len(rows) == len(dict(rows))
+    return dict(rows)
+
+
+@pytest.mark.parametrize("block_hours, horizon", [(1, 1), (7, 3), (168, 2)])
+def test_samples_by_reference_are_the_flat_windows(spark, dense, tmp_path, block_hours, horizon):
+    vectors = sequences.hour_vectors(dense, ZONES)
+    hour_blocks.store_hours(vectors, f"{tmp_path}/hours", block_hours)
+    got = compared(hour_blocks.flat_samples(spark, f"{tmp_path}/hours", 9, horizon), "features", "labels")
+    assert got == compared(sequences.flat_windows(vectors, 9, horizon), "features", "labels")
+    assert len(got) == 60 - 9 - horizon + 1
+
+
+@pytest.mark.parametrize("block_hours, lengths", [(2, (5, 4)), (10, (4, 3)), (168, (24, 1))])
+def test_samples_by_reference_are_the_sequence_windows(spark, dense, tmp_path, block_hours, lengths):
+    split = dense.withColumn("split", F.when(F.col("hour") < F.lit(hour(29)), "a").otherwise("b"))
+    vectors = sequences.hour_vectors(split, ZONES, calendar=False)
+    hour_blocks.store_hours(vectors, f"{tmp_path}/hours", block_hours)
+    got = compared(hour_blocks.sequence_samples(spark, f"{tmp_path}/hours", *lengths), "x", "y")
+    assert got == compared(sequences.sequence_windows(vectors, *lengths), "x", "y")
+    assert {key[0] for key in got} == {"a", "b"}
+
+
+def test_frames_that_lack_an_hour_are_no_samples(spark, dense, tmp_path):
+    vectors = sequences.hour_vectors(dense, ZONES).filter(F.col("hour") != F.lit(hour(20)))
+    hour_blocks.store_hours(vectors, f"{tmp_path}/hours", 8)
+    got = compared(hour_blocks.sequence_samples(spark, f"{tmp_path}/hours", 4, 2), "x", "y")
+    assert {key[0] for key in got} == {hour(t) for t in [*range(4, 19), *range(25, 59)]}
+    assert hour_blocks.sequence_samples(spark, f"{tmp_path}/hours", 60, 1).count() == 0
+
+
+def test_hours_are_stored_once_and_edges_alone_are_handed_on(spark, demand, tmp_path):
+    rng = random.Random(8)
+    long = panel.full_panel(demand([(h, z, rng.randrange(10 ** 6)) for h in range(1000) for z in ZONES]))
+    vectors = sequences.hour_vectors(long, ZONES, calendar=False).cache()
+    hour_blocks.store_hours(vectors, f"{tmp_path}/hours")
+    stored = spark.read.parquet(f"{tmp_path}/hours")
+    assert stored.agg(F.sum(F.size("hours"))).first()[0] == 1000
+    assert sum(f.stat().st_size for f in (tmp_path / "hours").glob("*.parquet")) < 1.5 * 8 * 1000 * len(ZONES)
+    plan = explained(hour_blocks.flat_samples(spark, f"{tmp_path}/hours", 24))
+    assert plan.count("hashpartitioning(") == 1 and "Window" not in plan and "Python" not in plan
+
+
+def test_bad_lengths_by_reference(spark, dense, tmp_path):
+    vectors = sequences.hour_vectors(dense, ZONES)
+    with pytest.raises(ValueError):
+        hour_blocks.store_hours(vectors, f"{tmp_path}/none", 0)
+    hour_blocks.store_hours(vectors, f"{tmp_path}/hours")
+    for lengths in ((0, 1), (3, 0)):
+        with pytest.raises(ValueError):
+            hour_blocks.flat_samples(spark, f"{tmp_path}/hours", *lengths)
+        with pytest.raises(ValueError):
+            hour_blocks.sequence_samples(spark, f"{tmp_path}/hours", *lengths)
+
+
+def test_no_hours_give_no_samples(spark, dense, tmp_path):
+    hour_blocks.store_hours(sequences.hour_vectors(dense, ZONES).limit(0), f"{tmp_path}/hours")
+    assert hour_blocks.flat_samples(spark, f"{tmp_path}/hours", 3).count() == 0

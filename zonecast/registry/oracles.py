@@ -341,6 +341,8 @@ SELECTS = {
       FROM (SELECT hour, features, unnest(range(len(features))) AS i FROM nation_vectors)""",
     "flat_windows": entries("target_timestamp", {"features": "past", "labels": "future"}, f"({_windows(24, 1)})"),
     "sequence_windows": entries("target_timestamp", {"x": "past", "y": "future"}, f"({_windows(24, 1, 1)})"),
+    "flat_samples_by_reference": entries("target_timestamp", {"features": "past", "labels": "future"}, f"({_windows(24, 1)})"),
+    "sequence_samples_by_reference": entries("target_timestamp", {"x": "past", "y": "future"}, f"({_windows(48, 1, 6)})"),
     "batch_predictions": f"""
       SELECT hour - INTERVAL 1 HOUR AS forecast_run_timestamp, hour AS target_timestamp,
              CAST({Z} AS VARCHAR) AS {Z}, {r('(lag_1 + lag_2 + lag_3 + lag_24) / 4', 'predicted_demand')},

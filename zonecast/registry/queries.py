@@ -21,7 +21,7 @@ from zonecast.config import BoostingConfig
 from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
-from zonecast.sources import actuals, buckets, files, sqlfiles
+from zonecast.sources import actuals, buckets, files, hour_blocks, sqlfiles
 from zonecast.sources.tables import Warehouse
 from zonecast.streaming import event_time, rolling_state
 from zonecast.streaming.cycle_stream import run_cycle_stream
@@ -245,6 +245,24 @@ def sequence_windows(fx):
     return _entries(windows.withColumns({"x": F.flatten("x"), "y": F.flatten("y")}), "x", "y")
 
 
+def _stored_hours(fx) -> str:
+    folder = shared_folder(fx.spark, "hours")
+    hour_blocks.store_hours(sequences.hour_vectors(fx.nation_panel, fx.nation_hourly.select(ZONE)), folder)
+    return folder
+
+
+@query
+def flat_samples_by_reference(fx):
+    return _entries(hour_blocks.flat_samples(fx.spark, _stored_hours(fx), 24), "features", "labels")
+
+
+@query
+def sequence_samples_by_reference(fx):
+    """Two days of hours and the six that follow."""
+    samples = hour_blocks.sequence_samples(fx.spark, _stored_hours(fx), 48, 6)
+    return _entries(samples.withColumns({"x": F.flatten("x"), "y": F.flatten("y")}), "x", "y")
+
+
 # --- predictions -------------------------------------------------------------------------
 
 @query
