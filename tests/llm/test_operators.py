@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import time
+import tracemalloc
 import zlib
 from math import log10
 
@@ -493,10 +494,24 @@ def test_language_code_lengths():
     got = coder.bits(probes)
     for row, probe in zip(got, probes, strict=True):
         assert np.allclose(row, [bits("aa", probe), bits("bb", probe)], rtol=1e-5)
+    for piece in (1, 3, 7, 64):  # pieces inside texts, across them, and between the bytes of a letter
+        assert np.allclose(language.Coder(trees, piece).bits(probes), got, rtol=1e-12)
     names, scores = language.classify(coder, ["abracadabra", "zyzzyva", None, "12 !", ""])
     assert names == ["aa", "bb", "und", "und", "und"] and scores[0] > 0.5 and scores[2] == 0
 
 
+def test_language_of_a_long_text_in_bounded_memory():
+    trees = language.fit_trees({"aa": ["abracadabra alakazam " * 40], "bb": ["zyzzyva xyzzy " * 40]})
+    coder, long = language.Coder(trees, piece=1 << 16), "abracadabra xyzzy alakazam " * 200_000
+    tracemalloc.start()
+    bits = coder.bits(["zyzzyva", long])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(long)
+    once, twice, thrice = (coder.bits(["abracadabra xyzzy alakazam " * n])[0] for n in (1, 2, 3))
+    assert np.allclose(bits[1], once + (twice - once) * (200_000 - 1), rtol=1e-6) and np.allclose(thrice - twice, twice - once, rtol=1e-4)
+
+
 def test_language_sample_is_bounded(docs, empty):
     sample = language.training_sample(docs, language.LanguageConfig(sample_docs=2, sample_bytes=3000))
     assert set(sample) <= {"xx", "yy"} and all(len(t) <= 2 and sum(len(x.encode()) for x in t) <= 3000 for t in sample.values())

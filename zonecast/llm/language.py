@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import HashIndex, bounded_batches, chunks, only
+from zonecast.llm.common import HashIndex, bounded_batches, chunks, only, ranges
 from zonecast.session import stored
 
 UNKNOWN = "und"
@@ -112,10 +112,14 @@ def fit_trees(texts: dict[str, list[str]], order: int = 4) -> ContextTrees:
 
 
 class Coder:
-    """Code lengths in bits of whole texts under every language."""
+    """Code lengths in bits of whole texts under every language.
 
-    def __init__(self, trees: ContextTrees):
-        self.trees = trees
+    Texts are coded in pieces of ``piece`` bytes, whose bits add up, so a text of any length needs the arrays of one piece
+    and, beside the text itself, a copy of its bytes.
+    """
+
+    def __init__(self, trees: ContextTrees, piece: int = 1 << 20):
+        self.trees, self.piece = trees, piece
         self.grams = [HashIndex(k) for k in trees.grams]
         self.contexts = [HashIndex(k) for k in trees.contexts]
 
@@ -124,27 +128,36 @@ class Coder:
         trees, out = self.trees, np.zeros((len(texts), len(self.trees.languages)))
         for start, end in chunks(texts):
             flat, sizes = flat_bytes(texts[start:end], trees.order)
-            at, grams = text_positions(sizes, trees.order), rolling_grams(flat, trees.order)
-            cost = np.zeros((len(at), len(trees.languages)), np.float32)
-            left = np.arange(len(at))
-            for d in range(trees.order, -1, -1):
-                found = self.grams[d].find(grams[d][at[left]])
-                hit = found >= 0
-                cost[left[hit]] += trees.costs[d][found[hit]]
-                left = left[~hit]
-                if not len(left):
-                    break
-                context = grams[d - 1][at[left] - 1] if d else np.zeros(len(left), np.uint64)
-                known = self.contexts[d].find(context)
-                cost[left[known >= 0]] += trees.escapes[d][known[known >= 0]]
-                if not d:
-                    cost[left] += 8.0
-            filled = np.flatnonzero(sizes)
-            if len(filled):
-                begins = (np.cumsum(sizes) - sizes)[filled]
-                out[start + filled] = np.add.reduceat(cost, begins, axis=0, dtype=np.float64)
+            begins = np.cumsum(sizes + trees.order) - sizes
+            for first in range(trees.order, len(flat), self.piece):
+                # What of each text lies in the piece; the piece takes along the ``order`` bytes before it.
+                low, high = (np.clip(edge, first, first + self.piece) for edge in (begins, begins + sizes))
+                filled = np.flatnonzero(high > low)
+                if len(filled):
+                    low, lengths = low[filled], (high - low)[filled]
+                    cost = self.costs(flat[first - trees.order:first + self.piece], ranges(low - (first - trees.order), lengths))
+                    out[start + filled] += np.add.reduceat(cost, np.cumsum(lengths) - lengths, axis=0, dtype=np.float64)
         return out
 
+    def costs(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Bits of each byte at the places ``at``, which have ``order`` bytes before them in ``flat``."""
+        trees, grams = self.trees, rolling_grams(flat, self.trees.order)
+        cost = np.zeros((len(at), len(trees.languages)), np.float32)
+        left = np.arange(len(at))
+        for d in range(trees.order, -1, -1):
+            found = self.grams[d].find(grams[d][at[left]])
+            hit = found >= 0
+            cost[left[hit]] += trees.costs[d][found[hit]]
+            left = left[~hit]
+            if not len(left):
+                break
+            context = grams[d - 1][at[left] - 1] if d else np.zeros(len(left), np.uint64)
+            known = self.contexts[d].find(context)
+            cost[left[known >= 0]] += trees.escapes[d][known[known >= 0]]
+            if not d:
+                cost[left] += 8.0
+        return cost
+
 
 def has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
