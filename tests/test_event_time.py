@@ -53,6 +53,25 @@ def test_late_trips_stand_beside_closed_hours_also_after_a_restart(spark, tmp_pa
     assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 2  # the open hour
 
 
+def test_a_late_trip_leaves_the_count_of_its_hour_and_groups_are_few(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    # The second part closes hour 0 and brings a trip of it; the third closes what is left. Many zones share the slots.
+    arrive(spark, folder, [trip(0), trip(0), *[trip(2, zone=z) for z in range(2, 900)]])
+    arrive(spark, folder, [trip(0), trip(3)])
+    arrive(spark, folder, [("x", hour(9), 1)])
+    query = event_time.run_to_table(event_time.hours_and_late_trips(source(spark, folder), "30 minutes"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    want = {("closed", hour(0), 1): 2, ("late", hour(0), 1): 1, ("closed", hour(3), 1): 1}
+    assert stored(spark, f"{tmp_path}/out") == want | {("closed", hour(2), z): 1 for z in range(2, 900)}
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= event_time.SLOTS
+
+
+def test_an_hour_is_over_when_the_watermark_is_at_its_end(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    arrive(spark, folder, [trip(0), ("x", hour(2), 5)])  # the watermark ends at one o'clock
+    event_time.run_to_table(event_time.hours_and_late_trips(source(spark, folder)), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert stored(spark, f"{tmp_path}/out") == {("closed", hour(0), 1): 1}
+
+
 def test_closed_hours_restart_from_the_checkpoint(spark, tmp_path):
     folder, out, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
     for part in ([trip(0), trip(0)], [trip(3)], [trip(0), trip(6)]):  # the third trip of hour 0 is too late

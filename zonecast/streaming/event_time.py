@@ -1,9 +1,9 @@
 """Trips as a stream by event time: closed hours through the state store, and late trips beside them.
 
 Two jobs. :func:`closed_hours` is Spark's own window aggregate behind a watermark: an hour comes out once, when the
-watermark has passed its end, and trips that arrive later are dropped. :func:`hours_and_late_trips` keeps those: each
-hour and zone has its count as state and a timer at the end of the hour; what comes after that is a ``late`` row, so
-closed and late counts add up to all trips of the hours that are over.
+watermark has passed its end, and trips that arrive later are dropped. :func:`hours_and_late_trips` keeps those: zones
+are dealt into slots, each with the counts of its open hours as state and a timer at the end of the earliest; what comes
+after the end of its hour is a ``late`` row, so closed and late counts add up to all trips of the hours that are over.
 
 Both restart from their checkpoint and write each row once. The state holds the open hours only.
 """
@@ -24,7 +24,10 @@ from zonecast.schemas import ZONE
 
 CLOSED, LATE = "closed", "late"
 HOUR_MS = 3_600_000
-_COUNTED = pa.schema([("hour", pa.timestamp("us", "UTC")), (ZONE, pa.int32()), ("demand", pa.int64()), ("seen", pa.timestamp("us", "UTC"))])
+SLOTS = 256
+"""Groups the zones are dealt into by hash. A checkpoint holds for the number it was begun with."""
+_COUNTED = pa.schema([("slot", pa.int32()), ("hour", pa.int64()), (ZONE, pa.int32()), ("demand", pa.int64()), ("seen", pa.timestamp("us", "UTC"))])
+_CELLS = pa.schema([("hour", pa.int64()), (ZONE, pa.int32()), ("demand", pa.int64())])
 
 
 def timed_trips(trips: DataFrame, zones: DataFrame | None = None, license_num: str | None = None) -> DataFrame:
@@ -44,7 +47,7 @@ def closed_hours(trips: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def _count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's trips per hour and zone, and one row without a cell that carries its latest stamp.
+    """A task's trips per hour and zone, and one row without a slot that carries its latest stamp.
 
     Only that row has an event time, so that the watermark moves and yet no counted row is ever dropped for being behind it.
     """
@@ -53,43 +56,66 @@ def _count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if batch.num_rows:
             top = pc.max(batch.column("request_datetime")).cast(pa.timestamp("us", "UTC"))
             latest = top if latest is None else max(latest, top, key=lambda x: x.value)
-            counted = pa.Table.from_batches([batch]).group_by(["hour", ZONE]).aggregate([([], "count_all")]).rename_columns(["hour", ZONE, "demand"])
+            keys = ["slot", "hour", ZONE]
+            counted = pa.Table.from_batches([batch]).group_by(keys).aggregate([([], "count_all")]).rename_columns([*keys, "demand"])
             yield from counted.append_column("seen", pa.nulls(counted.num_rows, _COUNTED.field("seen").type)).cast(_COUNTED).to_batches()
     if latest is not None:
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, _COUNTED.field(0).type), pa.nulls(1, pa.int32()), pa.array([0], pa.int64()), pa.array([latest.as_py()], _COUNTED.field("seen").type)], schema=_COUNTED)
+        yield pa.RecordBatch.from_pylist([{"demand": 0, "seen": latest.as_py()}], _COUNTED)
 
 
-def _keep_count(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    hour, zone = key
+def packed_table(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    def row(kind: str, demand: int) -> pd.DataFrame:
-        return pd.DataFrame({"kind": [kind], "hour": [hour], ZONE: [zone], "demand": [demand]})
 
-    if pd.isna(hour):
+def unpacked_table(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_all()
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    total = pa.concat_tables(tables).group_by(["hour", ZONE]).aggregate([("demand", "sum")])
+    return total.rename_columns(["hour", ZONE, "demand"]).cast(_CELLS)
+
+
+def _keep_counts(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A slot's open cells are its state, with a timer at the end of the earliest hour. All its hours that are over come out in one frame."""
+    if pd.isna(key[0]):
         return  # the rows that carry the time
-    if state.hasTimedOut:
-        (demand,) = state.get
+    watermark = state.getCurrentWatermarkMs()
+
+    def over(cells: pa.Table) -> pa.ChunkedArray:
+        return pc.less_equal(pc.add(cells.column("hour"), HOUR_MS), watermark)
+
+    held = unpacked_table(state.get[0]) if state.exists else _CELLS.empty_table()
+    arrived = [] if state.hasTimedOut else [pa.Table.from_pandas(frame[_CELLS.names], _CELLS, preserve_index=False) for frame in frames]
+    new = _summed([_CELLS.empty_table(), *arrived])
+    for kind, cells in ((CLOSED, held.filter(over(held))), (LATE, new.filter(over(new)))):
+        if cells.num_rows:
+            rows = cells.to_pandas()
+            rows.insert(0, "kind", kind)
+            yield rows
+    cells = _summed([part.filter(pc.invert(over(part))) for part in (held, new)])
+    if cells.num_rows:
+        state.update((packed_table(cells),))
+        state.setTimeoutTimestamp(pc.min(cells.column("hour")).as_py() + HOUR_MS - 1)  # a timer fires when the watermark is beyond it
+    elif state.exists:
         state.remove()
-        yield row(CLOSED, demand)
-        return
-    arrived = sum(int(frame["demand"].sum()) for frame in frames)
-    end = int(pd.Timestamp(hour).tz_localize("UTC").timestamp() * 1000) + HOUR_MS
-    if end <= state.getCurrentWatermarkMs():
-        yield row(LATE, arrived)
-        return
-    state.update(((state.get[0] if state.exists else 0) + arrived,))
-    state.setTimeoutTimestamp(end)
-
-
-def hours_and_late_trips(trips: DataFrame, delay: str = "1 hour") -> DataFrame:
+
+
+def hours_and_late_trips(trips: DataFrame, delay: str = "1 hour", slots: int = SLOTS) -> DataFrame:
     """kind (``closed`` or ``late``), hour, zone, demand; append output. A late row counts the trips of one batch.
 
-    Trips are counted in their task before they are shuffled, so a zone with a third of them sends one row a task.
+    Trips are counted in their task before they are shuffled, so a zone with a third of them sends one row a task. The number of
+    groups, each a call of Python, is that of ``slots``, however many cells there are; a slot's state is its zones' open cells.
     """
-    schema = f"hour timestamp, {ZONE} int, demand long"
-    counted = trips.select(F.date_trunc("hour", "request_datetime").alias("hour"), ZONE, "request_datetime").mapInArrow(_count_in_task, f"{schema}, seen timestamp")
-    return counted.withWatermark("seen", delay).groupBy("hour", ZONE).applyInPandasWithState(
-        _keep_count, f"kind string, {schema}", "demand long", "append", GroupStateTimeout.EventTimeTimeout)
+    cells = trips.select(
+        F.pmod(F.hash(ZONE), F.lit(slots)).alias("slot"), F.unix_millis(F.date_trunc("hour", "request_datetime")).alias("hour"), ZONE, "request_datetime")
+    counted = cells.mapInArrow(_count_in_task, f"slot int, hour long, {ZONE} int, demand long, seen timestamp")
+    rows = counted.withWatermark("seen", delay).groupBy("slot").applyInPandasWithState(
+        _keep_counts, f"kind string, hour long, {ZONE} int, demand long", "cells binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.withColumn("hour", F.timestamp_millis("hour"))
 
 
 def run_to_table(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
