@@ -212,6 +212,18 @@ def test_rolling_windows_of_a_stream_equal_the_rebuild_in_any_order(spark, error
     assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 4  # the silent zone is gone
 
 
+def test_groups_of_the_rolling_stream_are_few_and_a_day_is_over_at_its_midnight(spark, errors, tmp_path):
+    rows = [(h, str(z), 1, z % 5, "a") for z in range(600) for h in (0, 30)]
+    errors(rows).coalesce(1).write.parquet(f"{tmp_path}/in")
+    errors([(49, "0", 1, 1, "b")]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")  # the watermark ends at a midnight
+    source = spark.readStream.schema(errors(rows[:1]).schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    query = event_time.run_to_table(rolling_state.rolling_rows(source), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    got = Counter((r.metric_date, r.num_predictions, r.mae) for r in rolling_state.rolling_by_zone_of_stream(spark, f"{tmp_path}/out").collect())
+    want = Counter((hour(24 * d).date(), d + 1, float(abs(z % 5 - 1))) for z in range(600) for d in (0, 1))
+    assert got == want
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= event_time.SLOTS
+
+
 def test_an_empty_stream_of_errors_gives_empty_tables(spark, errors, tmp_path):
     frame = errors([(1, "1", 1, 2, "a")]).limit(0)
     frame.write.parquet(f"{tmp_path}/in")

@@ -582,11 +582,11 @@ def _rolled(fx: Fixtures) -> str:
     too_late = (zone == 1) & (day <= 3)
     part = F.when(too_late, 3).when(late | day.between(13, 18), 1).when(day <= 12, 0).otherwise(2)
     folder, parts = shared_folder(fx.spark, "errors-arriving"), 4
-    for number in range(parts):
-        errors.filter(part == number).coalesce(1).write.mode("append").parquet(folder)
-    source = fx.spark.readStream.schema(errors.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    out = shared_folder(fx.spark, "rolling-rows")
-    event_time.run_to_table(rolling_state.rolling_rows(source), out, shared_folder(fx.spark, "rolling-checkpoint"))
+    out, checkpoint = shared_folder(fx.spark, "rolling-rows"), shared_folder(fx.spark, "rolling-checkpoint")
+    for number in range(parts):  # each part is a run of its own, of as many files as it has, restarted from the checkpoint
+        errors.filter(part == number).write.mode("append").parquet(folder)
+        source = fx.spark.readStream.schema(errors.schema).parquet(folder)
+        event_time.run_to_table(rolling_state.rolling_rows(source), out, checkpoint)
     return out
 
 
