@@ -189,3 +189,19 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
         plan = explained(got)
         assert "Exchange" not in plan and "Bucketed: true" in plan
     spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_buckets_go_with_the_rows():
+    assert [buckets.buckets_for(n) for n in (0, 1, 8 * buckets.BUCKET_ROWS)] == [8, 8, 8]
+    for rows in (10**7, 123_456_789, 10**10):
+        assert buckets.BUCKET_ROWS / 2 <= rows / buckets.buckets_for(rows) <= buckets.BUCKET_ROWS
+
+
+def test_the_bucketed_query_takes_more_buckets_for_more_rows(spark, monkeypatch):
+    from zonecast.registry.queries import QUERIES
+    expected = QUERIES["prediction_error_bucketed"](spark, "/root/testdata/sf0.001").count()
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 1 << 10)
+    errors = QUERIES["prediction_error_bucketed"](spark, "/root/testdata/sf0.001")  # 15 zones, 720 hours, two models
+    plan = explained(errors)
+    assert "8 out of 8" not in plan and "32 out of 32" in plan and "Exchange" not in plan
+    assert errors.count() == expected

@@ -18,7 +18,7 @@ from zonecast.operators import (comparison, evaluation, importance, lags, merge,
 from zonecast.operators.demand import borough_zones, hourly_demand
 from zonecast.plans import cycle, predict, train
 from zonecast.config import BoostingConfig
-from zonecast.registry.fixtures import LAYOUTS, MONTH, Fixtures, lag_mean, naive_24
+from zonecast.registry.fixtures import LAYOUTS, MODELS, MONTH, Fixtures, lag_mean, naive_24
 from zonecast.schemas import ZONE
 from zonecast.session import shared_folder
 from zonecast.sources import actuals, buckets, files, hour_blocks, sqlfiles
@@ -610,8 +610,11 @@ def prediction_error_bucketed(fx):
     """The error table from two tables that were dealt into the same buckets when they were loaded."""
     database = f"bucketed_{uuid.uuid4().hex}"
     fx.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(fx.spark, 'database')}'")
-    buckets.load_predictions(fx.predictions, f"{database}.predictions", 8)
-    buckets.load_actuals(fx.hourly, f"{database}.actuals", 8)
+    # Every model predicts the cells of the panel, zones times hours at most.
+    size = fx.hourly.agg(F.count_distinct(ZONE).alias("zones"), (F.max(F.unix_seconds("hour")) - F.min(F.unix_seconds("hour"))).alias("span")).first()
+    number = buckets.buckets_for(size["zones"] * (1 + (size["span"] or 0) // 3600) * len(MODELS))
+    buckets.load_predictions(fx.predictions, f"{database}.predictions", number)
+    buckets.load_actuals(fx.hourly, f"{database}.actuals", number)
     return buckets.bucketed_errors(fx.spark, f"{database}.predictions", f"{database}.actuals")
 
 

@@ -2,7 +2,8 @@
 
 Both are dealt by hour and zone into the same number of buckets when they are loaded, once; each later join reads bucket
 beside bucket. The key is one cell, so no zone makes a bucket large. A load is one file a bucket; later loads add files to the
-buckets. Such a table has no folders by day: a job that needs some days reads the warehouse's tables.
+buckets. Such a table has no folders by day: a job that needs some days reads the warehouse's tables. A bucket is written and read by one task,
+so their number goes with the rows (:func:`buckets_for`) and both tables are loaded with the number for the larger one.
 """
 
 from __future__ import annotations
@@ -14,6 +15,15 @@ from zonecast.operators.monitoring import prediction_errors
 from zonecast.schemas import PREDICTIONS, ZONE, conform
 
 
+BUCKET_ROWS = 1 << 20
+LEAST = 8
+
+
+def buckets_for(rows: int) -> int:
+    """A power of two, so that a table loaded with more or fewer still meets the other in whole buckets; at least ``LEAST``."""
+    return max(LEAST, 1 << (max(rows - 1, 0) // BUCKET_ROWS).bit_length())
+
+
 def _load(df: DataFrame, table: str, buckets: int, stamp: str, mode: str) -> None:
     placed = df.repartition(buckets, stamp, ZONE)  # by the hash of the buckets, so that each has one writer
     placed.write.mode(mode).format("parquet").bucketBy(buckets, stamp, ZONE).sortBy(stamp, ZONE).saveAsTable(table)
