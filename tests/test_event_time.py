@@ -126,6 +126,20 @@ def test_windows_of_any_stamps_equal_comparison_of_all(spark, errors):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_windows_of_stamps_are_added_up_in_tasks_of_bounded_size(errors, monkeypatch):
+    draw = random.Random(6)
+    frame = errors([(h + draw.choice([0, 0.25]), str(z), draw.randrange(4), draw.randrange(9), "a") for h in range(24 * 9) for z in range(40)])
+    want = sorted(map(tuple, rolling.rolling_7d_of_stamps(frame, ZONE).collect()))
+    monkeypatch.setattr(rolling, "TASK_ROWS", 500, raising=False)
+    got = rolling.rolling_7d_of_stamps(frame, ZONE)
+    assert int(explained(got).split("hashpartitioning(model_version")[1].split(")")[0].split(",")[-1]) >= 20
+    assert "Broadcast" in explained(got)
+    monkeypatch.setattr(rolling, "MOST_PIECES", 0, raising=False)
+    for again in (got, rolling.rolling_7d_of_stamps(frame, ZONE)):
+        for a, b in zip(sorted(map(tuple, again.collect())), want, strict=True):
+            assert a[:-3] == b[:-3] and a[-3:] == pytest.approx(b[-3:])
+
+
 def test_stamp_windows_equal_hourly_ones_on_whole_hours(errors):
     draw = random.Random(3)
     frame = errors([(h, z, draw.randrange(4), draw.randrange(9), m) for h in range(24 * 10) for z in "12" for m in "ab"])

@@ -19,6 +19,10 @@ from zonecast.session import stored
 
 DAYS = 7
 LAST_HOUR = 24 * DAYS - 1
+TASK_ROWS = 1 << 20
+"""Rows of windows that a task adds up."""
+MOST_PIECES = 200_000
+"""Days, hours and ends of all windows that are handed to every task; more of them are joined by a shuffle."""
 _SUMS = ("n", "sum_abs", "sum_sq", "sum_ratio", "n_ratio")
 
 
@@ -125,8 +129,7 @@ def window_sums(errors: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
     points = errors.groupBy(*keys, F.col("target_timestamp").alias("stamp")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("sum_abs"), F.sum("squared_error").alias("sum_sq"),
         F.sum(ratio).alias("sum_ratio"), F.count(ratio).alias("n_ratio"))
-    by_hour = _sums_by(points, "hour", *keys)
-    by_day = _sums_by(by_hour.withColumnRenamed("bucket", "stamp"), "day", *keys)
+    points = stored(points, "stamp-sums")
 
     def up(stamp: Column, unit: str, one: Column) -> Column:
         cut = F.date_trunc(unit, stamp)
@@ -145,14 +148,26 @@ def window_sums(errors: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
     pieces = F.concat(
         buckets(d1, d2, "day", day),
         F.when(whole_days, F.concat(buckets(h1, d1, "hour", hour), buckets(d2, h2, "hour", hour))).otherwise(buckets(h1, h2, "hour", hour)))
-    inner = windows.select("start", "end", F.inline(pieces)).join(by_hour.unionByName(by_day), ["unit", "bucket"])
     # One hour, or the two at the ends; a whole first hour is among the pieces already.
     last = F.date_trunc("hour", end)
     ends = F.when((F.date_trunc("hour", start) != start) & (F.date_trunc("hour", start) < last), F.array(F.date_trunc("hour", start), last)).otherwise(F.array(last))
-    edges = (windows.select("start", "end", F.explode(ends).alias("bucket"))
-             .join(points.withColumn("bucket", F.date_trunc("hour", "stamp")), "bucket")
-             .filter(F.col("stamp").between(start, end)))
-    parts = inner.select("start", "end", *keys, *_SUMS).unionByName(edges.select("start", "end", *keys, *_SUMS))
+    edges = F.transform(ends, lambda b: F.struct(F.lit("edge").alias("unit"), b.alias("bucket")))
+    asked = stored(windows.select("start", "end", F.inline(F.concat(pieces, edges))), "window-pieces")
+
+    by_hour = _sums_by(points, "hour", *keys)
+    by_day = _sums_by(points, "day", *keys)
+    at_ends = points.select(*keys, F.lit("edge").alias("unit"), F.date_trunc("hour", "stamp").alias("bucket"), *_SUMS, "stamp").join(
+        asked.filter("unit = 'edge'").select("bucket").distinct(), "bucket", "left_semi")
+    sums = stored(by_hour.unionByName(by_day).unionByName(at_ends, allowMissingColumns=True), "bucket-sums")
+
+    # A key's sums stay in one task, which adds up its windows. The tasks are so many that each has a bounded number of
+    # rows to add, whatever the size of the table; a key has as many rows as the time has hours.
+    met = sums.groupBy("unit", "bucket").count().join(asked.groupBy("unit", "bucket").agg(F.count(F.lit(1)).alias("windows")), ["unit", "bucket"])
+    rows = met.agg(F.sum(F.col("count") * F.col("windows"))).first()[0] or 0
+    tasks = max(int(errors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    placed = sums.repartition(tasks, *keys) if keys else sums
+    parts = placed.join(F.broadcast(asked) if asked.count() <= MOST_PIECES else asked, ["unit", "bucket"]).filter(
+        F.col("stamp").isNull() | F.col("stamp").between(F.col("start"), F.col("end")))
     return parts.groupBy("start", "end", *keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
