@@ -11,12 +11,14 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tests.conftest import explained
 from zonecast.llm import (bpe, fingerprints, language, licenses, mixing, near_dups, ngram_lm, secret_scan, token_files,
                           weak_rules)
 from zonecast.session import shared_folder
@@ -290,6 +292,32 @@ def test_language_model_equals_its_formula(docs, empty):
     assert ngram_lm.scores(empty, learns).count() == 0
 
 
+def test_language_model_reads_a_block_and_its_answers_one_after_the_other(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 17}" for j in range(40))) for i in range(60)], "doc_id long, text string")
+    scored = ngram_lm.scores(docs, F.lit(True), ngram_lm.LmConfig(block_tokens=200, slice_keys=100))
+    plan = explained(scored)
+    assert "ObjectHashAggregate" not in plan and "Join" not in plan  # neither holds the answers of all blocks of a task
+    assert scored.count() == 60
+
+
+def test_a_slice_is_summed_in_little_memory():
+    n, blocks = 100_000, 8
+    key_rows = [np.sort(np.random.default_rng(b).integers(0, 1 << 20, n).astype(np.uint64)) for b in range(blocks)]
+    rows = [(0, 0, b, ngram_lm.packed(np.diff(k, prepend=np.uint64(0)), 8), ngram_lm.packed(np.full(n, b), 4)) for b, k in enumerate(key_rows)]
+    batch = ngram_lm.record(ngram_lm.SLICE, rows)
+    tracemalloc.start()
+    (out,) = ngram_lm.add_up(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n * blocks, peak / n / blocks
+    flat = np.concatenate(key_rows)
+    total = dict(zip(*[x.tolist() for x in (np.unique(flat), np.bincount(np.unique(flat, return_inverse=True)[1], np.repeat(np.arange(blocks), n)).astype(int))]))
+    got = pa.Table.from_batches([out])
+    for b in range(blocks):
+        assert ngram_lm.unpacked(got.column("totals")[b].as_py(), 8).tolist() == [total[k] for k in key_rows[b].tolist()]
+    assert sum(got.column("n_tokens").to_pylist()) == sum(total.values())
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 def test_mix_reaches_targets(spark, docs, empty):

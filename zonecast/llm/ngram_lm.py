@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import ascii_words, bounded_batches, HashIndex
+from zonecast.llm.common import ascii_words, bounded_batches, HashIndex, only
 from zonecast.llm.near_dups import bounds, grouped, mix64, word_hashes
 from zonecast.session import stored
 
@@ -114,13 +114,14 @@ class Block:
         self.lengths = np.frombuffer(row["lengths"], "<i8")
         self.learns = np.repeat(np.frombuffer(row["learns"], bool), self.lengths)
         self.words = np.frombuffer(row["words"], "<u8")
-        self.tokens = unpacked(row["tokens"], 4).astype(np.int64)
+        self.tokens = unpacked(row["tokens"], 4).astype(np.int32)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        before = np.concatenate([[0], self.tokens[:-1]])
+        before = np.concatenate([[0], self.tokens[:-1]]).astype(np.int64)
         before[self.starts] = len(self.words)  # the beginning of a text
         codes = before * (len(self.words) + 1) + self.tokens
-        self.pairs, self.pair_at = np.unique(codes, return_inverse=True)
-        self.left, self.right = np.divmod(self.pairs, len(self.words) + 1)
+        pairs, at = np.unique(codes, return_inverse=True)
+        self.pair_at = at.astype(np.int32)
+        self.left, self.right = (x.astype(np.int32) for x in np.divmod(pairs, len(self.words) + 1))
 
     def keys(self, kind: int) -> np.ndarray:
         if kind == WORDS:
@@ -139,40 +140,57 @@ class Block:
 
     def learned(self, kind: int) -> np.ndarray:
         """How often each word or pair stands in the block's training documents."""
-        at, n = (self.tokens, len(self.words)) if kind == WORDS else (self.pair_at, len(self.pairs))
+        at, n = (self.tokens, len(self.words)) if kind == WORDS else (self.pair_at, len(self.left))
         return np.bincount(at[self.learns], minlength=n)
 
 
+def slices_of(block: Block, bits: tuple[int, int]) -> pa.RecordBatch:
+    rows = []
+    for kind in (WORDS, PAIRS):
+        keys, order, edges = block.sorted_keys(kind, bits[kind])
+        counts = block.learned(kind)[order]
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            a, b = edges[s], edges[s + 1]
+            rows.append((kind, s, block.number, packed(np.diff(keys[a:b], prepend=np.uint64(0)), 8), packed(counts[a:b], 4)))
+    return record(SLICE, rows)
+
+
 def ask(bits: tuple[int, int]):
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("no words", dict)  # those of the blocks are not looked up again
         for batch in batches:
             for i in range(batch.num_rows):
-                block, rows = Block(batch.slice(i, 1).to_pylist()[0]), []
-                for kind in (WORDS, PAIRS):
-                    keys, order, edges = block.sorted_keys(kind, bits[kind])
-                    counts = block.learned(kind)[order]
-                    for s in np.flatnonzero(np.diff(edges)).tolist():
-                        a, b = edges[s], edges[s + 1]
-                        rows.append((kind, s, block.number, packed(np.diff(keys[a:b], prepend=np.uint64(0)), 8), packed(counts[a:b], 4)))
-                yield record(SLICE, rows)
+                yield slices_of(Block(batch.slice(i, 1).to_pylist()[0]), bits)  # no name: one block at a time in memory
     return slices
 
 
+def answered(part: pa.Table) -> pa.RecordBatch:
+    """A slice's counts summed over the blocks, in the order of each."""
+    keys = [np.cumsum(unpacked(k.as_py(), 8), dtype=np.uint64) for k in part.column("keys")]
+    ends = np.cumsum([len(k) for k in keys])
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    del keys
+    counts = np.concatenate([unpacked(c.as_py(), 4).astype(np.uint32) for c in part.column("counts")])
+    totals = np.add.reduceat(counts[order], firsts, dtype=np.int64)
+    del counts
+    answers = np.empty(len(order), np.int64)
+    answers[order] = np.repeat(totals, np.diff(firsts, append=len(order)))
+    del order
+    kind, slice_ = part.column("kind")[0].as_py(), part.column("slice")[0].as_py()
+    rows = [(kind, slice_, block, packed(a, 8), 0, 0) for block, a in zip(part.column("block").to_pylist(), np.split(answers, ends[:-1]), strict=True)]
+    rows[0] = (*rows[0][:4], int((totals > 0).sum()), int(totals.sum()))
+    return record(ANSWER, rows)
+
+
 def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum each slice's counts over the blocks, and answer every block in its own order."""
     names = ("kind", "slice")
     for table in grouped(batches, names):
         for s, e in zip(*bounds(table, names), strict=True):
-            part = table.slice(s, e - s)
-            keys = [np.cumsum(unpacked(k, 8), dtype=np.uint64) for k in part.column("keys").to_pylist()]
-            counts = np.concatenate([unpacked(c, 4) for c in part.column("counts").to_pylist()])
-            _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            totals = np.bincount(inverse, weights=counts).astype(np.int64)
-            kind, slice_ = part.column("kind")[0].as_py(), part.column("slice")[0].as_py()
-            answers = np.split(totals[inverse], np.cumsum([len(k) for k in keys])[:-1])
-            rows = [(kind, slice_, block, packed(a, 8), 0, 0) for block, a in zip(part.column("block").to_pylist(), answers, strict=True)]
-            rows[0] = (*rows[0][:4], int((totals > 0).sum()), int(totals.sum()))
-            yield record(ANSWER, rows)
+            yield answered(table.slice(s, e - s))
 
 
 class Automaton:
@@ -215,25 +233,29 @@ def automaton_of(block: Block, word_totals: np.ndarray, pair_totals: np.ndarray,
     return Automaton(state_of[left], right, np.append(weights, 0.0), np.append(state_of[right], 0), failure, np.log10(plain), state_of[:-1])
 
 
+def scored(table: pa.Table, bits: tuple[int, int], n: int, kinds: int, texts: int, strength: float) -> pa.RecordBatch:
+    """A block and the answers to it, the block first, then by kind and slice."""
+    block, totals = Block(table.slice(0, 1).to_pylist()[0]), []
+    kind_of = table.column("kind").to_numpy()
+    for kind in (WORDS, PAIRS):
+        order = block.sorted_keys(kind, bits[kind])[1]
+        out = np.empty(len(order), np.int64)
+        out[order] = np.concatenate([unpacked(a.as_py(), 8).astype(np.int64) for a in table.column("totals").filter(pa.array(kind_of == kind))])
+        totals.append(out)
+    known = np.add.reduceat((totals[WORDS] > 0)[block.tokens], block.starts, dtype=np.int64)
+    base = np.add.reduceat(np.log10((totals[WORDS] + 1.0) / (n + kinds + 1))[block.tokens], block.starts)
+    automaton = automaton_of(block, *totals, n, kinds, texts, strength)
+    return pa.RecordBatch.from_arrays([
+        pa.array(block.doc_ids, pa.int64(), mask=block.null_id), pa.array(block.lengths, pa.int64()), pa.array(known), pa.array(base),
+        pa.array(automaton.read(block.tokens, block.starts, block.lengths, 1))], names=[f.split()[0] for f in SCORED.split(", ")])
+
+
 def score_blocks(bits: tuple[int, int], n: int, kinds: int, texts: int, strength: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                block, totals = Block(row), []
-                for kind in (WORDS, PAIRS):
-                    order = block.sorted_keys(kind, bits[kind])[1]
-                    answers = sorted(((a["slice"], a["totals"]) for a in row["answers"] if a["kind"] == kind))
-                    out = np.empty(len(order), np.int64)
-                    out[order] = np.concatenate([unpacked(a, 8) for _, a in answers]).astype(np.int64)
-                    totals.append(out)
-                automaton = automaton_of(block, *totals, n, kinds, texts, strength)
-                base = np.log10((totals[WORDS] + 1.0) / (n + kinds + 1))[block.tokens]
-                known = (totals[WORDS] > 0)[block.tokens]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(block.doc_ids, pa.int64(), mask=block.null_id), pa.array(block.lengths, pa.int64()),
-                    pa.array(np.add.reduceat(known.astype(np.int64), block.starts)), pa.array(np.add.reduceat(base, block.starts)),
-                    pa.array(automaton.read(block.tokens, block.starts, block.lengths, 1))], names=[f.split()[0] for f in SCORED.split(", ")])
+        only("no words", dict)
+        for table in grouped(batches, ("block",)):
+            for s, e in zip(*bounds(table, ("block",)), strict=True):
+                yield scored(table.slice(s, e - s), bits, n, kinds, texts, strength)
     return score
 
 
@@ -257,6 +279,9 @@ def scores(docs: DataFrame, learns: Column, config: LmConfig = LmConfig()) -> Da
     facts = answers.filter(F.col("kind") == WORDS).agg(F.sum("n_kinds").alias("kinds"), F.sum("n_tokens").alias("tokens")).first()
     kinds, total = int(facts["kinds"] or 0), int(facts["tokens"] or 0)
     texts = docs.filter(F.coalesce(learns, F.lit(False))).count()
-    told = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "slice", "totals")).alias("answers"))
-    return (blocks.join(told, "block").mapInArrow(score_blocks(bits, total, kinds, texts, config.strength), SCORED)
+    # Blocks and answers are sorted together and read one after the other, so that no task holds those of all its blocks.
+    told = blocks.select("*", F.lit(-1).alias("kind"), F.lit(-1).cast("long").alias("slice")).unionByName(
+        answers.select("block", "kind", "slice", "totals"), allowMissingColumns=True)
+    return (told.repartition(n, "block").sortWithinPartitions("block", "kind", "slice")
+            .mapInArrow(score_blocks(bits, total, kinds, texts, config.strength), SCORED)
             .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))
