@@ -1,3 +1,6 @@
+import random
+from datetime import timedelta
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -205,3 +208,18 @@ def test_the_bucketed_query_takes_more_buckets_for_more_rows(spark, monkeypatch)
     plan = explained(errors)
     assert "8 out of 8" not in plan and "32 out of 32" in plan and "Exchange" not in plan
     assert errors.count() == expected
+
+
+def test_missing_predictions_of_any_stamps_by_a_row_a_day(spark, monkeypatch):
+    draw = random.Random(7)
+    cells = [(hour(draw.randrange(0, 72)) + timedelta(minutes=draw.choice([0, 0, 20])), draw.choice([1, 2, None])) for _ in range(150)]
+    made = [(stamp, None if zone is None else str(zone), model) for stamp, zone in cells for model in "ab" if draw.random() < 0.7]
+    made += [(hour(h), "1", "c") for h in range(72)] + [(hour(3), "1", None), (None, "1", "a")]
+    actuals = spark.createDataFrame([(s, z, 1) for s, z in cells] + [(cells[0][0], cells[0][1], 2), (None, 1, 3)], "hour timestamp, PULocationID int, demand long")
+    kept = []
+    monkeypatch.setattr(monitoring, "stored", lambda df, purpose: kept.append(df) or df, raising=False)
+    got = monitoring.missing_predictions(actuals, spark.createDataFrame(made, "target_timestamp timestamp, PULocationID string, model_version string"))
+    known = {(s, z, m) for s, z, m in made if s is not None and z is not None and m is not None}
+    want = sorted(str((r.hour, r.PULocationID, r.demand, m)) for r in actuals.collect() for m in "abc" if (r.hour, str(r.PULocationID), m) not in known)
+    assert sorted(str((r.target_timestamp, None if r.PULocationID is None else int(r.PULocationID), r.demand, r.model_version)) for r in got.collect()) == want
+    assert kept[0].filter("model_version = 'c'").count() == 3  # a row for each day, not one for each hour

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.errors import error_metrics
 from zonecast.schemas import ERRORS, ZONE
+from zonecast.session import stored
 
 
 def prediction_errors(predictions: DataFrame, actuals: DataFrame, dense: bool = False) -> DataFrame:
@@ -66,13 +67,21 @@ def freshness(actuals: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def missing_predictions(actuals: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Actual cells a model never predicted. Models are those of the predictions table."""
+    """Actual cells a model never predicted. Models are those of the predictions table.
+
+    The hours a model predicted are the bits of a number for each zone and day, made in the tasks that read the predictions, so that
+    a row a day is shuffled. Stamps that are no whole hours keep a number for each time past the hour.
+    """
+    def placed(stamp: str) -> list[Column]:
+        hour = F.date_trunc("hour", stamp)
+        return [F.to_date(stamp).alias("day"), (F.unix_micros(stamp) - F.unix_micros(hour)).alias("past"), F.call_function("shiftleft", F.lit(1), F.hour(stamp)).alias("bit")]
+
+    made = stored(predictions.select(F.col(ZONE).cast("string").alias(ZONE), "model_version", *placed("target_timestamp")).groupBy(
+        ZONE, "model_version", "day", "past").agg(F.bit_or("bit").alias("made")), "made")
     cells = actuals.select(
-        F.col("hour").alias("target_timestamp"), F.col(ZONE).cast("string").alias(ZONE), "demand")
-    made = predictions.groupBy("target_timestamp", ZONE).agg(F.collect_set("model_version").alias("made"))
-    models = predictions.select(F.collect_set("model_version").alias("models")).scalar()
-    gaps = cells.join(made, ["target_timestamp", ZONE], "left").withColumn(
-        "models", models).withColumn("made", F.coalesce("made", F.array().cast("array<string>")))
-    return gaps.select(
-        "target_timestamp", ZONE, "demand",
-        F.explode(F.array_except("models", "made")).alias("model_version"))
+        F.col("hour").alias("target_timestamp"), F.col(ZONE).cast("string").alias(ZONE), "demand", *placed("hour"))
+    models = made.select(F.collect_set("model_version").alias("models")).scalar()
+    wanted = cells.withColumn("model_version", F.explode(models))
+    known = wanted.join(made, [ZONE, "model_version", "day", "past"], "left")
+    return known.filter(F.coalesce(F.col("made").bitwiseAND(F.col("bit")), F.lit(0)) == 0).select(
+        "target_timestamp", ZONE, "demand", "model_version")
