@@ -140,6 +140,17 @@ def test_windows_of_stamps_are_added_up_in_tasks_of_bounded_size(errors, monkeyp
             assert a[:-3] == b[:-3] and a[-3:] == pytest.approx(b[-3:])
 
 
+def test_windows_by_zone_are_added_up_where_the_daily_sums_of_a_zone_are(errors, monkeypatch):
+    frame = errors([(h, str(z), 1, z % 3, "a") for h in range(24 * 9) for z in range(20)])
+    want = sorted(map(tuple, rolling.rolling_7d_by_zone(frame).collect()))
+    monkeypatch.setattr(rolling, "TASK_ROWS", 100, raising=False)
+    got = rolling.rolling_7d_by_zone(frame)
+    # One exchange, by key and into 20 * 9 * 7 / 100 tasks; none of the windows.
+    assert "hashpartitioning(model_version" in explained(got) and "hashpartitioning(start" not in explained(got)
+    assert ", 13), REPARTITION_BY_NUM" in explained(got)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 0
+
+
 def test_stamp_windows_equal_hourly_ones_on_whole_hours(errors):
     draw = random.Random(3)
     frame = errors([(h, z, draw.randrange(4), draw.randrange(9), m) for h in range(24 * 10) for z in "12" for m in "ab"])

@@ -55,6 +55,15 @@ def complete_windows(daily: DataFrame) -> DataFrame:
     return starts.filter(F.col("start").cast("timestamp") + hours(LAST_HOUR) <= F.col("last")).select("start")
 
 
+def _by_key(sums: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """The sums placed by key, so that the task that has a key's sums adds up its windows, of ``rows`` rows in all.
+
+    The tasks are so many that each has a bounded number of rows to add, whatever the size of the table; a key has as many
+    rows as the time has days or hours."""
+    tasks = max(int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    return sums.repartition(tasks, *keys) if keys else sums
+
+
 def _sum_windows(daily: DataFrame, starts: DataFrame, *keys: str) -> DataFrame:
     earlier = F.array(*[F.date_sub("day", k) for k in range(DAYS)])
     candidates = daily.select(F.explode(earlier).alias("start"), *keys, *_SUMS)
@@ -86,7 +95,7 @@ def _rolling(errors: DataFrame, end_days: DataFrame | None, reread: bool, *keys:
         if reread:
             return _sum_windows(daily, complete_windows(daily_sums(errors)), *keys)
         daily = stored(daily, "daily-sums")  # read for the starts and for the sums; the errors are read once
-        return _sum_windows(daily, complete_windows(daily), *keys)
+        return _sum_windows(_by_key(daily, daily.count() * DAYS, *keys), complete_windows(daily), *keys)
     starts = end_days.select(F.date_sub("day", DAYS - 1).alias("start"))
     return _sum_windows(daily, starts, *keys)
 
@@ -160,13 +169,9 @@ def window_sums(errors: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
         asked.filter("unit = 'edge'").select("bucket").distinct(), "bucket", "left_semi")
     sums = stored(by_hour.unionByName(by_day).unionByName(at_ends, allowMissingColumns=True), "bucket-sums")
 
-    # A key's sums stay in one task, which adds up its windows. The tasks are so many that each has a bounded number of
-    # rows to add, whatever the size of the table; a key has as many rows as the time has hours.
     met = sums.groupBy("unit", "bucket").count().join(asked.groupBy("unit", "bucket").agg(F.count(F.lit(1)).alias("windows")), ["unit", "bucket"])
     rows = met.agg(F.sum(F.col("count") * F.col("windows"))).first()[0] or 0
-    tasks = max(int(errors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
-    placed = sums.repartition(tasks, *keys) if keys else sums
-    parts = placed.join(F.broadcast(asked) if asked.count() <= MOST_PIECES else asked, ["unit", "bucket"]).filter(
+    parts = _by_key(sums, rows, *keys).join(F.broadcast(asked) if asked.count() <= MOST_PIECES else asked, ["unit", "bucket"]).filter(
         F.col("stamp").isNull() | F.col("stamp").between(F.col("start"), F.col("end")))
     return parts.groupBy("start", "end", *keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
 
