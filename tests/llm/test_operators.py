@@ -124,6 +124,29 @@ def test_word_shortcut_equals_library():
     assert library.encode("a<|endoftext|>b", add_special_tokens=False).ids == [320, 49407, 321]
 
 
+def test_new_words_go_together_and_are_looked_up_once():
+    library, words = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS)
+    texts = ["ofthst### it's x-y 04de! don't 'tis", "stra\u00dfe na\u00efve ofthst### $$$", "", " \t", "it's" + " it's" * 50]
+    alone, looked_up, numbered = [], [], words.known
+    together, words.separately = words.separately, lambda some: alone.extend(some) or together(some)
+
+    class Counting(type(numbered)):
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    words.known = Counting()
+    words.known.update(numbered)
+    out, counts = words.encode(texts, 1)
+    assert [x.tolist() for x in np.split(out, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert not set(alone) & {word for text in texts for word in text.split()}
+    assert looked_up.count(b"it's") == 1
+    small = [chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c).islower()]
+    out, counts = words.encode([a + b for a in small for b in ("", "e", "\u00e9")], 1)
+    expected = library.encode_batch_fast([a + b for a in small for b in ("", "e", "\u00e9")], add_special_tokens=False)
+    assert [x.tolist() for x in np.split(out, np.cumsum(counts)[:-1])] == [x.ids + [1] for x in expected]
+
+
 def test_grammar_reads_any_range():
     draw = np.random.default_rng(3)
     for ids in (np.tile(draw.integers(0, 50, 40), 60), draw.integers(0, 4, 3000), np.zeros(500, int), np.array([7])):

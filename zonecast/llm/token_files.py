@@ -22,6 +22,7 @@ The files are Parquet, one row per shard:
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,9 @@ SHARD = ("part int, shard int, first long, n_ids long, base long, doc_ids binary
 KEPT_WORDS = 1_000_000
 """Words whose ids a worker remembers, about 250 MB. The table starts anew beyond that; results do not depend on it."""
 
+CALL_CHARS = 1 << 22
+"""Characters encoded in one call; a longer text is a call of its own."""
+
 
 @dataclass(frozen=True)
 class GrammarConfig:
@@ -163,13 +168,22 @@ class WordEncoder:
     letter only. A word of letters is one piece to the splitter, and a mark behind it another, so letters are encoded
     by the hundred in one call, cut where a piece ends, and a marked word is put together from its letters and
     its mark. That does not hold of letters the normaliser turns into a letter and a combining mark; see ``parts_mark``.
+
+    Small Latin letters below U+0250 stay as they are in the normaliser and are one piece, and printable ASCII is cut by the
+    splitter's own rule, ``PIECES``: such pieces go to the library's model between spaces, past its normaliser and splitter.
     """
 
     MARKS = ",.;:!?"
+    LATIN = "\u0250"
+    PRINTABLE = re.compile(r"[!-@\[-~]+")
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tokenizer.encode_special_tokens = True  # words are ordinary text; see ``encode`` for texts with added tokens
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
@@ -180,9 +194,9 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = Numbered()
+        self.known = Numbered({b"": 0})
         self.ids = np.zeros(0, np.int32)
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def separately(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words in one array, and how many each has."""
@@ -190,13 +204,14 @@ class WordEncoder:
         lengths = np.array([len(x) for x in ids], np.int64)
         return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
-    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words that are one piece each."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+    def together(self, words: list[str], tokenizer=None, pieces: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that are one piece each, or the given ones."""
+        texts, number = (words, np.arange(1, len(words) + 1)) if pieces is None else (chain.from_iterable(pieces), np.cumsum(list(map(len, pieces))))
+        ids = np.array((tokenizer or self.tokenizer).encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self.ends_piece[ids]) + 1
-        if len(ends) != len(words):
+        if len(ends) != number[-1]:
             return self.separately(words)
-        return ids, np.diff(ends, prepend=0)
+        return ids, np.diff(ends[number - 1], prepend=0)
 
     def parts_mark(self, letter: str) -> bool:
         """Whether a mark behind ``letter`` is a piece of its own, asked of the library once for each letter."""
@@ -221,28 +236,35 @@ class WordEncoder:
 
     def learn(self) -> None:
         """Encode the words looked up since the last call."""
-        plain, plain_at, marked, other, other_at = [], [], [], [], []
+        latin, latin_at, cut, cut_at, pieces, plain, plain_at, marked, other, other_at = [], [], [], [], [], [], [], [], [], []
         at = len(self.lengths)
         while self.known.new:  # a second time for the letters looked up in the first
             texts = b" ".join(self.known.new).decode("utf-8").split(" ")
             self.known.new = []
             for at, text in enumerate(texts, at):
                 if text.isalpha():
-                    plain.append(text)
-                    plain_at.append(at)
+                    small = text.islower() and (text.isascii() or max(text) < self.LATIN)
+                    (latin if small else plain).append(text)
+                    (latin_at if small else plain_at).append(at)
                 elif text[-1] in self.marks and text[:-1].isalpha() and self.parts_mark(text[-2]):
                     marked.append((at, self.known[text[:-1].encode()], self.marks[text[-1]]))
+                elif self.PRINTABLE.fullmatch(text):
+                    cut.append(text)
+                    cut_at.append(at)
+                    pieces.append(self.PIECES.findall(text))
                 else:
                     other.append(text)
                     other_at.append(at)
             at += 1
         self.starts = np.concatenate([self.starts, np.zeros(at - len(self.starts), np.int64)])
         self.lengths = np.concatenate([self.lengths, np.zeros(at - len(self.lengths), np.int64)])
-        done = [self.together(plain[i:i + 512]) for i in range(0, len(plain), 512)]
+        done = [self.together(latin[i:i + 512], self.model) for i in range(0, len(latin), 512)]
+        done += [self.together(cut[i:i + 512], self.model, pieces[i:i + 512]) for i in range(0, len(cut), 512)]
+        done += [self.together(plain[i:i + 512]) for i in range(0, len(plain), 512)]
         if other:
             done.append(self.separately(other))
         if done:
-            self.keep(plain_at + other_at, *map(np.concatenate, zip(*done, strict=True)))
+            self.keep(latin_at + cut_at + plain_at + other_at, *map(np.concatenate, zip(*done, strict=True)))
         if marked:
             own, stems, marks = np.array(marked, np.int64).T
             lengths = self.lengths[stems] + 1
@@ -270,9 +292,12 @@ class WordEncoder:
             self.forget()
         coded = [text.encode("utf-8", "replace") for text in texts]
         # The first bytes of U+0300 to U+037F, which hold all marks that compose with A-Z or a-z.
-        found = [(c if b"\xcc" in c or b"\xcd" in c else c.lower()).split() for c in coded]
-        sizes = np.array([len(each) for each in found], np.int64)
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+        coded = [(c if b"\xcc" in c or b"\xcd" in c else c.lower()).strip() for c in coded]
+        found = pc.ascii_split_whitespace(pa.array(coded, pa.binary()).view(pa.string()))
+        # Every word of the call is looked up once; a text without words is one empty word to the splitter.
+        words = found.values.dictionary_encode()
+        numbers = np.fromiter(map(self.known.__getitem__, words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)), np.int64, len(words.dictionary))
+        at, sizes = numbers[words.indices.to_numpy()], np.diff(found.offsets.to_numpy())
         if self.known.new:
             self.learn()
         lengths = self.lengths[at]
@@ -321,7 +346,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
             step = 0
             while step < len(texts):
                 stop, chars = step, 0
-                while stop < len(texts) and (not chars or chars + len(texts[stop]) <= 1 << 20):
+                while stop < len(texts) and (not chars or chars + len(texts[stop]) <= CALL_CHARS):
                     chars += len(texts[stop]) + 1
                     stop += 1
                 coded, counts = words.encode(texts[step:stop], end_id, added_tokens)
