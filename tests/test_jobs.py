@@ -18,7 +18,7 @@ from zonecast.config import BoostingConfig, DataConfig
 from zonecast.registry import queries
 from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
 from zonecast.schemas import ACTUALS, PREDICTIONS, ZONE, conform
-from zonecast.session import shared_folder, stored
+from zonecast.session import prepare_session, shared_folder, stored
 from zonecast.sources import actuals
 from zonecast.sources.files import load_json, write_months
 from zonecast.sources.sqlfiles import run_sql_file
@@ -404,3 +404,14 @@ def test_errors_of_a_week_read_a_week_of_folders(spark, tmp_path, errors):
     house.replace("errors", errors([(24 * d, "1", 1, 2, "m") for d in range(20)]))
     week = house.read("errors", ((hour(0) + timedelta(days=10)).date(), (hour(0) + timedelta(days=16)).date()))
     assert week.count() == 7 and "PartitionFilters: [isnotnull(day" in explained(week)
+
+
+def test_days_are_written_without_a_sort(spark, month, tmp_path):
+    """A task keeps the files of some days open; of more days than that, the rest is sorted, and nothing is lost."""
+    prepare_session(spark)
+    assert 0 < int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) < 20
+    days = month.select("hour", ZONE, F.date_add(F.to_date("hour"), F.col(ZONE) * 10).alias("day")).coalesce(1)
+    assert days.select("day").distinct().count() > 20
+    days.write.partitionBy("day").parquet(f"{tmp_path}/days")
+    got = spark.read.parquet(f"{tmp_path}/days").select("hour", ZONE, "day")
+    assert rows(got) == rows(days)

@@ -92,3 +92,15 @@ def test_calendar(spark):
     assert sorted(TABULAR_CALENDAR) == sorted(SEQUENCE_CALENDAR) and TABULAR_CALENDAR != SEQUENCE_CALENDAR
     own = df.select(*calendar_features("at", holidays=["2024-03-04"])).collect()
     assert [r.is_holiday for r in own] == [1.0, 0.0, 0.0, 0.0, 0.0]
+
+
+def test_panel_is_dealt_over_tasks_by_its_cells(spark, demand, monkeypatch):
+    sparse = demand([(h, z, 1 + h % 3) for z in range(40) for h in (z, 60)])
+    assert panel.panel_tasks(sparse) == 4  # the partitions of a shuffle
+    monkeypatch.setattr(panel, "TASK_CELLS", 100)
+    tasks = panel.panel_tasks(sparse)
+    assert 20 <= tasks <= 30  # 40 zones, an estimate, of 61 hours
+    got = panel.full_panel(sparse, tasks=tasks)
+    assert got.rdd.getNumPartitions() == tasks
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, panel.full_panel(sparse).collect()))
+    assert panel.panel_tasks(sparse.filter("false")) == 4

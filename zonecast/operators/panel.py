@@ -13,6 +13,8 @@ from zonecast.schemas import ZONE
 
 # One column, or one model, per zone: beyond this many zones the long form or the array form is the one to use.
 MAX_WIDE_ZONES = 10_000
+TASK_CELLS = 1 << 20
+"""Cells of the panel that a task fills, if the number of tasks is asked for."""
 
 
 def panel_span(sparse: DataFrame) -> Column:
@@ -26,7 +28,15 @@ def panel_span(sparse: DataFrame) -> Column:
     return ends.scalar()
 
 
-def full_panel(sparse: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+def panel_tasks(sparse: DataFrame) -> int:
+    """Tasks for the panel of a stored table: so many that each fills a bounded number of cells, whatever the size of the table."""
+    seconds = F.unix_seconds("hour")
+    size = sparse.agg(F.approx_count_distinct(ZONE).alias("zones"), (F.max(seconds) - F.min(seconds)).alias("span")).first()
+    cells = size["zones"] * (1 + (size["span"] or 0) // 3600)
+    return max(int(sparse.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-cells // TASK_CELLS))
+
+
+def full_panel(sparse: DataFrame, zones: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """One row per hour and zone between the first and last hour, 0 where nothing happened.
 
     No grid is joined. Every sparse row knows the next hour of its zone and expands into
@@ -38,6 +48,8 @@ def full_panel(sparse: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     hours is that of the data before this choice.
 
     A second row for the same hour and zone fails the job.
+
+    The sparse rows tell Spark little about the size of the panel; ``tasks`` is the number to deal the zones over, see :func:`panel_tasks`.
     """
     by_zone = Window.partitionBy(ZONE).orderBy("hour")
     sparse = sparse.filter(F.col("hour").isNotNull())
@@ -47,6 +59,8 @@ def full_panel(sparse: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     else:
         cells = zones.select(ZONE).join(sparse.select("hour", ZONE, "demand"), ZONE, "left").select(
             "hour", ZONE, F.coalesce("demand", F.lit(0)).cast("double").alias("demand"))
+    if tasks is not None:
+        cells = cells.repartition(tasks, ZONE)
     placed = (
         cells.withColumn("ends", ends)
         .withColumn("earlier", F.lag("hour").over(by_zone))

@@ -17,7 +17,7 @@ from zonecast.functions.stamps import hours
 from zonecast.operators.demand import hourly_demand
 from zonecast.operators.lags import DEFAULT_LAGS, lag_features
 from zonecast.operators.monitoring import prediction_errors
-from zonecast.operators.panel import full_panel, split_by_day
+from zonecast.operators.panel import full_panel, panel_tasks, split_by_day
 from zonecast.operators.scaling import fit_scaler
 from zonecast.schemas import PREDICTIONS, ZONE, conform
 from zonecast.session import prepare_session, shared_folder, stored
@@ -107,7 +107,7 @@ class Fixtures:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return full_panel(self.hourly)
+        return full_panel(self.hourly, tasks=panel_tasks(self.hourly))
 
     @cached_property
     def split_panel(self) -> DataFrame:
