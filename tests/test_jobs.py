@@ -16,13 +16,14 @@ from zonecast.operators.scaling import fit_scaler, scale, unscale
 from zonecast.plans import cycle, predict, prepare, train
 from zonecast.config import BoostingConfig, DataConfig
 from zonecast.registry import queries
-from zonecast.registry.fixtures import lag_mean, naive_24, stand_in_predictions
+from zonecast.registry.fixtures import Fixtures, lag_mean, naive_24, stand_in_predictions
 from zonecast.schemas import ACTUALS, PREDICTIONS, ZONE, conform
 from zonecast.session import prepare_session, shared_folder, stored
 from zonecast.sources import actuals
 from zonecast.sources.files import load_json, write_months
 from zonecast.sources.sqlfiles import run_sql_file
 from zonecast.sources.tables import TABLES, Warehouse
+from zonecast.streaming import cycle_stream
 from zonecast.streaming.cycle_stream import run_cycle_stream
 from zonecast.streaming.demand_stream import hourly_demand_stream, read_demand_stream, run_demand_stream
 
@@ -415,3 +416,28 @@ def test_days_are_written_without_a_sort(spark, month, tmp_path):
     days.write.partitionBy("day").parquet(f"{tmp_path}/days")
     got = spark.read.parquet(f"{tmp_path}/days").select("hour", ZONE, "day")
     assert rows(got) == rows(days)
+
+
+def test_batches_of_the_cycle_stream_do_not_grow_with_its_files(spark, monkeypatch):
+    batches, limit = [], "spark.sql.files.maxRecordsPerFile"
+    monkeypatch.setattr(cycle_stream, "apply_actuals", lambda warehouse, batch, *_, **__: batches.append(batch.count()))
+    fixtures = Fixtures(spark, "/root/testdata/sf0.001")
+    number = fixtures.hourly.count()
+    spark.conf.set(limit, "50")
+    try:
+        queries._streamed(fixtures)
+    finally:
+        spark.conf.unset(limit)
+    assert len(batches) == 3 and sum(batches) == number
+
+
+def test_hours_of_a_batch_are_broadcast_whatever_their_estimate(spark, month, monkeypatch):
+    house, plans, append = rebuilt(spark, month, hour(190)), {}, Warehouse.append
+    monkeypatch.setattr(Warehouse, "append", lambda self, name, df: plans.update({name: explained(df)}) or append(self, name, df))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cycle.apply_actuals(house, month.filter(F.col("hour") >= F.lit(hour(190))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin LeftSemi" in plans["errors"] and "BroadcastHashJoin LeftSemi" in plans["metrics_by_hour"]

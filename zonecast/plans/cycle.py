@@ -50,7 +50,8 @@ def apply_actuals(
     span = (first, last)
     warehouse.append("actuals", merge.new_rows(
         warehouse.read("actuals", span), rows, ("hour", ZONE)))
-    stamps = rows.select(F.col("hour").alias("target_timestamp")).distinct()
+    # Spark sizes them by the rows they come from and would shuffle the tables they are met with: a row an hour is handed to every task.
+    stamps = F.broadcast(stored(rows.select(F.col("hour").alias("target_timestamp")).distinct().coalesce(1), "stamps"))
     _insert_errors(warehouse, stamps, span, model_version)
     _store_hour_metrics(warehouse, stamps, span, model_version, in_parts)
     _refresh_days(warehouse, stamps, span, model_version, in_parts)
@@ -84,12 +85,14 @@ def _ended_days(warehouse: Warehouse, stamps: DataFrame, span, in_parts: bool) -
         return F.to_date(stamp).alias("day")
 
     if not in_parts:
-        ended = stamps.filter(F.hour("target_timestamp") == 23).select(days("target_timestamp")).distinct()
+        ended = F.broadcast(stamps.filter(F.hour("target_timestamp") == 23).select(days("target_timestamp")).distinct())
         return ended, ended
     closed = warehouse.read("actuals", span).filter(F.hour("hour") == 23).select(days("hour")).distinct()
     touched = stamps.select(days("target_timestamp")).distinct()
     reached = touched.select(F.explode(F.sequence("day", F.date_add("day", rolling.DAYS - 1))).alias("day")).distinct()
-    return closed.join(touched, "day", "left_semi"), closed.join(reached, "day", "left_semi")
+    # A row a calendar day, read by four steps.
+    ended, windows = (stored(closed.join(F.broadcast(some), "day", "left_semi").coalesce(1), "ended-days") for some in (touched, reached))
+    return F.broadcast(ended), F.broadcast(windows)
 
 
 def _refresh_days(warehouse: Warehouse, stamps: DataFrame, span, model_version, in_parts: bool) -> None:
