@@ -121,3 +121,25 @@ def test_the_full_window_has_every_hour_and_its_calendar(spark, demand, tmp_path
     assert shares == set(names) and set(calendar_names(config.used_calendar)) < shares
     with pytest.raises(ValueError, match="mode"):
         BoostingConfig(mode="all")
+
+
+def test_splits_are_sought_node_by_node():
+    """The plain formula's splits, in memory for the arrays of one node."""
+    import tracemalloc
+
+    draw = np.random.default_rng(7)
+    counts = draw.integers(0, 3, (8, 50, 256))
+    counts[:, 1:, 0] += counts[:, :1].sum(axis=2) - counts[:, 1:].sum(axis=2) + 500  # as many rows in every column
+    counts[:, 0, 0] += 500
+    sums = draw.normal(size=counts.shape) * counts
+    tracemalloc.start()
+    best, column, first = boosting.best_splits(sums, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * sums[0].nbytes
+    for node in range(8):
+        left, n = sums[node].cumsum(axis=1)[:, :-1], counts[node].cumsum(axis=1)[:, :-1]
+        total, rows = sums[node, 0].sum(), counts[node, 0].sum()
+        gain = left ** 2 / (n + 1.0) + (total - left) ** 2 / (rows - n + 1.0) - total ** 2 / (rows + 1.0)
+        gain[(n == 0) | (rows == n)] = -np.inf
+        assert best[node] == gain.max() and (column[node], first[node] - 1) == np.unravel_index(gain.argmax(), gain.shape)
